@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewatch import schema
 from tidewatch.functions.values import iso_text
@@ -65,3 +65,9 @@ def decode(messages: DataFrame) -> DataFrame:
 def keys(messages: DataFrame) -> DataFrame:
     """Messages with their key bytes as text; a NULL key stays NULL."""
     return messages.withColumn("key", F.col("key").cast("string"))
+
+
+def follow_messages(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
+    """A stream of JSON messages from text files, one per line, as they appear."""
+    return (spark.readStream.format("text").option("maxFilesPerTrigger", files_per_batch)
+            .load(folder))
