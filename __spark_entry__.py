@@ -264,16 +264,15 @@ def kafka_payload(spark, sf_dir):
         scores.withColumn("prediction_timestamp", F.col("window.end")))
 
 
-def _refuse_large_amounts(message: dict) -> None:
-    if float(message["event_data"]["amount"]) > 100:
-        raise ValueError("amount too large")
-
-
 @query
 def foreach_batch(spark, sf_dir):
+    def refuse_large_amounts(message: dict) -> None:
+        if float(message["event_data"]["amount"]) > 100:
+            raise ValueError("amount too large")
+
     outcomes, checkpoint = scratch_path(spark, "outcomes"), scratch_path(spark, "checkpoint")
     messages = source.follow_messages(spark, _message_folder(spark, sf_dir))
-    consumer.consume(messages, _refuse_large_amounts, checkpoint, outcomes,
+    consumer.consume(messages, refuse_large_amounts, checkpoint, outcomes,
                      available_now=True).awaitTermination()
     return consumer.dead_letters(spark, outcomes).select("value", "error")
 
