@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch import schema
+from tidewatch.operators import validation
 from tidewatch.plans.jobs import run_stream_job
 from tidewatch.sources.events import decode, encode, follow_messages
 from tidewatch.streaming import consumer, sinks
@@ -117,3 +118,14 @@ def test_the_day_grain_uses_the_same_code(make_events):
     rows = with_rule_score(window_features(make_events(
         ("a", NOON, "login", None), ("a", NOON + timedelta(hours=3), "login", None)), "1 day")).collect()
     assert [row["churn_score"] for row in rows] == [schema.NO_PURCHASE_SCORE]
+
+
+def test_validation_works_on_a_stream(spark, folders, send):
+    send(("a", NOON, "login", None), ("b", NOON, "refund", "1"))
+    checked = validation.check_messages(follow_messages(spark, folders["in"]))
+    for name, part in {"good": validation.valid_events(checked),
+                       "bad": validation.rejected_messages(checked)}.items():
+        sinks.append_to_table(part, f"{folders['out']}/{name}", f"{folders['checkpoint']}/{name}",
+                              available_now=True).awaitTermination()
+    assert [row["customer_id"] for row in spark.read.parquet(folders["out"] + "/good").collect()] == ["a"]
+    assert [row["reasons"] for row in spark.read.parquet(folders["out"] + "/bad").collect()] == [["bad_event_type"]]

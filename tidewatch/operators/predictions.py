@@ -57,7 +57,8 @@ def feature_lookup(features: DataFrame, customers: DataFrame | Iterable[str]) ->
     """
     stored = features.select("customer_id", *schema.STORED_FEATURES)
     if isinstance(customers, DataFrame):
-        return stored.join(customers.select("customer_id"), "customer_id", "left_semi")
+        # Distinct first: repeated keys are combined before they are shuffled.
+        return stored.join(customers.select("customer_id").distinct(), "customer_id", "left_semi")
     wanted = list(customers)
     if len(wanted) <= _INLINE_KEYS:
         return stored.where(F.col("customer_id").isin(wanted))

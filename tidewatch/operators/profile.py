@@ -15,49 +15,42 @@ and add no groups.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from datetime import datetime
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch import schema
-from tidewatch.functions.values import days_before, instant, is_type, mean_of, paid
+from tidewatch.functions.values import days_before, instant, mean_of, paid
 
 _WORD = 64
 
 
 class Counter(NamedTuple):
-    """An aggregate over events and the way two partial values combine."""
+    """An aggregate over events, as SQL, and the aggregate that merges partial values."""
     name: str
-    value: Column
-    merge: Callable[[str], Column] = F.sum
+    value: str
+    merge: str = "sum"
 
 
-def _count_when(condition: Column) -> Column:
-    return F.count(F.when(condition, 1))
+def _count_when(condition: str) -> str:
+    return f"count(CASE WHEN {condition} THEN 1 END)"
 
 
-def _bit(position: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), position)
-
-
-def _total(columns: Sequence[Column]) -> Column:
-    total = columns[0]
-    for column in columns[1:]:
-        total = total + column
-    return total
+def _quoted(values: Sequence[str]) -> str:
+    return ", ".join(f"'{value}'" for value in values)
 
 
 def _roll_up(rows: DataFrame, counters: Sequence[Counter], rare: Sequence[str] = ()) -> DataFrame:
     """One row per customer; each `rare` column becomes its number of distinct values."""
     partial = rows.groupBy("customer_id", *rare).agg(
-        *[counter.value.alias(counter.name) for counter in counters])
+        *[F.expr(f"{counter.value} AS {counter.name}") for counter in counters])
     if not rare:
         return partial
     return partial.groupBy("customer_id").agg(
-        *[counter.merge(counter.name).alias(counter.name) for counter in counters],
-        *[F.count(name).alias(name) for name in rare])
+        *[F.expr(f"{merge}({name}) AS {name}") for name, _, merge in counters],
+        *[F.expr(f"count({name}) AS {name}") for name in rare])
 
 
 def _keyed(events: DataFrame) -> DataFrame:
@@ -75,46 +68,44 @@ def since(events: DataFrame, start: Column) -> DataFrame:
 # --- lifetime -------------------------------------------------------------
 
 def _lifetime_rows(rows: DataFrame) -> DataFrame:
-    known = F.col("event_type").isin(schema.EVENT_TYPES)
-    place = F.array_position(F.array(*map(F.lit, schema.EVENT_TYPES)), F.col("event_type"))
-    return rows.withColumns({
-        "type_bit": F.when(known, _bit(place.cast("int"))),
-        "rare_type": F.when(~known, F.col("event_type")),
-    })
+    known = _quoted(schema.EVENT_TYPES)
+    return rows.selectExpr(
+        "*",
+        f"CASE WHEN event_type IN ({known}) "
+        f"THEN shiftleft(1L, CAST(array_position(array({known}), event_type) AS INT)) END AS type_bit",
+        f"CASE WHEN event_type NOT IN ({known}) THEN event_type END AS rare_type")
 
 
 def _lifetime_counters() -> list[Counter]:
     return [
-        Counter("total_events", F.count("event")),
-        Counter("type_bits", F.bit_or("type_bit"), F.bit_or),
-        Counter("first_event_date", F.min("timestamp"), F.min),
-        Counter("last_event_date", F.max("timestamp"), F.max),
-        Counter("purchase_count", _count_when(is_type("purchase"))),
-        Counter("page_view_count", _count_when(is_type("page_view"))),
-        Counter("support_ticket_count", _count_when(is_type("support_ticket"))),
-        Counter("paid_total", F.sum("paid")),
-        Counter("paid_events", F.count("paid")),
+        Counter("total_events", "count(event)"),
+        Counter("type_bits", "bit_or(type_bit)", "bit_or"),
+        Counter("first_event_date", "min(timestamp)", "min"),
+        Counter("last_event_date", "max(timestamp)", "max"),
+        Counter("purchase_count", _count_when("event_type = 'purchase'")),
+        Counter("page_view_count", _count_when("event_type = 'page_view'")),
+        Counter("support_ticket_count", _count_when("event_type = 'support_ticket'")),
+        Counter("paid_total", "sum(paid)"),
+        Counter("paid_events", "count(paid)"),
     ]
 
 
 def _lifetime_columns(as_of: str | datetime) -> list[Column]:
-    first, last = F.col("first_event_date"), F.col("last_event_date")
-    lifetime = F.date_diff(last, first) + 1
-    types = F.coalesce(F.bit_count("type_bits"), F.lit(0)) + F.col("rare_type")
+    lifetime = "(date_diff(last_event_date, first_event_date) + 1)"
     return [
         F.col("total_events"),
-        types.alias("unique_event_types"),
-        first,
-        last,
+        F.expr("coalesce(bit_count(type_bits), 0) + rare_type AS unique_event_types"),
+        F.col("first_event_date"),
+        F.col("last_event_date"),
         F.col("purchase_count"),
         F.col("page_view_count"),
         F.col("support_ticket_count"),
         mean_of(F.col("paid_total"), F.col("paid_events")).alias("avg_purchase_amount"),
-        F.col("paid_total").cast("double").alias("total_purchase_amount"),
-        F.date_diff(instant(as_of), last).alias("days_since_last_activity"),
-        lifetime.alias("customer_lifetime_days"),
-        F.try_divide(F.col("total_events"), lifetime).alias("events_per_day"),
-        F.try_divide(F.col("purchase_count"), lifetime).alias("purchase_frequency"),
+        F.expr("CAST(paid_total AS DOUBLE) AS total_purchase_amount"),
+        F.date_diff(instant(as_of), "last_event_date").alias("days_since_last_activity"),
+        F.expr(f"{lifetime} AS customer_lifetime_days"),
+        F.expr(f"try_divide(total_events, {lifetime}) AS events_per_day"),
+        F.expr(f"try_divide(purchase_count, {lifetime}) AS purchase_frequency"),
     ]
 
 
@@ -154,28 +145,27 @@ def _day_words(days: int) -> list[str]:
 
 
 def _recent_counters(days: int) -> list[Counter]:
-    slot = F.col("day_slot")
     return [
-        Counter("recent_events", _count_when(F.col("recent"))),
-        Counter("recent_purchases", _count_when(F.col("recent") & is_type("purchase"))),
-        Counter("recent_views", _count_when(F.col("recent") & is_type("page_view"))),
-        Counter("recent_paid_total", F.sum("recent_paid")),
-        Counter("recent_paid_events", F.count("recent_paid")),
+        Counter("recent_events", _count_when("recent")),
+        Counter("recent_purchases", _count_when("recent AND event_type = 'purchase'")),
+        Counter("recent_views", _count_when("recent AND event_type = 'page_view'")),
+        Counter("recent_paid_total", "sum(recent_paid)"),
+        Counter("recent_paid_events", "count(recent_paid)"),
         *[Counter(name,
-                  F.bit_or(F.when(slot.between(word * _WORD, word * _WORD + _WORD - 1),
-                                  _bit(slot - word * _WORD))),
-                  F.bit_or)
+                  f"bit_or(CASE WHEN day_slot BETWEEN {word * _WORD} AND {word * _WORD + _WORD - 1} "
+                  f"THEN shiftleft(1L, day_slot - {word * _WORD}) END)",
+                  "bit_or")
           for word, name in enumerate(_day_words(days))],
     ]
 
 
 def _recent_columns(days: int) -> list[Column]:
-    marked = [F.coalesce(F.bit_count(name), F.lit(0)) for name in _day_words(days)]
+    marked = " + ".join(f"coalesce(bit_count({name}), 0)" for name in _day_words(days))
     return [
         F.col("recent_events").alias(f"events_last_{days}d"),
         F.col("recent_purchases").alias(f"purchases_last_{days}d"),
         F.col("recent_views").alias(f"page_views_last_{days}d"),
-        (_total(marked) + F.col("late_day")).alias(f"active_days_last_{days}d"),
+        F.expr(f"{marked} + late_day AS active_days_last_{days}d"),
         mean_of(F.col("recent_paid_total"), F.col("recent_paid_events"))
         .alias(f"avg_purchase_amount_last_{days}d"),
     ]
@@ -197,50 +187,51 @@ _WEEKDAYS = range(1, 8)
 
 
 def _clock_rows(rows: DataFrame) -> DataFrame:
-    return rows.withColumns({"hour": F.hour("timestamp"), "weekday": F.dayofweek("timestamp")})
+    return rows.selectExpr("*", "hour(timestamp) AS hour", "dayofweek(timestamp) AS weekday")
 
 
 def _clock_counters() -> list[Counter]:
     return [
-        *[Counter(f"hour_{hour}", _count_when(F.col("hour") == hour)) for hour in _HOURS],
-        *[Counter(f"weekday_{day}", _count_when(F.col("weekday") == day)) for day in _WEEKDAYS],
+        *[Counter(f"hour_{hour}", _count_when(f"hour = {hour}")) for hour in _HOURS],
+        *[Counter(f"weekday_{day}", _count_when(f"weekday = {day}")) for day in _WEEKDAYS],
     ]
 
 
-def _most_frequent(columns: Sequence[Column], first: int) -> Column:
+def _most_frequent(counts: Sequence[str], first: int) -> str:
     """Position of the largest count; the smallest position wins a tie."""
-    largest = F.greatest(*columns)
-    place = F.array_position(F.array(*columns), largest).cast("int") - 1 + first
-    return F.when(largest > 0, place)
-
-
-def _clock_columns() -> list[Column]:
-    hours = [F.col(f"hour_{hour}") for hour in _HOURS]
-    weekdays = [F.col(f"weekday_{day}") for day in _WEEKDAYS]
+    listed = ", ".join(counts)
+    return (f"CASE WHEN greatest({listed}) > 0 THEN "
+            f"CAST(array_position(array({listed}), greatest({listed})) AS INT) - 1 + {first} END")
 
-    def between(bounds: tuple[int, int]) -> Column:
-        return _total(hours[bounds[0]:bounds[1] + 1])
 
-    # The sample deviation follows from the hour counts.
-    events, sums, squares = F.col("hour_n"), F.col("hour_sum"), F.col("hour_squares")
-    spread = F.sqrt((events * squares - sums * sums) / (events * (events - 1)))
-    return [
-        _most_frequent(hours, 0).alias("preferred_hour"),
-        _most_frequent(weekdays, 1).alias("preferred_day"),
-        F.when(events > 1, spread).alias("activity_time_variance"),
-        between(schema.BUSINESS_HOURS).alias("business_hours_activity"),
-        between(schema.EVENING_HOURS).alias("evening_activity"),
-        _total([F.col(f"weekday_{day}") for day in schema.WEEKEND_DAYS]).alias("weekend_activity"),
-    ]
+def _with_moments(merged: DataFrame) -> DataFrame:
+    """Number, sum and sum of squares of the events' hours, from the hour counts."""
+    powers = [(f"hour_{hour}", hour, hour ** 2) for hour in _HOURS]
+    return merged.selectExpr(
+        "*",
+        f"CAST({' + '.join(name for name, _, _ in powers)} AS DOUBLE) AS hour_n",
+        f"CAST({' + '.join(f'{name} * {hour}' for name, hour, _ in powers)} AS DOUBLE) AS hour_sum",
+        f"CAST({' + '.join(f'{name} * {square}' for name, _, square in powers)} AS DOUBLE) "
+        "AS hour_squares")
 
 
-def _with_moments(merged: DataFrame) -> DataFrame:
-    hours = [(hour, F.col(f"hour_{hour}")) for hour in _HOURS]
-    return merged.withColumns({
-        "hour_n": _total([column for _, column in hours]).cast("double"),
-        "hour_sum": _total([column * hour for hour, column in hours]).cast("double"),
-        "hour_squares": _total([column * hour ** 2 for hour, column in hours]).cast("double"),
-    })
+def _clock_columns() -> list[Column]:
+    hours = [f"hour_{hour}" for hour in _HOURS]
+    weekdays = [f"weekday_{day}" for day in _WEEKDAYS]
+
+    def between(bounds: tuple[int, int]) -> str:
+        return " + ".join(hours[bounds[0]:bounds[1] + 1])
+
+    return [F.expr(f"{value} AS {name}") for name, value in {
+        "preferred_hour": _most_frequent(hours, 0),
+        "preferred_day": _most_frequent(weekdays, 1),
+        "activity_time_variance":
+            "CASE WHEN hour_n > 1 THEN "
+            "sqrt((hour_n * hour_squares - hour_sum * hour_sum) / (hour_n * (hour_n - 1))) END",
+        "business_hours_activity": between(schema.BUSINESS_HOURS),
+        "evening_activity": between(schema.EVENING_HOURS),
+        "weekend_activity": " + ".join(f"weekday_{day}" for day in schema.WEEKEND_DAYS),
+    }.items()]
 
 
 def behavioral_features(events: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidewatch import schema
 from tidewatch.functions.values import is_type, paid
@@ -49,25 +49,26 @@ def _busy_customers(events: DataFrame, busy_rows: int) -> DataFrame:
 
 def _by_customer(events: DataFrame, days: Sequence[int]) -> DataFrame:
     """Rolling values with one window partition per customer, sorted once."""
-    rows = events.select("*", *[value.alias(f"_{name}") for name, value in {
-        "events": F.lit(1),
-        "purchases": F.when(is_type("purchase"), 1).otherwise(0),
-        "revenue": paid(),
-        "priced": F.when(paid().isNotNull(), 1).otherwise(0),
-    }.items()])
-    timeline = Window.partitionBy("customer_id").orderBy(F.unix_micros("timestamp"))
-    so_far = timeline.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-
-    def total(metric: str, n: int) -> Column:
-        left = timeline.rangeBetween(Window.unboundedPreceding, -(n * _DAY + 1))
-        value = F.coalesce(F.sum(f"_{metric}").over(so_far), F.lit(0))
-        gone = F.coalesce(F.sum(f"_{metric}").over(left), F.lit(0))
-        # Events without a time see each other and nothing else.
-        return F.when(F.col("timestamp").isNull(), value).otherwise(value - gone)
-
-    totals = rows.select(*events.columns, *[
-        total(metric, n).alias(f"{metric}_{n}") for n in days for metric in _METRICS])
-    return totals.select(*events.columns, *[column for n in days for column in _results(n)])
+    kept = [f"`{name}`" for name in events.columns]
+    rows = events.withColumn("_revenue", paid()).selectExpr(
+        *kept, "_revenue", "1 AS _events", "CAST(_revenue IS NOT NULL AS INT) AS _priced",
+        "CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS _purchases")
+
+    def total(metric: str, end: str) -> str:
+        return (f"coalesce(sum(_{metric}) OVER (PARTITION BY customer_id "
+                f"ORDER BY unix_micros(timestamp) "
+                f"RANGE BETWEEN UNBOUNDED PRECEDING AND {end}), 0)")
+
+    totals = rows.selectExpr(
+        *kept,
+        *[f"{total(metric, 'CURRENT ROW')} AS _{metric}" for metric in _METRICS],
+        *[f"{total(metric, f'{n * _DAY + 1} PRECEDING')} AS _{metric}_before_{n}"
+          for n in days for metric in _METRICS])
+    # Events without a time see each other and nothing else.
+    trailing = totals.selectExpr(*kept, *[
+        f"_{metric} - CASE WHEN timestamp IS NULL THEN 0 ELSE _{metric}_before_{n} END "
+        f"AS {metric}_{n}" for n in days for metric in _METRICS])
+    return trailing.selectExpr(*kept, *[text for n in days for text in _results(n)])
 
 
 def _by_slice(events: DataFrame, days: Sequence[int], slice_seconds: int) -> DataFrame:
@@ -88,20 +89,20 @@ def _by_slice(events: DataFrame, days: Sequence[int], slice_seconds: int) -> Dat
     balances = _opening_balances(moves, days)
 
     # Balances have no time and sort first; exits sort after entries of their instant.
-    timeline = (Window.partitionBy("customer_id", "slice").orderBy("at", "window")
-                .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    timeline = ("OVER (PARTITION BY customer_id, slice ORDER BY at, window "
+                "RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
     totals = (moves.unionByName(balances, allowMissingColumns=True)
-              .select("customer_id", "timestamp", *[
-                  F.sum(F.coalesce(F.col(f"opening.{metric}_{n}"), _change(metric, n)))
-                  .over(timeline).alias(f"{metric}_{n}")
+              .selectExpr("customer_id", "timestamp", *[
+                  f"sum(coalesce(opening.{metric}_{n}, {_change(metric, n)})) {timeline} "
+                  f"AS {metric}_{n}"
                   for n in days for metric in _METRICS])
-              .where(F.col("timestamp").isNotNull()))
+              .where("timestamp IS NOT NULL"))
     # Events without a time see each other and nothing else.
-    untimed = ticks.where(at_no_time).select("customer_id", "timestamp", *[
-        F.col(metric).alias(f"{metric}_{n}") for n in days for metric in _METRICS])
-    results = totals.unionByName(untimed).select(
-        F.col("customer_id").alias("_customer"), F.col("timestamp").alias("_instant"),
-        *[column for n in days for column in _results(n)])
+    untimed = ticks.where(at_no_time).selectExpr("customer_id", "timestamp", *[
+        f"{metric} AS {metric}_{n}" for n in days for metric in _METRICS])
+    results = totals.unionByName(untimed).selectExpr(
+        "customer_id AS _customer", "timestamp AS _instant",
+        *[text for n in days for text in _results(n)])
     same_tick = (events["customer_id"].eqNullSafe(F.col("_customer"))
                  & events["timestamp"].eqNullSafe(F.col("_instant")))
     return events.join(results, same_tick).drop("_customer", "_instant")
@@ -122,32 +123,28 @@ def _moves(ticks: DataFrame, days: Sequence[int], slice_seconds: int) -> DataFra
                     F.floor(F.col("move.at") / (slice_seconds * _SECOND)).alias("slice")))
 
 
-def _change(metric: str, n: int) -> Column:
+def _change(metric: str, n: int) -> str:
     """What a move adds to the running total of window `n`."""
-    return (F.when(F.col("window") == 0, F.col(metric))
-            .when(F.col("window") == n, -F.col(metric))
-            .otherwise(F.lit(0)))
+    return f"CASE WHEN window = 0 THEN {metric} WHEN window = {n} THEN -{metric} ELSE 0 END"
 
 
 def _opening_balances(moves: DataFrame, days: Sequence[int]) -> DataFrame:
     """Per customer and slice, the totals of all earlier slices."""
     names = {f"{metric}_{n}": _change(metric, n) for n in days for metric in _METRICS}
     slices = moves.groupBy("customer_id", "slice").agg(
-        *[F.sum(change).alias(name) for name, change in names.items()])
-    earlier = (Window.partitionBy("customer_id").orderBy("slice")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    return slices.select("customer_id", "slice", F.struct(*[
-        F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(name) for name in names
-    ]).alias("opening"))
+        *[F.expr(f"sum({change}) AS {name}") for name, change in names.items()])
+    earlier = ("OVER (PARTITION BY customer_id ORDER BY slice "
+               "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+    fields = ", ".join(f"'{name}', coalesce(sum({name}) {earlier}, 0)" for name in names)
+    return slices.selectExpr("customer_id", "slice", f"named_struct({fields}) AS opening")
 
 
-def _results(n: int) -> list[Column]:
+def _results(n: int) -> list[str]:
+    # A frame with nothing but purchases of unknown amount has no revenue.
     return [
-        F.col(f"events_{n}").alias(f"rolling_events_{n}d"),
-        F.col(f"purchases_{n}").alias(f"rolling_purchases_{n}d"),
-        # A frame with nothing but purchases of unknown amount has no revenue.
-        F.when(F.col(f"priced_{n}") > 0, F.col(f"revenue_{n}").cast("double"))
-        .alias(f"rolling_revenue_{n}d"),
+        f"events_{n} AS rolling_events_{n}d",
+        f"purchases_{n} AS rolling_purchases_{n}d",
+        f"CASE WHEN priced_{n} > 0 THEN CAST(revenue_{n} AS DOUBLE) END AS rolling_revenue_{n}d",
     ]
 
 

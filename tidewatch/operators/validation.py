@@ -16,15 +16,16 @@ def check_messages(messages: DataFrame) -> DataFrame:
     """Decoded events with the message text and the `reasons` to reject it.
 
     The text is read twice: as an event, and as a plain map of its top-level fields,
-    which shows the fields an event has no place for and those that were absent.
+    which shows the fields an event has no place for and those that were absent. The
+    generator around each step holds its result; as a plain column it would be copied
+    into, and parsed again by, every expression that refers to it.
     """
     text = F.col("value").cast("string")
-    read = messages.select(
-        text.alias("value"),
+    read = messages.select(text.alias("value"), F.inline(F.array(F.struct(
         F.from_json(text, schema.EVENT).alias("event"),
-        F.from_json(text, "map<string,string>").alias("fields"))
-    checked = read.withColumn("reasons", F.when(
-        F.col("fields").isNull(), F.array(F.lit("bad_json"))).otherwise(_reasons()))
+        F.from_json(text, "map<string,string>").alias("fields")))))
+    reasons = F.when(F.col("fields").isNull(), F.array(F.lit("bad_json"))).otherwise(_reasons())
+    checked = read.select("*", F.explode(F.array(reasons)).alias("reasons"))
     names = [field.name for field in schema.EVENT if field.name != "schema_version"]
     version = F.when(~_has("schema_version"), F.lit(schema.SCHEMA_VERSION)).otherwise(
         F.col("event.schema_version"))

@@ -12,6 +12,7 @@ CUSTOMER_ID_LENGTH = (1, 50)
 
 EVENT_TOPIC = "customer-events"
 PREDICTION_TOPIC = "churn-predictions"
+CONSUMER_GROUP = "churn-prediction-consumer"
 
 ROLLING_DAYS = [7, 30, 90]
 RECENT_DAYS = 30

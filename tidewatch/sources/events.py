@@ -57,9 +57,13 @@ def encode(events: DataFrame) -> DataFrame:
 
 
 def decode(messages: DataFrame) -> DataFrame:
-    """Events from messages; text that is no JSON object becomes an all-NULL row."""
+    """Events from messages; text that is no JSON object becomes an all-NULL row.
+
+    The generator makes Spark parse each text once, where selecting the fields of a
+    parsed column would parse it again for each field.
+    """
     event = F.from_json(F.col("value").cast("string"), schema.EVENT)
-    return messages.select(event.alias("event")).select("event.*")
+    return messages.select(F.inline(F.array(event)))
 
 
 def keys(messages: DataFrame) -> DataFrame:

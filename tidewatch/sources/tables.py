@@ -132,15 +132,16 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str],
 
 def compact(spark: SparkSession, path: str, partition_by: Sequence[str] = (),
             file_bytes: int = FILE_BYTES) -> int:
-    """Rewrite the newest snapshot in files of about `file_bytes`; returns their number."""
+    """Rewrite the newest snapshot in files of about `file_bytes`; returns how many it takes."""
     current = read_table(spark, path)
     files, _ = _folder(spark, path)
     newest = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v={versions(spark, path)[-1]}")
     count = max(1, math.ceil(files.getContentSummary(newest).getLength() / file_bytes))
     if partition_by:
-        # AQE sizes and splits the partitions of this hint by the bytes they hold.
+        # Rows of one partition value must meet; AQE sizes and splits these by bytes.
         evened = current.hint("rebalance", *partition_by)
     else:
-        evened = current.repartition(count)
+        # Joins neighbouring input splits, which are even already, without a shuffle.
+        evened = current.coalesce(count)
     _write_next(evened, path, partition_by)
     return count

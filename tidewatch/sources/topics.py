@@ -18,7 +18,7 @@ _PUBLISH = {
 
 
 def subscribe(spark: SparkSession, servers: str, topic: str = schema.EVENT_TOPIC,
-              starting: str = "latest", **options: str) -> DataFrame:
+              starting: str = "latest", **options: str | int) -> DataFrame:
     """A stream of messages; `minPartitions` may split large topic partitions."""
     return (spark.readStream.format("kafka")
             .options(**{"kafka.bootstrap.servers": servers, "subscribe": topic,
@@ -26,6 +26,14 @@ def subscribe(spark: SparkSession, servers: str, topic: str = schema.EVENT_TOPIC
             .load())
 
 
+def subscribe_in_polls(spark: SparkSession, servers: str, topic: str = schema.EVENT_TOPIC,
+                       group: str = schema.CONSUMER_GROUP,
+                       poll_size: int = schema.POLL_SIZE) -> DataFrame:
+    """Messages for a handler: a named consumer group and small micro-batches."""
+    return subscribe(spark, servers, topic,
+                     **{"kafka.group.id": group, "maxOffsetsPerTrigger": poll_size})
+
+
 def publish_events(events: DataFrame, servers: str, topic: str = schema.EVENT_TOPIC) -> None:
     """Publish events as keyed JSON messages."""
     (encode(events).write.format("kafka")

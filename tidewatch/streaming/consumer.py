@@ -6,12 +6,13 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 Handler = Callable[[dict[str, Any]], None]
 
 _OUTCOME = "value string, error string"
+_PROGRESS = "processed bigint, failed bigint"
 
 
 def _decoded(messages: DataFrame) -> DataFrame:
@@ -56,18 +57,16 @@ def consume(messages: DataFrame, handler: Handler, checkpoint: str, outcomes: st
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         part = f"batch_id={batch_id}"
-        handled = f"{outcomes}/handled/{part}"
-        spark = batch.sparkSession
-        # Written once, so that the handler is not called again for the two results.
-        apply_handler(batch, handler).select(
-            F.when(F.col("error").isNotNull(), F.col("value")).alias("value"), "error",
-        ).write.mode("overwrite").parquet(handled)
-        result = spark.read.schema(_OUTCOME).parquet(handled)
-        (result.where(F.col("error").isNotNull())
+        # Counted on the way to the write, so that the handler runs once per message.
+        totals = Observation()
+        (apply_handler(batch, handler)
+         .observe(totals, F.count(F.when(F.col("error").isNull(), 1)).alias("processed"),
+                  F.count("error").alias("failed"))
+         .where(F.col("error").isNotNull())
          .write.mode("overwrite").parquet(f"{outcomes}/dead_letters/{part}"))
-        (result.agg(F.count(F.when(F.col("error").isNull(), 1)).alias("processed"),
-                    F.count("error").alias("failed"))
-         .write.mode("overwrite").parquet(f"{outcomes}/progress/{part}"))
+        counted = totals.get
+        (batch.sparkSession.createDataFrame([(counted["processed"], counted["failed"])], _PROGRESS)
+         .coalesce(1).write.mode("overwrite").parquet(f"{outcomes}/progress/{part}"))
 
     writer = messages.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if available_now:
@@ -80,5 +79,4 @@ def dead_letters(spark: SparkSession, outcomes: str) -> DataFrame:
 
 
 def progress(spark: SparkSession, outcomes: str) -> DataFrame:
-    return spark.read.schema("processed bigint, failed bigint, batch_id bigint").parquet(
-        f"{outcomes}/progress")
+    return spark.read.schema(f"{_PROGRESS}, batch_id bigint").parquet(f"{outcomes}/progress")
