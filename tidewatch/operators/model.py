@@ -79,7 +79,7 @@ def standardise(rows: DataFrame, features: Sequence[str] = tuple(schema.FEATURES
 def train(rows: DataFrame, features: Sequence[str] = tuple(schema.FEATURES),
           settings: Mapping[str, Any] | None = None,
           percent: int = schema.VALIDATION_PERCENT) -> PipelineModel:
-    """Fit boosted trees on labelled rows; validation rows decide when to stop.
+    """Fit boosted trees on labelled rows, until the validation rows get worse.
 
     `rows` is read many times and should be a stored table.
     """
@@ -91,7 +91,7 @@ def train(rows: DataFrame, features: Sequence[str] = tuple(schema.FEATURES),
     scaler = StandardScaler(inputCol="raw_features", outputCol="scaled_features",
                             withMean=True, withStd=True).fit(assembled.where(~F.col(_VALIDATION)))
     trees = GBTClassifier(featuresCol="scaled_features", labelCol=LABEL,
-                          validationIndicatorCol=_VALIDATION,
+                          validationIndicatorCol=_VALIDATION, validationTol=0.0,
                           **{**schema.TREE_SETTINGS, **(settings or {})})
     return PipelineModel([assembler, scaler, trees.fit(scaler.transform(assembled))])
 
