@@ -9,7 +9,6 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewatch import schema
-from tidewatch.functions.values import rule_score
 from tidewatch.operators import model, predictions, profile, quality, rolling, validation
 from tidewatch.plans.jobs import run_stream_job
 from tidewatch.session import scratch_path
@@ -211,7 +210,7 @@ def tumbling_features(spark, sf_dir):
 
 
 @query
-def rule_score_by_day(spark, sf_dir):
+def rule_score(spark, sf_dir):
     """Day windows, in which all three scores occur."""
     return _window_columns(stream_features_of.with_rule_score(
         stream_features_of.window_features(_events(spark, sf_dir), "1 day")))
@@ -701,7 +700,7 @@ def oracle_sql() -> dict[str, str]:
         "scoring_input_report": _with(_CANONICAL, _CUSTOMERS, _scoring_rules_sql())
         + " " + _REPORT + "q",
         "tumbling_features": _with(_FIVE_MINUTES) + " SELECT * EXCLUDE (churn_score) FROM w",
-        "rule_score_by_day": _with(_CANONICAL, _WINDOWS.format(width="1 DAY")) + " SELECT * FROM w",
+        "rule_score": _with(_CANONICAL, _WINDOWS.format(width="1 DAY")) + " SELECT * FROM w",
         "stream_features": closed_windows,
         "stream_source": flat_events,
         "stream_append": closed_windows,

@@ -129,3 +129,16 @@ def test_validation_works_on_a_stream(spark, folders, send):
                               available_now=True).awaitTermination()
     assert [row["customer_id"] for row in spark.read.parquet(folders["out"] + "/good").collect()] == ["a"]
     assert [row["reasons"] for row in spark.read.parquet(folders["out"] + "/bad").collect()] == [["bad_event_type"]]
+
+
+def test_a_stream_reports_its_validation_totals(spark, folders, send):
+    send(("a", NOON, "login", None), ("b", NOON, "refund", "1"), ("c", NOON, "logout", "1"))
+    observed = validation.observe_validation(
+        validation.check_messages(follow_messages(spark, folders["in"])))
+    query = sinks.append_to_table(validation.valid_events(observed), folders["out"],
+                                  folders["checkpoint"], available_now=True)
+    query.awaitTermination()
+    totals = [tuple(progress["observedMetrics"]["validation"].values()) if isinstance(
+        progress["observedMetrics"]["validation"], dict) else tuple(progress["observedMetrics"]["validation"])
+        for progress in query.recentProgress if progress["observedMetrics"]]
+    assert (2, 1, 3) in totals

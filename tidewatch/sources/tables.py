@@ -44,7 +44,10 @@ def create_if_absent(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                      table_format: str = "parquet") -> bool:
     """Write `df` as a new table; an existing table is left alone. True if written."""
     if table_format == "delta":
-        df.write.format("delta").mode("ignore").partitionBy(*partition_by).save(path)
+        files, _ = _folder(df.sparkSession, path)
+        if files.exists(df.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{path}/_delta_log")):
+            return False
+        df.write.format("delta").partitionBy(*partition_by).save(path)
         return True
     if versions(df.sparkSession, path):
         return False
