@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, operators
+from conftest import AS_OF, operators, plan_of
 from tidewatch.operators.rolling import cohort_features, first_purchase, rolling_aggregations
 
 DAYS = (7, 30)
@@ -111,7 +111,8 @@ def test_busy_customers_are_spread_over_tasks(spark):
     assert largest <= 15
 
 
-def test_first_purchase_and_cohort(make_events):
+@pytest.mark.parametrize("busy_rows", [0, 100])
+def test_first_purchase_and_cohort(make_events, busy_rows):
     first = datetime(2024, 1, 10, 23, 59)
     events = make_events(
         ("a", datetime(2024, 1, 9), "login", None), ("a", first, "purchase", "1"),
@@ -119,6 +120,27 @@ def test_first_purchase_and_cohort(make_events):
         ("b", first, "login", None), (None, first, "purchase", "1"))
     assert {row[0] for row in first_purchase(events).collect()} == {"a", None}
     rows = sorted((str(row["customer_id"]), str(row["days_since_first_purchase"]),
-                   str(row["cohort_month"])) for row in cohort_features(events).collect())
+                   str(row["cohort_month"])) for row in cohort_features(events, busy_rows).collect())
     assert rows == sorted([("a", "-1", "2024-01"), ("a", "0", "2024-01"), ("a", "1", "2024-01"),
                            ("a", "22", "2024-01"), ("b", "None", "None"), ("None", "None", "None")])
+
+
+def test_busy_customers_join_their_cohort_without_a_shuffle(spark, tmp_path):
+    """With a third of all events in one customer, no exchange carries them."""
+    path = str(tmp_path / "events")
+    (spark.range(0, 30000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("customer_id"),
+        F.timestamp_seconds(F.col("id") * 7 + 1704067200).alias("timestamp"),
+        F.when(F.col("id") % 2 == 0, "purchase").otherwise("login").alias("event_type"))
+     .write.parquet(path))
+    events = spark.read.parquet(path)
+    split = cohort_features(events, busy_rows=5000)
+    assert "SortMergeJoin" not in plan_of(split)
+    assert (sorted(map(str, split.collect()))
+            == sorted(map(str, events.join(first_purchase(events), "customer_id", "left").withColumns({
+                "days_since_first_purchase": F.date_diff("timestamp", "first_purchase_date"),
+                "cohort_month": F.date_format("first_purchase_date", "yyyy-MM")}).collect())))
+    # The largest partition of the window holds ordinary customers only.
+    from tidewatch.operators.rolling import _split_busy
+    ordinary, busy = _split_busy(events, 5000)
+    assert (ordinary.count(), busy.count()) == (20000, 10000)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidewatch import schema
 from tidewatch.functions.values import is_type, paid
@@ -31,15 +31,19 @@ def rolling_aggregations(
     A customer with more than `busy_rows` events, and more than one event in
     100,000 of the table, is too much for one window task and is cut into time slices.
     """
-    busy = _busy_customers(events, busy_rows)
+    ordinary, busy = _split_busy(events, busy_rows)
+    return _by_customer(ordinary, days).unionByName(_by_slice(busy, days, slice_seconds))
+
+
+def _split_busy(events: DataFrame, busy_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Events of ordinary customers and events of busy ones."""
+    busy = F.broadcast(_busy_customers(events, busy_rows))
     same = events["customer_id"].eqNullSafe(F.col("_busy"))
-    ordinary = events.join(F.broadcast(busy), same, "left_anti")
-    sliced = events.join(F.broadcast(busy), same, "left_semi")
-    return _by_customer(ordinary, days).unionByName(_by_slice(sliced, days, slice_seconds))
+    return events.join(busy, same, "left_anti"), events.join(busy, same, "left_semi")
 
 
 def _busy_customers(events: DataFrame, busy_rows: int) -> DataFrame:
-    """Customers to slice. There are fewer than `_BUSY_PARTS` of them, whatever the
+    """Customers too large for one task. There are fewer than `_BUSY_PARTS` of them, whatever the
     size of the table, so the list can be broadcast."""
     share = events.agg(F.count("*") / _BUSY_PARTS).scalar()
     return (events.groupBy(F.col("customer_id").alias("_busy")).agg(F.count("*").alias("rows"))
@@ -154,13 +158,20 @@ def first_purchase(events: DataFrame) -> DataFrame:
             .agg(F.min("timestamp").alias("first_purchase_date")))
 
 
-def cohort_features(events: DataFrame) -> DataFrame:
+def cohort_features(events: DataFrame, busy_rows: int = 1_000_000) -> DataFrame:
     """Each event with its customer's first purchase, the days since, and its month.
 
-    The first purchases are combined before they are shuffled, and the join back can
-    split a busy customer's events, which a window over the customer could not.
+    Ordinary customers need one window and one exchange. The first purchases of busy
+    customers, at most one row for each of them, are broadcast to their events, which
+    then stay where they are.
     """
-    return events.join(first_purchase(events), "customer_id", "left").withColumns({
+    ordinary, busy = _split_busy(events, busy_rows)
+    first = F.min(F.when(is_type("purchase"), F.col("timestamp"))).over(
+        Window.partitionBy("customer_id"))
+    # Events without a customer belong to no cohort.
+    own = F.when(F.col("customer_id").isNotNull(), first)
+    known = busy.join(F.broadcast(first_purchase(busy)), "customer_id", "left")
+    return ordinary.withColumn("first_purchase_date", own).unionByName(known).withColumns({
         "days_since_first_purchase": F.date_diff("timestamp", "first_purchase_date"),
         "cohort_month": F.date_format("first_purchase_date", "yyyy-MM"),
     })
