@@ -144,3 +144,34 @@ def test_busy_customers_join_their_cohort_without_a_shuffle(spark, tmp_path):
     from tidewatch.operators.rolling import _split_busy
     ordinary, busy = _split_busy(events, 5000)
     assert (ordinary.count(), busy.count()) == (20000, 10000)
+
+
+def test_many_events_at_one_instant_are_split_in_the_last_join(spark, tmp_path):
+    """Half of a busy customer's events share one time; AQE cuts that join partition."""
+    from tidewatch.operators.rolling import _by_slice
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    }
+    path = str(tmp_path / "events")
+    (spark.range(0, 60000, 1, 8).select(
+        F.lit("hot").alias("customer_id"),
+        F.timestamp_seconds(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") * 7)
+                            + 1704067200).alias("timestamp"),
+        F.lit("login").alias("event_type"),
+        F.create_map(F.lit("note"), F.md5(F.col("id").cast("string"))).alias("event_data"))
+     .write.parquet(path))
+    previous = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        result = _by_slice(spark.read.parquet(path), (7,), 900)
+        assert len(result.collect()) == 60000
+        assert "SortMergeJoin(skew=true)" in plan_of(result)
+    finally:
+        for key, value in previous.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
