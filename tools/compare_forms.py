@@ -1,7 +1,8 @@
 """Time the plain forms of three operators against the ones in this repository.
 
-`python tools/compare_forms.py [sf_dir] [copies]`: with `copies`, every customer is
-repeated that many times, which scales the events without changing their pattern.
+`python tools/compare_forms.py [sf_dir] [copies] [name]`: with `copies`, every customer
+is repeated that many times, which scales the events without changing their pattern;
+with `name`, only the forms whose name contains it are timed.
 """
 
 import statistics
@@ -62,7 +63,7 @@ def cohort_by_window(events):
         "cohort_month": F.date_format("first_purchase_date", "yyyy-MM")})
 
 
-def main(sf_dir="/root/testdata/sf0.1", copies="1"):
+def main(sf_dir="/root/testdata/sf0.1", copies="1", only=""):
     spark = build_session(spark__master="local[8]", spark__sql__shuffle__partitions="16",
                           spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
                           spark__driver__memory="12g")
@@ -85,7 +86,7 @@ def main(sf_dir="/root/testdata/sf0.1", copies="1"):
         "cohort": lambda: rolling.cohort_features(events),
     }
     for name, form in forms.items():
-        if name == "rolling by slice" and int(copies) > 10:
+        if only not in name or (name == "rolling by slice" and int(copies) > 10):
             continue
         times = []
         for _ in range(4):
