@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 from functools import lru_cache, wraps
 
@@ -457,8 +458,16 @@ def entry(spark: SparkSession) -> DataFrame:
     return _QUERIES["customer_profile"](spark, SMOKE_DIR)
 
 
+def _extension(part: str) -> dict:
+    """Queries or SQL of the training-data operators, where those are installed."""
+    if not all(map(importlib.util.find_spec, ("tidewatch.llm", "corpus_pipeline"))):
+        return {}
+    from tidewatch.llm import queries as extension
+    return getattr(extension, part)
+
+
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_extension("QUERIES")}
 
 
 # --- SQL counterparts ---------------------------------------------------------------
@@ -648,7 +657,7 @@ s AS (SELECT customer_id, count(*) AS events, max(ts) AS last_seen FROM e
       WHERE ts >= TIMESTAMP '2024-01-16' AND event_type = 'purchase' GROUP BY customer_id)"""
 
 
-def oracle_sql() -> dict[str, str]:
+def _own_sql() -> dict[str, str]:
     recent = _recent_sql(30)
     closed_windows = _with(_FIVE_MINUTES) + f" SELECT * FROM w WHERE {_CLOSED}"
     flat_events = _with(_CANONICAL) + f" SELECT {_FLAT} FROM e"
@@ -789,3 +798,7 @@ def oracle_sql() -> dict[str, str]:
                    round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1_score
             FROM n""",
     }
+
+
+def oracle_sql() -> dict[str, str]:
+    return {**_own_sql(), **_extension("SQL")}
