@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import warc
+from tidewatch.llm import fingerprints, html, warc
 from tidewatch.llm.common import table
 
 QUERIES = {}
@@ -14,6 +14,16 @@ def query(function):
     return function
 
 
+@query
+def op3_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_html(spark, sf_dir):
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op10_warc(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"))
