@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import fingerprints, html, warc
+from tidewatch.llm import chat, contamination, fingerprints, html, packing, quality, warc
 from tidewatch.llm.common import table
 
 QUERIES = {}
@@ -14,11 +14,33 @@ def query(function):
     return function
 
 
+@query
+def op1_decontamination(spark, sf_dir):
+    return contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op3_fingerprints(spark, sf_dir):
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_chat(spark, sf_dir):
+    conversations = chat.with_probe(table(spark, sf_dir, "conversations"))
+    read = chat.digests(chat.format_conversations(conversations))
+    return read.drop("n_ids", "n_loss_ids")
+
+
+@query
+def op6_quality(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_html(spark, sf_dir):
     return html.extract(table(spark, sf_dir, "pages"))
@@ -43,3 +65,57 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest,
        CASE WHEN n >= 1000 AND kept <> page_id THEN kept END AS refers_to
 FROM k
 """
+
+
+def _escaped_length(text: str) -> str:
+    marks = ("chr(92)", "'<s>'", "'</s>'", "'[INST]'", "'[/INST]'")
+    counts = [f"(length({text}) - length(replace({text}, {m}, ''))) // length({m})" for m in marks]
+    return f"(length({text}) + " + " + ".join(counts) + ")"
+
+
+SQL["op5_chat"] = f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), g AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS whole,
+         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS learned,
+         CAST(sum(20 + {_escaped_length('role')} + {_escaped_length('text')}) AS BIGINT) AS formatted_chars
+  FROM c GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(learned) AS loss_chars,
+       sha256(learned) AS loss_sha256, formatted_chars
+FROM g
+"""
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+SQL["op1_decontamination"] = f"""
+WITH b AS (
+  SELECT item_id, {_WORDS} AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS phrase
+  FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
+        FROM b WHERE len(w) > 0)
+), d AS (
+  SELECT doc_id, {_WORDS} AS w FROM documents
+), places AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS phrase
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)
+), found AS (
+  SELECT doc_id, item_id, i, n FROM places JOIN windows USING (n, phrase)
+), hits AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS word FROM found) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
