@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewatch.session import scratch_path
 
@@ -58,3 +58,23 @@ def byte_view(values: pa.Array, pad: int = 8) -> tuple[np.ndarray, np.ndarray]:
     view = np.zeros(offsets[-1] - offsets[0] + pad, np.uint8)
     view[:offsets[-1] - offsets[0]] = raw[offsets[0]:offsets[-1]]
     return view, offsets - offsets[0]
+
+
+def packed(frame: DataFrame, *columns: Column) -> DataFrame:
+    """Each row as one struct named row, beside `columns`: no name of the frame can clash."""
+    whole = F.struct(*[F.col(f"`{name}`") for name in frame.columns]).alias("row")
+    return frame.select(whole, *columns)
+
+
+def unpacked(frame: DataFrame, columns: list[str], **replaced: Column) -> DataFrame:
+    """The columns of packed rows, some of them replaced or added."""
+    names = [*columns, *(name for name in replaced if name not in columns)]
+    return frame.select(*[replaced.get(name, F.col("row").getField(name)).alias(name) for name in names])
+
+
+def with_text(frame: DataFrame, columns: list[str]) -> DataFrame:
+    """Packed rows with the new text beside them, n_chars set anew where there is one."""
+    replaced = {"text": F.col("text")}
+    if "n_chars" in columns:
+        replaced["n_chars"] = F.char_length("text").cast("long")
+    return unpacked(frame, columns, **replaced)

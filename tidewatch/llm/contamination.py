@@ -16,7 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidewatch.llm.common import byte_view, chunks
+from pyspark.sql.types import StructType
+
+from tidewatch.llm.common import byte_view, chunks, packed, with_text
 
 WINDOW = 10
 BLOCK_BYTES = 8_000_000
@@ -225,19 +227,16 @@ def blocks_of(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[t
 
 def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                        block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """All columns of `documents` with n_words, hit_words (merged word ranges, as pairs of longs),
+    """row (the packed input), text, n_words, hit_words (merged word ranges, as pairs of longs),
     hit_bytes (the same ranges in the text's UTF-8 bytes) and hit_items (ids as text).
 
     Documents are never shuffled; each block of the benchmark is one pass over them. A null or
     empty text has no words; items without words have no windows; repeated rows are searched
-    alike. Columns with these names are replaced.
+    alike; a benchmark without rows hits nothing.
     """
-    names = ("n_words", "hit_words", "hit_bytes", "hit_items")
-    rows = documents.drop(*names).selectExpr(
-        "*", "0L as n_words", "cast(array() as array<long>) as hit_words",
-        "cast(array() as array<long>) as hit_bytes", "cast(array() as array<string>) as hit_items")
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    width = len(rows.columns) - len(names)
+    rows = packed(documents, *[F.expr(e) for e in (
+        "cast(text as string) as text", "0L as n_words", "cast(array() as array<long>) as hit_words",
+        "cast(array() as array<long>) as hit_bytes", "cast(array() as array<string>) as hit_items")])
     for block in list(blocks_of(benchmark, block_bytes)) or [[]]:
         sent = documents.sparkSession.sparkContext.broadcast(phrases_of(block, window))
 
@@ -264,11 +263,11 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int =
                     pairs = set(zip(length[own].tolist(), which[own].tolist()))
                     items[i] = sorted(set(items[i]).union(*(phrases.items[n][w] for n, w in pairs)))
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:width], pa.array(count, pa.int64()), pa.array(spans, pa.list_(pa.int64())),
+                    [batch.column("row"), batch.column("text"), pa.array(count, pa.int64()), pa.array(spans, pa.list_(pa.int64())),
                      pa.array(spots, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))],
                     names=batch.schema.names)
 
-        rows = rows.mapInArrow(run, kinds)
+        rows = rows.mapInArrow(run, rows.schema)
     return rows
 
 
@@ -279,7 +278,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
                         lambda t, v: F.struct((t["sum"] + t["sign"] * v).alias("sum"), (-t["sign"]).alias("sign")),
                         lambda t: t["sum"])
     return found.select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("hit_items").cast("long").alias("n_items"),
+        F.col("row.doc_id").alias("doc_id"), "n_words", n_hit.alias("n_hit"), F.size("hit_items").cast("long").alias("n_items"),
         F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"),
         (F.size("hit_words") > 0).alias("contaminated"))
 
@@ -290,9 +289,6 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     A span goes from the start of its first word to the end of its last one. All rows stay, as
     do their other columns and texts without a hit.
     """
-    found = find_contamination(documents, benchmark, window)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema)
-    place = found.columns.index("text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -303,11 +299,8 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
                     edges = [0, *spots, len(raw)]
                     text = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])).decode()
                 texts.append(text)
-            columns = list(batch.columns)
-            columns[place] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
-
-    result = found.mapInArrow(cut, kinds).drop("n_words", "hit_words", "hit_bytes", "hit_items")
-    if "n_chars" in documents.columns:
-        result = result.withColumn("n_chars", F.char_length("text").cast("long"))
-    return result.select(documents.columns)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
+
+    found = find_contamination(documents, benchmark, window).select("row", "text", "hit_bytes")
+    schema = StructType([found.schema["row"], found.schema["text"]])
+    return with_text(found.mapInArrow(cut, schema), documents.columns)

@@ -10,7 +10,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewatch.llm.common import byte_view, chunks
+from pyspark.sql.types import DoubleType, StructField, StructType
+
+from tidewatch.llm.common import byte_view, chunks, packed, unpacked
 
 FEATURES = 1 << 15
 LABELLED_ROWS = 4_000
@@ -183,10 +185,10 @@ def train(documents: DataFrame, labels: DataFrame, limit: int = LABELLED_ROWS) -
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
-    """All columns of `documents` and `score`, the probability of good quality.
+    """row (the packed input) and score, the probability of good quality, of every document.
 
     Only the text is looked at. A null or empty text has no indicators and gets the score of the
-    bias alone. One pass without a shuffle; a column named score is replaced.
+    bias alone. One pass without a shuffle.
     """
     sent = documents.sparkSession.sparkContext.broadcast(model)
 
@@ -195,16 +197,16 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
         features = len(fitted.weights)
         for batch in batches:
             found = [np.zeros(0)]
-            for row, feature, count in _rows_of(batch.column("text").cast(pa.string()), features):
+            for row, feature, count in _rows_of(batch.column("text"), features):
                 top = np.bincount(row, fitted.weights[feature], count)
                 norm = np.sqrt(np.bincount(row, fitted.squares[feature], count))
                 found.append(fitted.scores(top / np.maximum(norm, 1e-9) + fitted.bias))
-            scores = pa.array(np.concatenate(found), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), pa.array(np.concatenate(found), pa.float64())], names=["row", "score"])
 
-    rows = documents.drop("score")
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(run, f"{kinds}, score double")
+    rows = packed(documents, F.col("text").cast("string").alias("text"))
+    schema = StructType([rows.schema["row"], StructField("score", DoubleType())])
+    return rows.mapInArrow(run, schema)
 
 
 def classify(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
@@ -212,12 +214,14 @@ def classify(documents: DataFrame, labels: DataFrame, threshold: float = THRESHO
     """doc_id, held_out, score and predicted of every document. Without usable labels the score
     is 0.5. Repeated rows are scored alike; an empty table gives no rows."""
     model = train(documents, labels, limit)
+    doc_id = F.col("row.doc_id")
     return score(documents.select("doc_id", "text"), model).select(
-        "doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), "score",
+        doc_id.alias("doc_id"), (fold(doc_id) == HELD_OUT).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
               limit: int = LABELLED_ROWS) -> DataFrame:
     """The rows of `documents` that the classifier doesn't reject, with their own columns."""
-    return score(documents, train(documents, labels, limit)).where(F.col("score") >= threshold).drop("score")
+    scored = score(documents, train(documents, labels, limit))
+    return unpacked(scored.where(F.col("score") >= threshold), documents.columns)

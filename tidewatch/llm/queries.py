@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import chat, contamination, fingerprints, html, packing, quality, warc
+from tidewatch.llm import chat, contamination, fingerprints, html, packing, quality, suffixes, warc
 from tidewatch.llm.common import table
 
 QUERIES = {}
@@ -19,6 +19,11 @@ def op1_decontamination(spark, sf_dir):
     return contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op2_suffixes(spark, sf_dir):
+    return suffixes.dedup_digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_fingerprints(spark, sf_dir):
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
