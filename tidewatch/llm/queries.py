@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import chat, contamination, fingerprints, html, packing, quality, suffixes, warc
+from tidewatch.llm import chat, contamination, fingerprints, html, near, packing, quality, suffixes, warc
 from tidewatch.llm.common import table
 
 QUERIES = {}
@@ -46,6 +46,11 @@ def op7_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_near_duplicates(spark, sf_dir):
+    return near.near_groups(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "copy_id", "n_links")
+
+
 @query
 def op9_html(spark, sf_dir):
     return html.extract(table(spark, sf_dir, "pages"))
