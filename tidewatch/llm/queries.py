@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import chat, contamination, fingerprints, html, near, packing, quality, suffixes, warc
+from tidewatch.llm import chat, contamination, fingerprints, hmm, html, near, packing, quality, suffixes, warc
 from tidewatch.llm.common import table
 
 QUERIES = {}
@@ -29,6 +29,11 @@ def op3_fingerprints(spark, sf_dir):
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_hmm(spark, sf_dir):
+    return hmm.score(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_chat(spark, sf_dir):
     conversations = chat.with_probe(table(spark, sf_dir, "conversations"))
