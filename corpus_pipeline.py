@@ -1,6 +1,56 @@
-"""Corpus pipeline: the stages that turn documents into packed training sequences."""
+"""Corpus pipeline: from raw documents to packed training sequences.
+
+Each stage gets all documents its predecessor kept, and its decisions take effect: rejected and
+near-duplicate documents are gone, repeated and benchmark passages are cut out of their texts.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+
+from tidewatch.llm import contamination, near, packing, quality, suffixes
+from tidewatch.llm.common import stored, table
+
+
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier doesn't reject."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group."""
+    return near.keep_one(docs)
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the long passages that occur elsewhere."""
+    return suffixes.remove_repeats(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of the benchmark."""
+    return contamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of packed sequences."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality classifier", classify),
+    ("near-duplicates", drop_near_duplicates),
+    ("repeated passages", drop_repeats),
+    ("decontamination", decontaminate),
+    ("packing", pack),
+]
+# No stage but decontamination can be stated in SQL; tests hold the run against brute force.
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of `sf_dir`, each written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -19,37 +21,70 @@ END_ID = 1
 DIMENSIONS, BITS = 4, 12
 HASHED = 512
 MEMO_WORDS = 400_000
+# Fixed value: the vocabulary's own pattern of parts.
+_PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_PLAIN = regex.compile(r"[\x21-\x7e\xa1-\xff]*+")
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 
 
 class WordEncoder:
-    """Ids of texts, each distinct word encoded once per task.
+    """Ids of texts, with each distinct word and each distinct part of a word encoded once.
 
     White space separates words for this tokenizer and is dropped by it, so a text's ids are
-    those of its words end to end. Words are remembered up to a fixed number.
+    those of its words end to end. Words of plain Latin characters are cut to letters, digits and
+    signs as the tokenizer's own pattern does, and its model encodes the parts; other words go
+    through the tokenizer whole. Words and parts are remembered up to a fixed number.
     """
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
+        self.model = self.tokenizer.model
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.memo: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        # The byte-level alphabet: printable bytes stand for themselves, others follow from 256 on.
+        plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        others = sorted(set(range(256)) - set(plain))
+        self.alphabet = {b: 256 + i for i, b in enumerate(others)}
+
+    def _part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            if len(self.parts) > MEMO_WORDS:
+                self.parts.clear()
+            mapped = part.encode().decode("latin-1").translate(self.alphabet)
+            ids = np.array([token.id for token in self.model.tokenize(mapped)], self.kind).tobytes()
+            self.parts[part] = ids
+        return ids
+
+    def _word(self, word: str) -> bytes:
+        if _PLAIN.fullmatch(word) and "<|" not in word:
+            low = word.lower()
+            if low.isalpha():
+                return self._part(low)
+            return b"".join([self._part(part) for part in _PARTS.findall(low)])
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
 
     def encode(self, texts: list[str | None], end_id: int) -> list[bytes]:
         """Packed ids of each text with `end_id` after them."""
-        split = [text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if text else []
-                 for text in texts]
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        fresh = list(set().union(*split) - self.memo.keys())
-        for at in range(0, len(fresh), 10_000):
-            some = fresh[at:at + 10_000]
-            for word, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.memo[word] = np.array(got.ids, self.kind).tobytes()
-        end, memo = np.array([end_id], self.kind).tobytes(), self.memo
-        return [b"".join([memo[word] for word in words]) + end for words in split]
+        end, known, made = np.array([end_id], self.kind).tobytes(), self.words, []
+        for text in texts:
+            words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if text else []
+            if len(known) > MEMO_WORDS:
+                known.clear()
+            for word in set(words).difference(known):
+                known[word] = self._word(word)
+            made.append(b"".join([known[word] for word in words]) + end)
+        return made
+
+
+@lru_cache(maxsize=2)
+def encoder_of(vocabulary: str) -> WordEncoder:
+    """One encoder per worker process: its memory outlives the task, its ids don't depend on it."""
+    return WordEncoder(vocabulary)
 
 
 def hilbert_key(places: np.ndarray, bits: int) -> np.ndarray:
@@ -97,7 +132,7 @@ def encoded(documents: DataFrame, vocabulary: str = VOCABULARY, end_id: int = EN
     """doc_id, curve key and packed ids of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(vocabulary)
+        encoder = encoder_of(vocabulary)
         for batch in chunks(batches, "text"):
             packed = encoder.encode(batch.column("text").to_pylist(), end_id)
             keys = curve_keys([np.frombuffer(ids, encoder.kind) for ids in packed])

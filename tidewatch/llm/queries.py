@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from tidewatch.llm import chat, contamination, fingerprints, hmm, html, near, packing, quality, suffixes, warc
 from tidewatch.llm.common import table
 
@@ -105,6 +106,14 @@ SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(learned) AS loss_
 FROM g
 """
 
+@query
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL is not None:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
