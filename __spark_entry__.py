@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import importlib.util
 from collections.abc import Callable
-from functools import lru_cache, wraps
+from datetime import datetime, timezone
+from functools import wraps
 
-from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidewatch import schema
+from tidewatch.functions import values
+from tidewatch.functions.values import instant
 from tidewatch.operators import model, predictions, profile, quality, rolling, validation
 from tidewatch.plans.jobs import run_stream_job
 from tidewatch.session import scratch_path
@@ -19,7 +21,8 @@ from tidewatch.streaming import consumer, features as stream_features_of, sinks
 SMOKE_DIR = "/root/testdata/sf0.001"
 AS_OF = "2024-01-31"
 INACTIVE_DAYS = 1  # a 30-day label has no positives in 30 days of events
-FEW_TREES = {"maxIter": 5}
+EVERYONE = {"busy_rows": 0, "busy_parts": 10 ** 15}  # any customer with an event is a busy one
+ONE_CUSTOMER = "1"
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
@@ -66,18 +69,12 @@ def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.customer_profile(_events(spark, sf_dir), AS_OF)
 
 
-@lru_cache(maxsize=None)
-def _stored_training_set(spark: SparkSession, sf_dir: str) -> str:
+def _training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles and their labels, stored: training reads them many times."""
     path = scratch_path(spark, "training-set")
     features = _profile(spark, sf_dir)
-    labelled = features.withColumn(model.LABEL, model.churn_label(INACTIVE_DAYS))
-    labelled.write.parquet(path)
-    return path
-
-
-@lru_cache(maxsize=None)
-def _model(spark: SparkSession, sf_dir: str) -> PipelineModel:
-    return model.train(spark.read.parquet(_stored_training_set(spark, sf_dir)), settings=FEW_TREES)
+    features.withColumn(model.LABEL, model.churn_label(INACTIVE_DAYS)).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def _plain(moment: str) -> Column:
@@ -134,7 +131,7 @@ def rolling_aggregations(spark, sf_dir):
 @query
 def rolling_by_slice(spark, sf_dir):
     """The same values with every customer treated as a busy one."""
-    result = rolling.rolling_aggregations(_events(spark, sf_dir, "event_id"), busy_rows=0)
+    result = rolling.rolling_aggregations(_events(spark, sf_dir, "event_id"), **EVERYONE)
     return _rounded(result.drop("event_data", "schema_version"))
 
 
@@ -149,6 +146,13 @@ def cohort_features(spark, sf_dir):
     return _rounded(result.drop("event_data", "schema_version"))
 
 
+@query
+def cohort_by_broadcast(spark, sf_dir):
+    """The same values with every customer treated as a busy one."""
+    result = rolling.cohort_features(_events(spark, sf_dir, "event_id"), **EVERYONE)
+    return _rounded(result.drop("event_data", "schema_version"))
+
+
 # --- messages and validation --------------------------------------------------
 
 @query
@@ -156,6 +160,13 @@ def event_envelope(spark, sf_dir):
     return source.encode(_events(spark, sf_dir))
 
 
+@query
+def key_decode(spark, sf_dir):
+    """Message keys back from the bytes in which a topic delivers them."""
+    messages = source.encode(_events(spark, sf_dir))
+    return source.keys(messages.withColumn("key", F.col("key").cast("binary")))
+
+
 @query
 def decode_events(spark, sf_dir):
     return _flat(source.decode(source.encode(_events(spark, sf_dir))))
@@ -202,7 +213,8 @@ def _window_columns(frame: DataFrame) -> DataFrame:
     return _rounded(frame.select(
         F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
         "customer_id", "event_count", "purchase_count", "page_view_count",
-        "avg_purchase_amount", *[c for c in ["churn_score"] if c in frame.columns]))
+        "avg_purchase_amount",
+        *[c for c in ["churn_score", "scored_in_run"] if c in frame.columns]))
 
 
 @query
@@ -218,13 +230,21 @@ def rule_score(spark, sf_dir):
 
 
 def _stream_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a stream, whether it is one file or a folder of files.
+
+    Spark follows plain paths only if they are folders; a pattern may name a file as well.
+    """
     shape = spark.read.parquet(f"{sf_dir}/{name}").schema
-    return spark.readStream.schema(shape).option("pathGlobFilter", name).parquet(sf_dir)
+    return spark.readStream.schema(shape).parquet(f"{sf_dir}/{name[:-1]}[{name[-1]}]")
+
+
+def _add_messages(events: DataFrame, path: str) -> None:
+    source.encode(events).select("value").write.mode("append").text(path)
 
 
 def _message_folder(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "messages")
-    source.encode(_events(spark, sf_dir)).select("value").write.text(path)
+    _add_messages(_events(spark, sf_dir), path)
     return path
 
 
@@ -256,6 +276,22 @@ def stream_append(spark, sf_dir):
     return _window_columns(spark.read.parquet(path))
 
 
+@query
+def stream_restart(spark, sf_dir):
+    """The stream job stopped halfway and started again from its checkpoint."""
+    folder, path, checkpoint = (scratch_path(spark, name) for name in ("messages", "scores", "checkpoint"))
+    later = F.col("timestamp") >= F.lit("2024-01-16").cast("timestamp")
+    began = datetime.now(timezone.utc)
+    for part in (~later, later):
+        _add_messages(_events(spark, sf_dir).where(part), folder)
+        messages = source.follow_messages(spark, folder)
+        run_stream_job(messages, path, checkpoint, available_now=True).awaitTermination()
+    ended = datetime.now(timezone.utc)
+    scored = F.col("prediction_timestamp").between(instant(began), instant(ended))
+    rows = spark.read.parquet(path)
+    return _window_columns(rows.withColumn("scored_in_run", scored))
+
+
 @query
 def kafka_payload(spark, sf_dir):
     scores = stream_features_of.with_rule_score(
@@ -284,6 +320,12 @@ def latest_prediction(spark, sf_dir):
     return _rounded(predictions.latest_predictions(_predictions(spark, sf_dir)))
 
 
+@query
+def latest_prediction_of(spark, sf_dir):
+    """The newest prediction of one customer; the customer is the query's argument."""
+    return _rounded(predictions.latest_prediction(_predictions(spark, sf_dir), ONE_CUSTOMER))
+
+
 @query
 def prediction_metrics(spark, sf_dir):
     return _rounded(predictions.prediction_metrics(
@@ -339,12 +381,14 @@ def _day_totals(spark: SparkSession, sf_dir: str, condition: Column) -> DataFram
 
 
 def _upserted(spark: SparkSession, sf_dir: str) -> str:
-    """A table of January's first half, then merged with the purchases of the second."""
+    """A table of January's first day, then merged with the purchases of its last one: some
+    customers are in both, some in either."""
     path = scratch_path(spark, "table")
-    second_half = F.col("timestamp") >= F.lit("2024-01-16").cast("timestamp")
-    tables.create_if_absent(_day_totals(spark, sf_dir, ~second_half), path)
+    first = F.col("timestamp") < F.lit("2024-01-02").cast("timestamp")
+    last = F.col("timestamp") >= F.lit("2024-01-30").cast("timestamp")
+    tables.create_if_absent(_day_totals(spark, sf_dir, first), path)
     tables.upsert(
-        _day_totals(spark, sf_dir, second_half & (F.col("event_type") == "purchase")),
+        _day_totals(spark, sf_dir, last & (F.col("event_type") == "purchase")),
         path, ["customer_id"], {"events": "target.events + source.events"})
     return path
 
@@ -369,8 +413,9 @@ def snapshot_read(spark, sf_dir):
 
 @query
 def compact(spark, sf_dir):
+    """A table partitioned by type, a few files each, in fewer files."""
     path = scratch_path(spark, "table")
-    tables.create_if_absent(_events(spark, sf_dir).repartition(16), path)
+    tables.create_if_absent(_events(spark, sf_dir), path, ["event_type"])
     tables.compact(spark, path)
     return _flat(tables.read_table(spark, path))
 
@@ -385,10 +430,9 @@ def churn_labels(spark, sf_dir):
 @query
 def training_set(spark, sf_dir):
     path = scratch_path(spark, "training-set")
-    features = _profile(spark, sf_dir)
-    labels = model.churn_labels(
-        profile.customer_features(_events(spark, sf_dir), AS_OF), INACTIVE_DAYS)
-    model.training_set(features, labels).write.mode("overwrite").parquet(path)
+    features = _training_rows(spark, sf_dir).drop(model.LABEL)
+    labels = model.churn_labels(features, INACTIVE_DAYS)
+    model.training_set(features, labels).write.parquet(path)
     return _rounded(spark.read.parquet(path).select("customer_id", *schema.FEATURES, model.LABEL))
 
 
@@ -423,28 +467,47 @@ def classifier_metrics(spark, sf_dir):
 
 @query
 def train_model(spark, sf_dir):
-    rows = spark.read.parquet(_stored_training_set(spark, sf_dir))
-    return _rounded(model.evaluate(model.train(rows, settings=FEW_TREES), rows))
+    """How many customers validate the model, how many of them left, and that it has learned."""
+    rows = _training_rows(spark, sf_dir)
+    metrics = model.evaluate(model.train(rows), rows)
+    positives = F.col("true_positives") + F.col("false_negatives")
+    return metrics.select(
+        (positives + F.col("false_positives") + F.col("true_negatives")).alias("validation_rows"),
+        positives.alias("validation_positives"), (F.col("accuracy") > 0.5).alias("above_floor"))
 
 
 @query
 def batch_score(spark, sf_dir):
-    rows = spark.read.parquet(_stored_training_set(spark, sf_dir))
-    return _rounded(model.score(_model(spark, sf_dir), rows, AS_OF))
+    """Stored prediction rows, and whether each probability, class and band agree."""
+    rows = _training_rows(spark, sf_dir)
+    scored = model.score(model.train(rows), rows, AS_OF)
+    probability = F.col("churn_probability")
+    checks = scored.select(
+        "customer_id", probability.between(0, 1).alias("is_probability"),
+        ((probability > 0.5).cast("int") == F.col("prediction")).alias("class_agrees"),
+        (values.risk_band(probability) == F.col("risk_level")).alias("band_agrees"))
+    stored = predictions.prediction_rows(scored).drop("churn_probability")
+    return _rounded(stored.join(checks, "customer_id"))
 
 
 @query
 def feature_importance(spark, sf_dir):
-    return model.feature_importance(spark, _model(spark, sf_dir))
+    """The model's inputs, whether their weights are none below 0 and sum to 1."""
+    fitted = model.train(_training_rows(spark, sf_dir))
+    weights = model.feature_importance(spark, fitted)
+    total = F.sum("importance").over(Window.partitionBy(F.lit(0)))
+    return weights.select("feature", (F.col("importance") >= 0).alias("is_weight"),
+                          (F.round(total, 6) == 1).alias("sums_to_one"))
 
 
 @query
 def model_roundtrip(spark, sf_dir):
     """Customers whose class or probability changes when the model is stored and loaded."""
     path = scratch_path(spark, "model")
-    model.save_model(_model(spark, sf_dir), path)
-    rows = spark.read.parquet(_stored_training_set(spark, sf_dir))
-    before = model.score(_model(spark, sf_dir), rows, AS_OF)
+    rows = _training_rows(spark, sf_dir)
+    fitted = model.train(rows)
+    model.save_model(fitted, path)
+    before = model.score(fitted, rows, AS_OF)
     after = model.score(model.load_model(path), rows, AS_OF).select(
         "customer_id", F.col("churn_probability").alias("loaded_probability"))
     return before.join(after, "customer_id").agg(
@@ -652,15 +715,22 @@ f AS (
 )"""
 _MERGE_SIDES = """
 a AS (SELECT customer_id, count(*) AS events, max(ts) AS last_seen FROM e
-      WHERE ts < TIMESTAMP '2024-01-16' GROUP BY customer_id),
+      WHERE ts < TIMESTAMP '2024-01-02' GROUP BY customer_id),
 s AS (SELECT customer_id, count(*) AS events, max(ts) AS last_seen FROM e
-      WHERE ts >= TIMESTAMP '2024-01-16' AND event_type = 'purchase' GROUP BY customer_id)"""
+      WHERE ts >= TIMESTAMP '2024-01-30' AND event_type = 'purchase' GROUP BY customer_id)"""
 
 
 def _own_sql() -> dict[str, str]:
     recent = _recent_sql(30)
     closed_windows = _with(_FIVE_MINUTES) + f" SELECT * FROM w WHERE {_CLOSED}"
     flat_events = _with(_CANONICAL) + f" SELECT {_FLAT} FROM e"
+    cohort = _with(_CANONICAL) + """
+        SELECT event_id, customer_id, ts AS timestamp, event_type, first_purchase_date,
+               CAST(datediff('day', first_purchase_date, ts) AS INTEGER) AS days_since_first_purchase,
+               strftime(first_purchase_date, '%Y-%m') AS cohort_month
+        FROM e LEFT JOIN (SELECT customer_id, min(ts) AS first_purchase_date FROM e
+                          WHERE event_type = 'purchase' GROUP BY customer_id)
+        USING (customer_id)"""
     return {
         "customer_features": _with(_CANONICAL, _CUSTOMERS)
         + f" SELECT customer_id, {_show(_LIFETIME)} FROM c",
@@ -680,15 +750,12 @@ def _own_sql() -> dict[str, str]:
         "first_purchase": _with(_CANONICAL) + """
             SELECT customer_id, min(ts) AS first_purchase_date FROM e
             WHERE event_type = 'purchase' GROUP BY customer_id""",
-        "cohort_features": _with(_CANONICAL) + """
-            SELECT event_id, customer_id, ts AS timestamp, event_type, first_purchase_date,
-                   CAST(datediff('day', first_purchase_date, ts) AS INTEGER) AS days_since_first_purchase,
-                   strftime(first_purchase_date, '%Y-%m') AS cohort_month
-            FROM e LEFT JOIN (SELECT customer_id, min(ts) AS first_purchase_date FROM e
-                              WHERE event_type = 'purchase' GROUP BY customer_id)
-            USING (customer_id)""",
+        "cohort_features": cohort,
+        "cohort_by_broadcast": cohort,
         "event_envelope": _with(_CANONICAL)
         + f" SELECT customer_id AS key, {_envelope('event_type')} AS value FROM e",
+        "key_decode": _with(_CANONICAL)
+        + f" SELECT customer_id AS key, {_envelope('event_type')} AS value FROM e",
         "decode_events": flat_events,
         "valid_events": flat_events + " WHERE log_type = 'purchase'",
         "rejected_events": _with(_CANONICAL)
@@ -712,6 +779,7 @@ def _own_sql() -> dict[str, str]:
         "rule_score": _with(_CANONICAL, _WINDOWS.format(width="1 DAY")) + " SELECT * FROM w",
         "stream_features": closed_windows,
         "stream_source": flat_events,
+        "stream_restart": _with(_FIVE_MINUTES) + f" SELECT *, true AS scored_in_run FROM w WHERE {_CLOSED}",
         "stream_append": closed_windows,
         "kafka_payload": _with(_FIVE_MINUTES) + """
             SELECT customer_id AS key, '{"customer_id":"' || customer_id || '","churn_score":' ||
@@ -724,6 +792,10 @@ def _own_sql() -> dict[str, str]:
             SELECT customer_id, churn_probability, prediction_date, model_version FROM p
             QUALIFY row_number() OVER (PARTITION BY customer_id
               ORDER BY prediction_date DESC, churn_probability DESC) = 1""",
+        "latest_prediction_of": _with(_STORED) + f"""
+            SELECT customer_id, churn_probability, prediction_date, model_version FROM p
+            WHERE customer_id = '{ONE_CUSTOMER}'
+            ORDER BY prediction_date DESC, churn_probability DESC LIMIT 1""",
         "prediction_metrics": _with(_STORED) + """
             SELECT count(*) AS total_predictions, round(avg(churn_probability), 6) AS avg_churn_score,
                    CAST(sum(CASE WHEN churn_probability > 0.7 THEN 1 ELSE 0 END) AS BIGINT)
@@ -783,6 +855,18 @@ def _own_sql() -> dict[str, str]:
         + " SELECT customer_id, is_validation, " + _names([
             f"round(({name} - m_{name}) / CASE WHEN s_{name} = 0 THEN 1 ELSE s_{name} END, 6) AS {name}"
             for name in schema.FEATURES]) + " FROM v, m",
+        "train_model": _with(_CANONICAL, _CUSTOMERS) + f"""
+            SELECT count(*) AS validation_rows, count(*) FILTER (WHERE is_churned = 1) AS validation_positives,
+                   true AS above_floor
+            FROM (SELECT customer_id, {_LABEL} FROM c) WHERE {_BUCKET}""",
+        "batch_score": _with(_CANONICAL, _CUSTOMERS) + f"""
+            SELECT customer_id, TIMESTAMP '{AS_OF}' AS prediction_date,
+                   '{schema.MODEL_VERSION}' AS model_version, CAST(NULL AS VARCHAR) AS features,
+                   true AS is_probability, true AS class_agrees, true AS band_agrees FROM c""",
+        "feature_importance": "SELECT unnest([" + _names([f"'{name}'" for name in schema.FEATURES])
+        + "]) AS feature, true AS is_weight, true AS sums_to_one",
+        "model_roundtrip": _with(_CANONICAL)
+        + " SELECT count(DISTINCT customer_id) AS customers, CAST(0 AS BIGINT) AS changed FROM e",
         "classifier_metrics": _with(_CANONICAL, _CUSTOMERS, _recent_sql(2), f"""
             g AS (SELECT {_LABEL}, CAST(coalesce(purchases_last_2d, 0) = 0 AS INTEGER) AS prediction
                   FROM c LEFT JOIN t2 USING (customer_id)),

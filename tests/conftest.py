@@ -73,3 +73,23 @@ def operators(frame, name):
     """How many operators of the physical plan start with `name`."""
     lines = (line.lstrip(" :+-*(0123456789)") for line in plan_of(frame).splitlines())
     return sum(line.startswith(name) for line in lines)
+
+
+def sum_of_scans(frame):
+    """Rows that the file scans of a collected frame have read, each reused part once."""
+    seen, total, todo = set(), 0, [frame._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "ReusedExchangeExec" or node.id() in seen:
+            continue
+        seen.add(node.id())
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        if kind == "FileSourceScanExec":
+            total += node.metrics().apply("numOutputRows").value()
+        for listed in (node.children(), node.subqueries()):
+            todo += [listed.apply(i) for i in range(listed.size())]
+    return total

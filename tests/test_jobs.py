@@ -42,6 +42,8 @@ def test_features_training_and_scoring(spark, events, tmp_path):
     some = run_scoring_job(spark, table, model_path, AS_OF,
                            lambda rows: rows.write.mode("append").parquet(stored), ["c1", "c9", "none"])
     assert some.count() == 2
+    whole = {row["customer_id"]: row["churn_probability"] for row in scored.collect()}
+    assert all(whole[row["customer_id"]] == row["churn_probability"] for row in some.collect())
     assert spark.read.parquet(stored).count() == 63
     assert spark.read.parquet(stored).columns == [field.name for field in schema.PREDICTION]
 

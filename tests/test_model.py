@@ -125,3 +125,28 @@ def test_ratios_without_a_denominator_are_zero(spark):
 def test_label_threshold(spark):
     frame = spark.createDataFrame([("a", 30), ("b", 31)], "customer_id string, days_since_last_activity int")
     assert [row[1] for row in model.churn_labels(frame).collect()] == [0, 1]
+
+
+def test_a_short_dip_does_not_stop_training():
+    dip = [0.9, 0.8, 0.85, 0.7, 0.6, 0.65]
+    assert model.best_round(dip, 10) == 5
+    assert model.best_round(dip, 1) == 2
+    assert model.best_round([0.5] + [0.6] * 12 + [0.1], 10) == 1
+    assert model.best_round([0.5] + [0.6] * 9 + [0.1], 10) == 11
+    assert model.best_round([0.4]) == 1
+
+
+def test_training_keeps_the_trees_up_to_the_best_round(rows, monkeypatch):
+    monkeypatch.setattr(model, "best_round", lambda errors, patience: 3)
+    short = model.train(rows, settings=FEW).stages[-1]
+    monkeypatch.undo()
+    assert short.getNumTrees == 3
+    whole = model.train(rows, settings={**FEW, "maxIter": 3}, patience=100).stages[-1]
+    assert short.toDebugString.splitlines()[1:] == whole.toDebugString.splitlines()[1:]
+
+
+def test_training_needs_rows(rows):
+    with pytest.raises(ValueError, match="training rows"):
+        model.train(rows.where("false"), settings=FEW)
+    with pytest.raises(ValueError, match="training rows"):
+        model.standardise(model.with_split(model.model_features(rows.where("false"))))

@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, operators, plan_of
+from conftest import AS_OF, operators, plan_of, sum_of_scans
 from tidewatch.operators.rolling import cohort_features, first_purchase, rolling_aggregations
 
 DAYS = (7, 30)
@@ -62,6 +62,31 @@ def _rows():
     return rows
 
 
+@pytest.mark.parametrize("busy_rows", [1_000_000, 0])
+def test_no_finite_amount_is_dropped(make_events, busy_rows):
+    at = lambda days: AS_OF + timedelta(days=days)
+    events = make_events(("a", at(0), "purchase", "1e20"), ("a", at(1), "purchase", "1e18"),
+                         ("b", at(0), "purchase", "4e-11"), ("b", at(40), "purchase", "2.5"))
+    rows = rolling_aggregations(events, (7,), busy_rows).collect()
+    got = sorted((r["customer_id"], r["rolling_revenue_7d"]) for r in rows)
+    assert got == [("a", 1e20), ("a", 1.01e20), ("b", 4e-11), ("b", 2.5)]
+
+
+@pytest.mark.parametrize("busy_rows", [1_000_000, 0])
+def test_counts_and_moves_are_made_once(spark, tmp_path, busy_rows):
+    path = str(tmp_path / "events")
+    spark.range(1000).selectExpr(
+        "CAST(id % 3 AS STRING) AS customer_id", "TIMESTAMP '2024-01-01' + make_dt_interval(0, id) AS timestamp",
+        "'purchase' AS event_type", "map('amount', '1') AS event_data").write.parquet(path)
+    frame = rolling_aggregations(spark.read.parquet(path), busy_rows=busy_rows, busy_parts=10 ** 9)
+    assert frame.count() == 1000
+    observed = rolling_aggregations(spark.read.parquet(path), busy_rows=busy_rows, busy_parts=10 ** 9)
+    observed.collect()
+    read = sum_of_scans(observed)
+    # None busy: the counts and the events. Busy: also the ticks and the join with them.
+    assert read <= (2000 if busy_rows else 3000 + 1000)
+
+
 @pytest.mark.parametrize("busy_rows, slice_seconds", [
     (1_000_000, 900), (0, 900), (0, 3600), (0, 7), (60, 900)])
 def test_rolling_equals_brute_force(make_events, busy_rows, slice_seconds):
@@ -105,7 +130,7 @@ def test_busy_customers_are_spread_over_tasks(spark):
     ticks = spark.range(30000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("customer_id"),
         F.timestamp_seconds(F.col("id") * 60 + 1704067200).alias("timestamp"),
-        *[F.lit(1).alias(name) for name in ("events", "purchases", "revenue", "priced")])
+        *[F.lit(1).alias(name) for name in ("events", "purchases", "revenue", "beyond", "priced")])
     moves = _moves(ticks.where("customer_id = 'hot'"), (7,), 900)
     largest = moves.groupBy("customer_id", "slice").count().agg(F.max("count")).first()[0]
     assert largest <= 15

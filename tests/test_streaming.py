@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from tidewatch import schema
 from tidewatch.operators import validation
 from tidewatch.plans.jobs import run_stream_job
@@ -142,3 +143,33 @@ def test_a_stream_reports_its_validation_totals(spark, folders, send):
         progress["observedMetrics"]["validation"], dict) else tuple(progress["observedMetrics"]["validation"])
         for progress in query.recentProgress if progress["observedMetrics"]]
     assert (2, 1, 3) in totals
+
+
+def test_many_unordered_files_lose_nothing(spark, folders, make_events):
+    """More files than a fixed batch limit would take, in no order of time."""
+    rows = [(f"c{n % 5}", NOON + timedelta(minutes=(n * 37) % 1010), "login", None) for n in range(1010)]
+    encode(make_events(*rows)).select("value").repartition(1010).write.text(folders["in"])
+    many = _run(spark, folders)
+    single = {name: f"{place}-1" for name, place in folders.items()}
+    encode(make_events(*rows)).select("value").coalesce(1).write.text(single["in"])
+    assert many == _run(spark, single)
+    assert sum(many.values()) > 900
+
+
+def test_a_table_of_several_files_streams_whole(spark, tmp_path):
+    spark.range(1000).write.parquet(str(tmp_path / "one" / "events.parquet"))
+    spark.range(1000).repartition(3).write.parquet(str(tmp_path / "many" / "events.parquet"))
+    (tmp_path / "file").mkdir()
+    part = next((tmp_path / "one" / "events.parquet").glob("*.parquet"))
+    (tmp_path / "file" / "events.parquet").write_bytes(part.read_bytes())
+    for name in ("one", "many", "file"):
+        stream = contract._stream_of(spark, str(tmp_path / name), "events.parquet")
+        out, checkpoint = str(tmp_path / name / "out"), str(tmp_path / name / "checkpoint")
+        sinks.append_to_table(stream, out, checkpoint, available_now=True).awaitTermination()
+        whole = spark.read.parquet(str(tmp_path / name / "events.parquet")).count()
+        assert spark.read.parquet(out).count() == whole > 0
+
+
+def test_window_amounts_have_no_range(make_events):
+    rows = window_features(make_events(("a", NOON, "purchase", "1e20"), ("b", NOON, "purchase", "4e-11"))).collect()
+    assert {r["customer_id"]: r["avg_purchase_amount"] for r in rows} == {"a": 1e20, "b": 4e-11}

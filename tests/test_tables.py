@@ -1,8 +1,10 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import operators
-from tidewatch.sources import tables
+from tidewatch.sources import relational, tables, topics
 
 SHAPE = "id string, n int, note string"
 
@@ -81,3 +83,48 @@ def test_compaction_keeps_rows_in_fewer_files(spark, path, partition_by):
     after = tables.read_table(spark, path)
     assert len(after.inputFiles()) < before
     assert _rows(after.select("id", "n", "note")) == _rows(frame)
+
+
+def test_partition_values_keep_their_types(spark, path):
+    frame = spark.createDataFrame([("007", "x", 1), ("1e2", "y", 2), ("08", "z", 3)],
+                                  "code string, id string, n int")
+    assert tables.create_if_absent(frame, path, ["code"])
+    assert tables.read_table(spark, path).schema == frame.schema
+    tables.upsert(spark.createDataFrame([("007", "x", 5), ("0x1", "w", 4)], frame.schema), path, ["id"])
+    tables.compact(spark, path)
+    table = tables.read_table(spark, path)
+    assert table.columns == frame.columns
+    assert sorted(map(tuple, table.collect())) == [
+        ("007", "x", 5), ("08", "z", 3), ("0x1", "w", 4), ("1e2", "y", 2)]
+    assert tables.partition_columns(spark, path) == ["code"]
+    assert all("/code=" in name for name in table.inputFiles())
+
+
+def test_no_table_is_taken_for_absent(spark, path):
+    frame = spark.createDataFrame([("a", 1, "x")], SHAPE)
+    tables.create_if_absent(frame, path)
+    (Path(path) / "v=0" / "_SUCCESS").unlink()  # as committers without markers leave it
+    assert not tables.create_if_absent(frame.limit(0), path)
+    assert tables.read_table(spark, path).count() == 1
+    other = f"{path}-other"
+    frame.write.parquet(f"{other}/v=0")
+    assert tables.versions(spark, other) == [0]
+    (Path(other) / "v=0" / "_SUCCESS").unlink()
+    with pytest.raises(ValueError, match="success marker"):
+        tables.create_if_absent(frame.limit(0), other)
+
+
+def test_jdbc_reads_in_ranges():
+    plain = relational.jdbc_options("u", "SELECT 1", user="x")
+    assert plain == {"url": "u", "query": "SELECT 1", "user": "x"}
+    ranged = relational.jdbc_options("u", "SELECT id FROM t", "id", (0, 9), 3)
+    assert ranged == {"url": "u", "dbtable": "(SELECT id FROM t) AS asked", "partitionColumn": "id",
+                      "lowerBound": 0, "upperBound": 9, "numPartitions": 3}
+    with pytest.raises(ValueError):
+        relational.jdbc_options("u", "SELECT id FROM t", "id")
+
+
+def test_polls_bound_no_batch():
+    assert "maxOffsetsPerTrigger" not in topics.poll_options("g", 1000)
+    assert topics.poll_options("g", 1000, 5)["maxOffsetsPerTrigger"] == 5
+    assert topics.poll_options("g", 1000)["kafka.max.poll.records"] == 1000

@@ -8,8 +8,8 @@ from pyspark.sql import Column, functions as F
 
 from tidewatch import schema
 
-# Wide enough for any money value; summing it gives DECIMAL(38,10), so totals do
-# not depend on the order in which tasks finish.
+# Summing it gives DECIMAL(38,10), so totals of ordinary amounts do not depend on the
+# order in which tasks finish. What doesn't fit goes into a second, floating sum.
 MONEY = "decimal(28,10)"
 
 
@@ -31,19 +31,47 @@ def is_type(name: str) -> Column:
     return F.col("event_type") == name
 
 
+def _finite() -> Column:
+    """The amount as a double; NULL for missing and malformed text, infinities and NaN."""
+    number = F.col("event_data")["amount"].try_cast("double")
+    return F.when(F.abs(number) < float("inf"), number)
+
+
 def amount() -> Column:
-    """Purchase amount of an event; missing or malformed text gives NULL."""
-    return F.col("event_data")["amount"].try_cast(MONEY)
+    """The exact part of an event's purchase amount; missing or malformed text gives NULL.
+
+    It is 0 for a finite amount of more digits before the point than MONEY has.
+    """
+    exact = F.col("event_data")["amount"].try_cast(MONEY)
+    return F.when(_finite().isNotNull(), F.coalesce(exact, F.lit(0).cast(MONEY)))
+
+
+def beyond() -> Column:
+    """What `amount` leaves out of a finite amount, as a double: 0 for ordinary amounts, else
+    the digits after MONEY's last place, or the whole of an amount too large for it."""
+    number = _finite()
+    exact = F.col("event_data")["amount"].try_cast(MONEY).cast("double")
+    return number - F.coalesce(exact, F.lit(0.0))
 
 
 def paid() -> Column:
-    """The amount of a purchase, and 0 for every other event.
+    """The exact part of a purchase's amount, and 0 for every other event.
 
     Means over this column are spread over all events, not over purchases only.
     """
     return F.when(is_type("purchase"), amount()).otherwise(F.lit(0))
 
 
+def paid_beyond() -> Column:
+    """The rest of a purchase's amount, and 0 for every other event."""
+    return F.when(is_type("purchase"), beyond()).otherwise(F.lit(0.0))
+
+
+def total_of(exact: Column, rest: Column) -> Column:
+    """A total of amounts from the sums of their two parts."""
+    return exact.cast("double") + rest
+
+
 def mean_of(total: Column, count: Column) -> Column:
     return F.try_divide(total.cast("double"), count)
 

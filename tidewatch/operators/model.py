@@ -67,8 +67,11 @@ def standardise(rows: DataFrame, features: Sequence[str] = tuple(schema.FEATURES
     column, so they travel to the tasks as literals.
     """
     fitted = rows.where(~F.col(_VALIDATION)).agg(
+        F.count("*").alias("training_rows"),
         *[F.avg(name).alias(f"mean_{name}") for name in features],
         *[F.stddev_pop(name).alias(f"spread_{name}") for name in features]).first()
+    if not fitted["training_rows"]:
+        raise ValueError("there are no training rows")
     others = [name for name in rows.columns if name not in features]
     return rows.select(*others, *[
         ((F.col(name) - F.lit(fitted[f"mean_{name}"]))
@@ -78,22 +81,47 @@ def standardise(rows: DataFrame, features: Sequence[str] = tuple(schema.FEATURES
 
 def train(rows: DataFrame, features: Sequence[str] = tuple(schema.FEATURES),
           settings: Mapping[str, Any] | None = None,
-          percent: int = schema.VALIDATION_PERCENT) -> PipelineModel:
-    """Fit boosted trees on labelled rows, until the validation rows get worse.
+          percent: int = schema.VALIDATION_PERCENT,
+          patience: int = schema.PATIENCE) -> PipelineModel:
+    """Fit boosted trees on labelled rows, and keep the trees up to the best round.
 
+    The best round has the least error on the validation rows before `patience` rounds
+    without a better one. All rounds are fitted once, and a model that ends earlier is
+    fitted again up to its best round: with one seed, the first trees are the same.
     `rows` is read many times and should be a stored table.
     """
     # Boosting checkpoints its running predictions there.
     shared_folder(rows.sparkSession)
     split = with_split(model_features(rows, features, ("customer_id", LABEL)), percent)
+    if split.where(~F.col(_VALIDATION)).isEmpty():
+        raise ValueError("there are no training rows")
     assembler = VectorAssembler(inputCols=list(features), outputCol="raw_features")
     assembled = assembler.transform(split)
     scaler = StandardScaler(inputCol="raw_features", outputCol="scaled_features",
                             withMean=True, withStd=True).fit(assembled.where(~F.col(_VALIDATION)))
+    scaled = scaler.transform(assembled)
     trees = GBTClassifier(featuresCol="scaled_features", labelCol=LABEL,
-                          validationIndicatorCol=_VALIDATION, validationTol=0.0,
                           **{**schema.TREE_SETTINGS, **(settings or {})})
-    return PipelineModel([assembler, scaler, trees.fit(scaler.transform(assembled))])
+    training = scaled.where(~F.col(_VALIDATION))
+    fitted = trees.fit(training)
+    validation = scaled.where(F.col(_VALIDATION))
+    if not validation.isEmpty():
+        best = best_round(fitted.evaluateEachIteration(validation), patience)
+        if best < fitted.getNumTrees:
+            fitted = trees.copy({trees.maxIter: best}).fit(training)
+    return PipelineModel([assembler, scaler, fitted])
+
+
+def best_round(errors: Sequence[float], patience: int = schema.PATIENCE) -> int:
+    """The number of rounds with the least error, looking no further than `patience` rounds
+    beyond the best one so far."""
+    best = 0
+    for place, error in enumerate(errors):
+        if error < errors[best]:
+            best = place
+        elif place - best >= patience:
+            break
+    return best + 1
 
 
 def classifier_metrics(predictions: DataFrame, label: str = LABEL,
@@ -134,6 +162,11 @@ def evaluate(model: PipelineModel, rows: DataFrame,
     return classifier_metrics(predicted).withColumn("auc_score", F.lit(area))
 
 
+def importance_weights(model: PipelineModel) -> list[float]:
+    """The weight of each model input; they sum to 1."""
+    return [float(weight) for weight in model.stages[-1].featureImportances.toArray()]
+
+
 def model_inputs(model: PipelineModel) -> list[str]:
     return model.stages[0].getInputCols()
 
@@ -154,8 +187,7 @@ def score(model: PipelineModel, features: DataFrame, as_of: str | datetime,
 
 def feature_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """One row per model input."""
-    weights = model.stages[-1].featureImportances.toArray()
-    rows = [(name, float(weight)) for name, weight in zip(model_inputs(model), weights)]
+    rows = list(zip(model_inputs(model), importance_weights(model)))
     return spark.createDataFrame(rows, "feature string, importance double")
 
 

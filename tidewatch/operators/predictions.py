@@ -49,13 +49,14 @@ def with_risk_level(predictions: DataFrame) -> DataFrame:
     return predictions.withColumn("risk_level", risk_band(F.col("churn_probability")))
 
 
-def feature_lookup(features: DataFrame, customers: DataFrame | Iterable[str]) -> DataFrame:
-    """Stored features of the listed customers.
+def feature_lookup(features: DataFrame, customers: DataFrame | Iterable[str],
+                   columns: Iterable[str] = tuple(schema.STORED_FEATURES)) -> DataFrame:
+    """Stored features, or the given columns of those there are, of the listed customers.
 
     A short list becomes a filter the source can evaluate. A table of customers is a
     semi join, broadcast by Spark only if its measured size allows.
     """
-    stored = features.select("customer_id", *schema.STORED_FEATURES)
+    stored = features.select("customer_id", *[c for c in columns if c in features.columns])
     if isinstance(customers, DataFrame):
         # Distinct first: repeated keys are combined before they are shuffled.
         return stored.join(customers.select("customer_id").distinct(), "customer_id", "left_semi")

@@ -22,7 +22,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch import schema
-from tidewatch.functions.values import days_before, instant, mean_of, paid
+from tidewatch.functions.values import days_before, instant, mean_of, paid, paid_beyond, total_of
 
 _WORD = 64
 
@@ -86,12 +86,14 @@ def _lifetime_counters() -> list[Counter]:
         Counter("page_view_count", _count_when("event_type = 'page_view'")),
         Counter("support_ticket_count", _count_when("event_type = 'support_ticket'")),
         Counter("paid_total", "sum(paid)"),
+        Counter("paid_rest", "sum(beyond)"),
         Counter("paid_events", "count(paid)"),
     ]
 
 
 def _lifetime_columns(as_of: str | datetime) -> list[Column]:
     lifetime = "(date_diff(last_event_date, first_event_date) + 1)"
+    paid_sum = total_of(F.col("paid_total"), F.col("paid_rest"))
     return [
         F.col("total_events"),
         F.expr("coalesce(bit_count(type_bits), 0) + rare_type AS unique_event_types"),
@@ -100,8 +102,8 @@ def _lifetime_columns(as_of: str | datetime) -> list[Column]:
         F.col("purchase_count"),
         F.col("page_view_count"),
         F.col("support_ticket_count"),
-        mean_of(F.col("paid_total"), F.col("paid_events")).alias("avg_purchase_amount"),
-        F.expr("CAST(paid_total AS DOUBLE) AS total_purchase_amount"),
+        mean_of(paid_sum, F.col("paid_events")).alias("avg_purchase_amount"),
+        paid_sum.alias("total_purchase_amount"),
         F.date_diff(instant(as_of), "last_event_date").alias("days_since_last_activity"),
         F.expr(f"{lifetime} AS customer_lifetime_days"),
         F.expr(f"try_divide(total_events, {lifetime}) AS events_per_day"),
@@ -111,7 +113,8 @@ def _lifetime_columns(as_of: str | datetime) -> list[Column]:
 
 def _event_rows(events: DataFrame) -> DataFrame:
     return _keyed(events).select("customer_id", "timestamp", "event_type",
-                                 paid().alias("paid"), F.lit(1).alias("event"))
+                                 paid().alias("paid"), paid_beyond().alias("beyond"),
+                                 F.lit(1).alias("event"))
 
 
 def customer_features(events: DataFrame, as_of: str | datetime) -> DataFrame:
@@ -134,6 +137,7 @@ def _recent_rows(rows: DataFrame, as_of: str | datetime, days: int) -> DataFrame
     return rows.withColumns({
         "recent": recent,
         "recent_paid": F.when(recent, F.col("paid")),
+        "recent_beyond": F.when(recent, F.col("beyond")),
         "day_slot": F.when(recent & ~_is_late(as_of),
                            F.date_diff(F.to_date("timestamp"), F.to_date(start))),
     })
@@ -150,6 +154,7 @@ def _recent_counters(days: int) -> list[Counter]:
         Counter("recent_purchases", _count_when("recent AND event_type = 'purchase'")),
         Counter("recent_views", _count_when("recent AND event_type = 'page_view'")),
         Counter("recent_paid_total", "sum(recent_paid)"),
+        Counter("recent_paid_rest", "sum(recent_beyond)"),
         Counter("recent_paid_events", "count(recent_paid)"),
         *[Counter(name,
                   f"bit_or(CASE WHEN day_slot BETWEEN {word * _WORD} AND {word * _WORD + _WORD - 1} "
@@ -166,7 +171,8 @@ def _recent_columns(days: int) -> list[Column]:
         F.col("recent_purchases").alias(f"purchases_last_{days}d"),
         F.col("recent_views").alias(f"page_views_last_{days}d"),
         F.expr(f"{marked} + late_day AS active_days_last_{days}d"),
-        mean_of(F.col("recent_paid_total"), F.col("recent_paid_events"))
+        mean_of(total_of(F.col("recent_paid_total"), F.col("recent_paid_rest")),
+                F.col("recent_paid_events"))
         .alias(f"avg_purchase_amount_last_{days}d"),
     ]
 
@@ -249,13 +255,14 @@ def customer_profile(events: DataFrame, as_of: str | datetime, days: int = schem
     Equal to joining `customer_features`, `time_features` and `behavioral_features`
     with outer joins and filling the gaps, without the joins.
     """
-    rows = _event_rows(events)
+    # An event of a late day makes one more row, which stands for that day alone.
+    late = F.when(_is_late(as_of), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    rows = _event_rows(events).withColumn("is_day", F.explode(late))
+    rows = rows.select(
+        "customer_id", F.when(F.col("is_day"), F.to_date("timestamp")).alias("late_day"),
+        *[F.when(~F.col("is_day"), F.col(name)).alias(name)
+          for name in ("timestamp", "event_type", "paid", "beyond", "event")])
     rows = _clock_rows(_recent_rows(_lifetime_rows(rows), as_of, days))
-    # Rows that stand for a late day only. Their filter reaches the scan, which
-    # skips every file of an ordinary table.
-    late_days = (_keyed(since(events, days_before(as_of, days))).where(_is_late(as_of))
-                 .select("customer_id", F.to_date("timestamp").alias("late_day")))
-    rows = rows.unionByName(late_days, allowMissingColumns=True)
     counters = _lifetime_counters() + _recent_counters(days) + _clock_counters()
     merged = _with_moments(_roll_up(rows, counters, ["rare_type", "late_day"]))
     return merged.select("customer_id", *_lifetime_columns(as_of), *_recent_columns(days),

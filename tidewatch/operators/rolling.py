@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidewatch import schema
-from tidewatch.functions.values import is_type, paid
+from tidewatch.functions.values import is_type, paid, paid_beyond
 
 _SECOND = 10 ** 6
 _DAY = 86400 * _SECOND
 _BUSY_PARTS = 100_000
-_METRICS = ("events", "purchases", "revenue", "priced")
+_METRICS = ("events", "purchases", "revenue", "beyond", "priced")
 
 
 def rolling_aggregations(
@@ -20,6 +20,7 @@ def rolling_aggregations(
     days: Sequence[int] = tuple(schema.ROLLING_DAYS),
     busy_rows: int = 1_000_000,
     slice_seconds: int = 900,
+    busy_parts: int = _BUSY_PARTS,
 ) -> DataFrame:
     """Events, purchases and revenue of the customer's trailing N days, per event.
 
@@ -29,33 +30,36 @@ def rolling_aggregations(
     where a frame that slides would be summed again for every row.
 
     A customer with more than `busy_rows` events, and more than one event in
-    100,000 of the table, is too much for one window task and is cut into time slices.
+    `busy_parts` of the table, is too much for one window task and is cut into time slices.
     """
-    ordinary, busy = _split_busy(events, busy_rows)
+    ordinary, busy = _split_busy(events, busy_rows, busy_parts)
     return _by_customer(ordinary, days).unionByName(_by_slice(busy, days, slice_seconds))
 
 
-def _split_busy(events: DataFrame, busy_rows: int) -> tuple[DataFrame, DataFrame]:
+def _split_busy(events: DataFrame, busy_rows: int,
+                busy_parts: int = _BUSY_PARTS) -> tuple[DataFrame, DataFrame]:
     """Events of ordinary customers and events of busy ones."""
-    busy = F.broadcast(_busy_customers(events, busy_rows))
+    busy = F.broadcast(_busy_customers(events, busy_rows, busy_parts))
     same = events["customer_id"].eqNullSafe(F.col("_busy"))
     return events.join(busy, same, "left_anti"), events.join(busy, same, "left_semi")
 
 
-def _busy_customers(events: DataFrame, busy_rows: int) -> DataFrame:
-    """Customers too large for one task. There are fewer than `_BUSY_PARTS` of them, whatever the
-    size of the table, so the list can be broadcast."""
-    share = events.agg(F.count("*") / _BUSY_PARTS).scalar()
-    return (events.groupBy(F.col("customer_id").alias("_busy")).agg(F.count("*").alias("rows"))
-            .where((F.col("rows") > busy_rows) & (F.col("rows") > share))
-            .select("_busy"))
+def _busy_customers(events: DataFrame, busy_rows: int, busy_parts: int) -> DataFrame:
+    """Customers too large for one task. There are fewer than `busy_parts` of them, whatever the
+    size of the table, so the list can be broadcast.
+
+    The table's size is the sum of the customers' counts, so both come from one pass.
+    """
+    counts = events.groupBy(F.col("customer_id").alias("_busy")).agg(F.count("*").alias("rows"))
+    share = counts.agg(F.sum("rows") / busy_parts).scalar()
+    return counts.where((F.col("rows") > busy_rows) & (F.col("rows") > share)).select("_busy")
 
 
 def _by_customer(events: DataFrame, days: Sequence[int]) -> DataFrame:
     """Rolling values with one window partition per customer, sorted once."""
     kept = [f"`{name}`" for name in events.columns]
-    rows = events.withColumn("_revenue", paid()).selectExpr(
-        *kept, "_revenue", "1 AS _events", "CAST(_revenue IS NOT NULL AS INT) AS _priced",
+    rows = events.withColumns({"_revenue": paid(), "_beyond": paid_beyond()}).selectExpr(
+        *kept, "_revenue", "_beyond", "1 AS _events", "CAST(_revenue IS NOT NULL AS INT) AS _priced",
         "CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS _purchases")
 
     def total(metric: str, end: str) -> str:
@@ -86,10 +90,11 @@ def _by_slice(events: DataFrame, days: Sequence[int], slice_seconds: int) -> Dat
         F.count("*").alias("events"),
         F.count(F.when(is_type("purchase"), 1)).alias("purchases"),
         F.coalesce(F.sum(paid()), F.lit(0)).alias("revenue"),
+        F.coalesce(F.sum(paid_beyond()), F.lit(0.0)).alias("beyond"),
         F.count(paid()).alias("priced"),
     )
-    at_no_time = F.col("timestamp").isNull()
-    moves = _moves(ticks.where(~at_no_time), days, slice_seconds)
+    # Both users of the moves start from the same ticks, whose exchange they share.
+    moves = _moves(ticks, days, slice_seconds)
     balances = _opening_balances(moves, days)
 
     # Balances have no time and sort first; exits sort after entries of their instant.
@@ -99,12 +104,9 @@ def _by_slice(events: DataFrame, days: Sequence[int], slice_seconds: int) -> Dat
               .selectExpr("customer_id", "timestamp", *[
                   f"sum(coalesce(opening.{metric}_{n}, {_change(metric, n)})) {timeline} "
                   f"AS {metric}_{n}"
-                  for n in days for metric in _METRICS])
-              .where("timestamp IS NOT NULL"))
-    # Events without a time see each other and nothing else.
-    untimed = ticks.where(at_no_time).selectExpr("customer_id", "timestamp", *[
-        f"{metric} AS {metric}_{n}" for n in days for metric in _METRICS])
-    results = totals.unionByName(untimed).selectExpr(
+                  for n in days for metric in _METRICS], "is_entry")
+              .where("is_entry"))
+    results = totals.selectExpr(
         "customer_id AS _customer", "timestamp AS _instant",
         *[text for n in days for text in _results(n)])
     same_tick = (events["customer_id"].eqNullSafe(F.col("_customer"))
@@ -115,7 +117,8 @@ def _by_slice(events: DataFrame, days: Sequence[int], slice_seconds: int) -> Dat
 def _moves(ticks: DataFrame, days: Sequence[int], slice_seconds: int) -> DataFrame:
     """Each tick as one entry (`window` 0) and one exit per window size.
 
-    Only entries carry the tick's own `timestamp`.
+    Only entries carry the tick's own `timestamp`. Events without a time see each other and
+    nothing else: their tick is an entry alone, in a slice of its own.
     """
     entry = F.struct(F.lit(0).alias("window"), F.unix_micros("timestamp").alias("at"),
                      F.col("timestamp").alias("timestamp"))
@@ -124,7 +127,8 @@ def _moves(ticks: DataFrame, days: Sequence[int], slice_seconds: int) -> DataFra
                       F.lit(None).cast("timestamp").alias("timestamp")) for n in days]
     return (ticks.select("customer_id", *_METRICS, F.explode(F.array(entry, *exits)).alias("move"))
             .select("customer_id", *_METRICS, "move.*",
-                    F.floor(F.col("move.at") / (slice_seconds * _SECOND)).alias("slice")))
+                    F.floor(F.col("move.at") / (slice_seconds * _SECOND)).alias("slice"))
+            .where("at IS NOT NULL OR window = 0").withColumn("is_entry", F.expr("window = 0")))
 
 
 def _change(metric: str, n: int) -> str:
@@ -135,7 +139,7 @@ def _change(metric: str, n: int) -> str:
 def _opening_balances(moves: DataFrame, days: Sequence[int]) -> DataFrame:
     """Per customer and slice, the totals of all earlier slices."""
     names = {f"{metric}_{n}": _change(metric, n) for n in days for metric in _METRICS}
-    slices = moves.groupBy("customer_id", "slice").agg(
+    slices = moves.where("slice IS NOT NULL").groupBy("customer_id", "slice").agg(
         *[F.expr(f"sum({change}) AS {name}") for name, change in names.items()])
     earlier = ("OVER (PARTITION BY customer_id ORDER BY slice "
                "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
@@ -148,7 +152,8 @@ def _results(n: int) -> list[str]:
     return [
         f"events_{n} AS rolling_events_{n}d",
         f"purchases_{n} AS rolling_purchases_{n}d",
-        f"CASE WHEN priced_{n} > 0 THEN CAST(revenue_{n} AS DOUBLE) END AS rolling_revenue_{n}d",
+        f"CASE WHEN priced_{n} > 0 THEN CAST(revenue_{n} AS DOUBLE) + beyond_{n} END "
+        f"AS rolling_revenue_{n}d",
     ]
 
 
@@ -158,14 +163,15 @@ def first_purchase(events: DataFrame) -> DataFrame:
             .agg(F.min("timestamp").alias("first_purchase_date")))
 
 
-def cohort_features(events: DataFrame, busy_rows: int = 1_000_000) -> DataFrame:
+def cohort_features(events: DataFrame, busy_rows: int = 1_000_000,
+                    busy_parts: int = _BUSY_PARTS) -> DataFrame:
     """Each event with its customer's first purchase, the days since, and its month.
 
     Ordinary customers need one window and one exchange. The first purchases of busy
     customers, at most one row for each of them, are broadcast to their events, which
     then stay where they are.
     """
-    ordinary, busy = _split_busy(events, busy_rows)
+    ordinary, busy = _split_busy(events, busy_rows, busy_parts)
     first = F.min(F.when(is_type("purchase"), F.col("timestamp"))).over(
         Window.partitionBy("customer_id"))
     # Events without a customer belong to no cohort.

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch import schema
 from tidewatch.operators.model import (
-    churn_labels, evaluate, load_model, save_model, score, train, training_set,
+    churn_labels, evaluate, load_model, model_inputs, save_model, score, train, training_set,
 )
 from tidewatch.operators.predictions import feature_lookup, prediction_rows
 from tidewatch.operators.profile import customer_profile
@@ -63,15 +63,18 @@ def run_scoring_job(spark: SparkSession, table: str, model_path: str, as_of: str
                     store: Callable[[DataFrame], None],
                     customers: DataFrame | Iterable[str] | None = None,
                     model_version: str = schema.MODEL_VERSION,
-                    table_format: str = "parquet") -> DataFrame:
+                    table_format: str = "parquet", stored_only: bool = False) -> DataFrame:
     """Score the feature table, or the listed customers, and pass prediction rows to `store`.
 
-    Listed customers are scored from the stored features only; the recent ones are 0.
+    A customer gets the same score listed as in a full run. With `stored_only`, listed ones
+    are scored from the features of the relational table alone; the recent ones are 0.
     """
     features = read_table(spark, table, table_format=table_format)
+    model = load_model(model_path)
     if customers is not None:
-        features = feature_lookup(features, customers)
-    scored = score(load_model(model_path), features, as_of, model_version)
+        columns = schema.STORED_FEATURES if stored_only else model_inputs(model)
+        features = feature_lookup(features, customers, columns)
+    scored = score(model, features, as_of, model_version)
     store(prediction_rows(scored))
     return scored
 

@@ -65,6 +65,7 @@ TREE_SETTINGS = {
     "featureSubsetStrategy": "0.8",
     "seed": SEED,
 }
+PATIENCE = 10
 # --- End of fixed values --------------------------------------------------
 
 EVENT = T.StructType([

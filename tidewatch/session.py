@@ -15,6 +15,8 @@ SETTINGS = {
     # partitions even where that costs one more exchange further up.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Unlike INT96, it has statistics, so filters on time skip files.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # Window state lives on disk, not on the executor heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

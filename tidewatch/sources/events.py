@@ -71,7 +71,15 @@ def keys(messages: DataFrame) -> DataFrame:
     return messages.withColumn("key", F.col("key").cast("string"))
 
 
-def follow_messages(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
-    """A stream of JSON messages from text files, one per line, as they appear."""
-    return (spark.readStream.format("text").option("maxFilesPerTrigger", files_per_batch)
-            .load(folder))
+def follow_messages(spark: SparkSession, folder: str,
+                    files_per_batch: int | None = None) -> DataFrame:
+    """A stream of JSON messages from text files, one per line, as they appear.
+
+    A micro-batch takes all files that are there. With `files_per_batch` a backlog is cut
+    into several, and the watermark moves between them: give it only where files arrive in
+    the order of their event times, or events of the later files are dropped as late.
+    """
+    reader = spark.readStream.format("text")
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.load(folder)

@@ -1,17 +1,22 @@
 """Versioned tables: create, read a version, upsert, compact.
 
 With the Delta Lake package on the classpath, pass `table_format="delta"`. Otherwise a
-table is a folder of Parquet snapshots `v=<n>`; a snapshot counts once Spark has
-written its success marker, and a new one never touches an older one. Snapshots are
-made for one writer at a time.
+table is a folder of Parquet snapshots `v=<n>`; a snapshot counts once `done=<n>` is
+beside it, and a new one never touches an older one. Snapshots are made for one writer
+at a time.
+
+A snapshot's shape, its columns in order with their types and its partition columns, lies
+beside it in `shape=<n>`. It is read with that shape, so partition values keep their types.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 FILE_BYTES = 256 * 1024 * 1024
 
@@ -23,23 +28,70 @@ def _folder(spark: SparkSession, path: str):
 
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Complete snapshot versions, oldest first."""
+    found = _snapshots(spark, path)
+    return [n for n in sorted(found) if found[n] == _COMPLETE]
+
+
+_COMPLETE, _OWN_ATTEMPT, _UNKNOWN = "complete", "own attempt", "unknown"
+
+
+def _snapshots(spark: SparkSession, path: str) -> dict[int, str]:
+    """Each snapshot folder's version and state.
+
+    A snapshot is complete once its `done=<n>` is there; one that was not written by this
+    module, and so has no `shape=<n>`, once Spark's success marker is there.
+    """
     files, target = _folder(spark, path)
     if not files.exists(target):
-        return []
-    names = [status.getPath().getName() for status in files.listStatus(target)]
-    numbers = sorted(int(name[2:]) for name in names if name.startswith("v=") and name[2:].isdigit())
-    complete = spark._jvm.org.apache.hadoop.fs.Path
-    return [n for n in numbers if files.exists(complete(f"{path}/v={n}/_SUCCESS"))]
+        return {}
+    names = {status.getPath().getName() for status in files.listStatus(target)}
+    found = {}
+    for n in sorted(int(name[2:]) for name in names if name.startswith("v=") and name[2:].isdigit()):
+        if f"shape={n}" in names:
+            found[n] = _COMPLETE if f"done={n}" in names else _OWN_ATTEMPT
+        else:
+            marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v={n}/_SUCCESS")
+            found[n] = _COMPLETE if files.exists(marker) else _UNKNOWN
+    return found
 
 
 def _write_next(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
-    existing = versions(df.sparkSession, path)
-    version = existing[-1] + 1 if existing else 0
-    # Overwrites only what a failed earlier attempt at this version left behind.
+    """Write the next snapshot: its shape, its rows, and last the file that makes it count.
+
+    Only what a failed attempt of this module left is overwritten.
+    """
+    spark = df.sparkSession
+    found = _snapshots(spark, path)
+    complete = [n for n in found if found[n] == _COMPLETE]
+    version = max(complete) + 1 if complete else 0
+    if found.get(version) == _UNKNOWN:
+        raise ValueError(f"{path}/v={version} was written elsewhere and has no success marker: "
+                         "add the marker if it is whole, or remove it")
+    shape = json.dumps({"schema": df.schema.jsonValue(), "partition_by": list(partition_by)})
+    spark.range(1).select(F.lit(shape)).coalesce(1).write.mode("overwrite").text(f"{path}/shape={version}")
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/v={version}")
+    files, _ = _folder(spark, path)
+    files.create(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/done={version}")).close()
     return version
 
 
+def _shape(spark: SparkSession, path: str, version: int) -> tuple[StructType, list[str]] | None:
+    """Schema and partition columns of a snapshot; None for one written without its shape."""
+    files, _ = _folder(spark, path)
+    place = f"{path}/shape={version}"
+    if not files.exists(spark._jvm.org.apache.hadoop.fs.Path(place)):
+        return None
+    shape = json.loads("".join(row.value for row in spark.read.text(place).collect()))
+    return StructType.fromJson(shape["schema"]), shape["partition_by"]
+
+
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """The newest snapshot's partition columns."""
+    known = versions(spark, path)
+    shape = _shape(spark, path, known[-1]) if known else None
+    return shape[1] if shape else []
+
+
 def create_if_absent(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                      table_format: str = "parquet") -> bool:
     """Write `df` as a new table; an existing table is left alone. True if written."""
@@ -68,7 +120,11 @@ def read_table(spark: SparkSession, path: str, version: int | None = None,
         version = known[-1]
     elif version not in known:
         raise ValueError(f"table at {path} has no version {version}")
-    return spark.read.parquet(f"{path}/v={version}")
+    shape = _shape(spark, path, version)
+    if shape is None:
+        return spark.read.parquet(f"{path}/v={version}")
+    return spark.read.schema(shape[0]).parquet(f"{path}/v={version}").select(
+        *[f"`{name}`" for name in shape[0].names])
 
 
 def merged(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -111,10 +167,15 @@ def merged(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 def upsert(source: DataFrame, path: str, keys: Sequence[str],
-           update: Mapping[str, str] | None = None, partition_by: Sequence[str] = (),
+           update: Mapping[str, str] | None = None, partition_by: Sequence[str] | None = None,
            table_format: str = "parquet") -> None:
-    """Merge `source` into the table at `path`, creating the table when it is absent."""
+    """Merge `source` into the table at `path`, creating the table when it is absent.
+
+    Without `partition_by` the table keeps its partition columns.
+    """
     spark = source.sparkSession
+    if partition_by is None:
+        partition_by = partition_columns(spark, path) if table_format == "parquet" else ()
     if table_format == "delta":
         keyed = source.na.drop(subset=list(keys))
         create_if_absent(keyed.limit(0), path, partition_by, "delta")
@@ -133,10 +194,15 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str],
     _write_next(merged(target, source, keys, update), path, partition_by)
 
 
-def compact(spark: SparkSession, path: str, partition_by: Sequence[str] = (),
+def compact(spark: SparkSession, path: str, partition_by: Sequence[str] | None = None,
             file_bytes: int = FILE_BYTES) -> int:
-    """Rewrite the newest snapshot in files of about `file_bytes`; returns how many it takes."""
+    """Rewrite the newest snapshot in files of about `file_bytes`; returns how many it takes.
+
+    Without `partition_by` the table keeps its partition columns.
+    """
     current = read_table(spark, path)
+    if partition_by is None:
+        partition_by = partition_columns(spark, path)
     files, _ = _folder(spark, path)
     newest = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v={versions(spark, path)[-1]}")
     count = max(1, math.ceil(files.getContentSummary(newest).getLength() / file_bytes))

@@ -28,10 +28,18 @@ def subscribe(spark: SparkSession, servers: str, topic: str = schema.EVENT_TOPIC
 
 def subscribe_in_polls(spark: SparkSession, servers: str, topic: str = schema.EVENT_TOPIC,
                        group: str = schema.CONSUMER_GROUP,
-                       poll_size: int = schema.POLL_SIZE) -> DataFrame:
-    """Messages for a handler: a named consumer group and small micro-batches."""
-    return subscribe(spark, servers, topic,
-                     **{"kafka.group.id": group, "maxOffsetsPerTrigger": poll_size})
+                       poll_size: int = schema.POLL_SIZE,
+                       batch_size: int | None = None) -> DataFrame:
+    """Messages for a handler, read by a named consumer group in polls of `poll_size` records.
+
+    Polls don't bound a micro-batch. `batch_size` does, for the whole job.
+    """
+    return subscribe(spark, servers, topic, **poll_options(group, poll_size, batch_size))
+
+
+def poll_options(group: str, poll_size: int, batch_size: int | None = None) -> dict[str, str | int]:
+    options = {"kafka.group.id": group, "kafka.max.poll.records": poll_size}
+    return options if batch_size is None else {**options, "maxOffsetsPerTrigger": batch_size}
 
 
 def publish_events(events: DataFrame, servers: str, topic: str = schema.EVENT_TOPIC) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidewatch import schema
-from tidewatch.functions.values import is_type, mean_of, paid, rule_score
+from tidewatch.functions.values import is_type, mean_of, paid, paid_beyond, rule_score, total_of
 
 
 def window_features(events: DataFrame, window: str = schema.WINDOW,
@@ -20,7 +20,8 @@ def window_features(events: DataFrame, window: str = schema.WINDOW,
             .agg(F.count("*").alias("event_count"),
                  F.count(F.when(is_type("purchase"), 1)).alias("purchase_count"),
                  F.count(F.when(is_type("page_view"), 1)).alias("page_view_count"),
-                 mean_of(F.sum(paid()), F.count(paid())).alias("avg_purchase_amount")))
+                 mean_of(total_of(F.sum(paid()), F.sum(paid_beyond())), F.count(paid()))
+                 .alias("avg_purchase_amount")))
 
 
 def with_rule_score(features: DataFrame) -> DataFrame:
