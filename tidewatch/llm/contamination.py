@@ -60,12 +60,13 @@ def words_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 class FMIndex:
-    """Full-text index of a sequence of symbols; 0 separates runs and is never searched for."""
+    """Full-text index of a sequence of symbols. It ends in 0, which occurs only there, so no two
+    of its rotations are equal; 1 separates runs. Neither is searched for."""
 
     def __init__(self, symbols: np.ndarray, alphabet: int, step: int = SAMPLE_STEP):
         self.length = len(symbols)
         order = _suffix_order(symbols)
-        before = symbols[order - 1]  # the last symbol stands before the first: a rotation
+        before = symbols[order - 1]  # the end stands before the first symbol
         self.counts = np.concatenate([[0], np.cumsum(np.bincount(symbols, minlength=alphabet + 1))])
         self.bits = max(1, alphabet.bit_length())
         # Wavelet matrix: per bit, from the highest, the number of ones before each place.
@@ -125,7 +126,8 @@ class FMIndex:
 
 
 def _suffix_order(symbols: np.ndarray) -> np.ndarray:
-    """Start positions of all rotations in sorted order, by doubling the compared length."""
+    """Start positions of all rotations in sorted order, by doubling the compared length until
+    no two are equal."""
     rank, width, size = symbols.astype(np.int64), 1, len(symbols)
     while True:
         key = rank * (int(rank.max(initial=0)) + 1) + np.roll(rank, -width)
@@ -135,7 +137,7 @@ def _suffix_order(symbols: np.ndarray) -> np.ndarray:
         rank = np.empty(size, np.int64)
         rank[order] = fresh
         width *= 2
-        if fresh[-1] == size - 1 or width >= size:
+        if fresh[-1] == size - 1:
             return order
 
 
@@ -152,7 +154,7 @@ def phrases_of(items: list[tuple[object, str | None]], window: int = WINDOW) ->
     texts = pa.array([text for _, text in items], pa.string())
     _, _, of, hashes = words_of(*byte_view(texts))
     known = np.unique(hashes)
-    numbers = np.searchsorted(known, hashes) + 1
+    numbers = np.searchsorted(known, hashes)
     owners: dict[int, dict[tuple, set[str]]] = {}
     bounds = np.searchsorted(of, np.arange(len(items) + 1))
     for i, (item_id, _) in enumerate(items):
@@ -173,7 +175,7 @@ def search_shard(phrases: Phrases, of: np.ndarray, hashes: np.ndarray) -> tuple[
     place = np.searchsorted(phrases.hashes, hashes[maybe])
     place[place == len(phrases.hashes)] = 0
     hit = phrases.hashes[place] == hashes[maybe]
-    words, numbers = maybe[hit], place[hit] + 1
+    words, numbers = maybe[hit], place[hit]
     none = [np.zeros(0, np.int64)] * 3
     if not len(words):
         return none
@@ -186,14 +188,15 @@ def search_shard(phrases: Phrases, of: np.ndarray, hashes: np.ndarray) -> tuple[
     if not len(words):
         return none
     _, run = np.unique(run, return_inverse=True)
-    symbols = np.zeros(len(words) + int(run[-1]) + 1, np.int64)
+    symbols = np.ones(len(words) + int(run[-1]) + 2, np.int64)
+    symbols[-1] = 0
     origin = np.zeros(len(symbols), np.int64)
     target = np.arange(len(words)) + run
-    symbols[target], origin[target] = numbers, words
-    index = FMIndex(symbols, len(phrases.hashes))
+    symbols[target], origin[target] = numbers + 2, words
+    index = FMIndex(symbols, len(phrases.hashes) + 1)
     firsts, lengths, which = [], [], []
     for length, rows in phrases.windows.items():
-        low, high = index.search(rows)
+        low, high = index.search(rows + 2)
         found = high - low
         phrase = np.repeat(np.arange(len(rows)), found)
         suffix = np.arange(len(phrase)) - np.repeat(np.cumsum(found) - found, found) + low[phrase]
