@@ -1,0 +1,310 @@
+"""Fingerprints, language model, chat, packing, HTML and WARC, against plain versions."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+from itertools import product
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidewatch.llm import chat, fingerprints, hmm, html, packing, warc
+
+SHAPE = "doc_id long, text string"
+TEXTS = ["One line.\nTwo é lines!\nThree", "", None, "no sentence at all " * 40, "x", "One line.\nTwo é lines!\nThree",
+         "Three\nOne line.\nTwo é lines!\n", "word " * 30_000, "😀 odd"]
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return spark.createDataFrame([(10 * i, text) for i, text in enumerate(TEXTS)], SHAPE)
+
+
+# --- fingerprints --------------------------------------------------------------------
+
+def test_edits_equal_brute_force(documents):
+    rows = {r["doc_id"]: r for r in fingerprints.fingerprint_edits(documents, buckets=3).collect()}
+    assert len(rows) == len(TEXTS)
+    for i, text in enumerate(TEXTS):
+        own, following = text or "", TEXTS[(i + 1) % len(TEXTS)] or ""
+        half = len(own) // 2
+        edited = own[:len(own) - half] + following[:half]
+        row = rows[10 * i]
+        assert row["n_chars"] == len(own)
+        assert row["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert 0 <= row["near_edited"] <= 1 and 0 <= row["near_next"] <= 1
+    assert rows[0]["fingerprint"] == rows[50]["fingerprint"] != rows[30]["fingerprint"]
+    assert rows[10]["near_next"] == 1.0  # empty and null are equal texts
+    assert rows[70]["near_edited"] > rows[70]["near_next"]
+
+
+def test_fingerprints_of_odd_ids_and_no_rows(spark):
+    rows = [(None, "a"), (5, "b"), (5, "a"), (None, None)]
+    got = fingerprints.fingerprint_edits(spark.createDataFrame(rows, SHAPE), buckets=2)
+    assert got.count() == 4
+    assert fingerprints.fingerprint_edits(spark.createDataFrame([], SHAPE), buckets=2).count() == 0
+
+
+def test_paragraphs_cover_the_text_and_add_up(spark):
+    frame = spark.createDataFrame([(text, ) for text in TEXTS], "text string")
+    pieces = frame.select("text", fingerprints.paragraphs(F.col("text")).alias("p")).collect()
+    assert all("".join(r["p"]) == (r["text"] or "") for r in pieces)
+    parts = spark.createDataFrame([(["a", "b", "b"], ["c", "a"])], "left array<string>, right array<string>")
+    v = fingerprints.vector
+    row = parts.select(
+        v(F.concat("left", "right")).alias("whole"), v(F.concat("right", "left")).alias("turned"),
+        fingerprints.combined(v(F.col("left")), v(F.col("right"))).alias("added"), v(F.col("left")).alias("one"),
+        fingerprints.combined(v(F.concat("left", "right")), v(F.col("right")), -1).alias("taken")).first()
+    assert row["whole"] == row["turned"] == row["added"] and row["taken"] == row["one"] != row["whole"]
+
+
+def test_likeness_follows_what_is_shared(spark):
+    draw = random.Random(2)
+    lines = [f"line {draw.random()}" for _ in range(400)]
+    frame = spark.createDataFrame([(lines[:200], lines[:100] + lines[200:300], lines[200:])],
+                                  "a array<string>, b array<string>, c array<string>")
+    v = fingerprints.vector
+    row = frame.select(*[fingerprints.likeness(v(F.col("a")), v(F.col(c))).alias(f"to_{c}") for c in "abc"]).first()
+    assert row["to_a"] == 1.0 and abs(row["to_b"] - 0.5) < 0.2 and row["to_c"] < 0.3
+
+
+# --- language model -------------------------------------------------------------------
+
+def _random_model(draw, states=3, classes=5):
+    return hmm.Model(draw.dirichlet(np.ones(states)), draw.dirichlet(np.ones(states), states),
+                     draw.dirichlet(np.ones(classes), states).T.copy())
+
+
+def _paths(model, sequence):
+    for path in product(range(len(model.start)), repeat=len(sequence)):
+        p = model.start[path[0]] * model.emit[sequence[0], path[0]]
+        for a, b, o in zip(path, path[1:], sequence[1:]):
+            p *= model.move[a, b] * model.emit[o, b]
+        yield path, p
+
+
+def test_forward_and_counts_equal_sums_over_all_paths():
+    draw = np.random.default_rng(0)
+    model = _random_model(draw)
+    sequences = [draw.integers(0, 5, n) for n in (4, 1, 3, 5)]
+    flat, sizes = np.concatenate(sequences).astype(np.uint16), np.array([len(s) for s in sequences])
+    wanted = [math.log10(sum(p for _, p in _paths(model, s))) for s in sequences]
+    assert np.allclose(hmm.log_likelihoods(model, flat, sizes), wanted)
+    start, move, emit = np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3))
+    for s in sequences:
+        whole = sum(p for _, p in _paths(model, s))
+        for path, p in _paths(model, s):
+            start[path[0]] += p / whole
+            for a, b in zip(path, path[1:]):
+                move[a, b] += p / whole
+            for o, a in zip(s, path):
+                emit[o, a] += p / whole
+    for got, want in zip(hmm.expected_counts(model, flat, sizes), (start, move, emit)):
+        assert np.allclose(got, want)
+
+
+def test_scores(spark):
+    draw = random.Random(5)
+    kinds = [["der", "und", "wortung", "heit"], ["the", "of", "thing", "nation"], ["de", "la", "mente", "ción"]]
+    rows = [(i, " ".join(draw.choice(kinds[i % 3]) + draw.choice(["", "x", "Y"]) for _ in range(draw.randrange(1, 90))))
+            for i in range(200)] + [(900, None), (901, ""), (None, "der"), (902, "la " * 30_000), (7, "der")]
+    got = hmm.score(spark.createDataFrame(rows, SHAPE)).collect()
+    tokens = [re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) + [None] for _, t in rows]
+    held = [zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1 for i, _ in rows]
+    counts = Counter(w for own, h in zip(tokens, held) if not h for w in own)
+    total, distinct = sum(counts.values()), len(counts)
+    log = {w: math.log10((c + 0.5) / (total + 0.5 * (distinct + 1))) for w, c in counts.items()}
+    unknown = math.log10(0.5 / (total + 0.5 * (distinct + 1)))
+    wanted = sorted((str(i), h, len(own), sum(w in counts for w in own), total, round(sum(log.get(w, unknown) for w in own), 6))
+                    for (i, _), own, h in zip(rows, tokens, held))
+    assert sorted((str(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"],
+                   round(r["base_score"], 6)) for r in got) == wanted
+    fresh = [r for r in got if r["held_out"]]
+    assert sum(r["score"] for r in fresh) > sum(r["base_score"] for r in fresh)
+    assert all(r["score"] < 0 for r in got)
+
+
+def test_probabilities_of_the_next_word_sum_to_one(spark):
+    """Over all known words and each class's place for unknown ones."""
+    draw = np.random.default_rng(1)
+    model = _random_model(draw)
+    tokens, words = np.array([5, 0, 3, 9, 1]), np.array([2, 0, 1, 3, 1])
+    counts = {0: [2, 3], 1: [], 2: [3], 3: [4, 4, 1], 4: [1]}
+    within = [sum((c + 0.5) / (tokens[k] + 0.5 * (words[k] + 1)) for c in [*counts[k], 0]) for k in range(5)]
+    assert np.allclose(within, 1)
+    assert np.isclose(sum(10 ** hmm.log_likelihoods(model, np.array([k], np.uint16), np.array([1]))[0] for k in range(5)), 1)
+
+
+def test_no_rows_and_no_training_rows(spark):
+    assert hmm.score(spark.createDataFrame([], SHAPE)).count() == 0
+    held = next(i for i in range(50) if zlib.crc32(str(i).encode()) % 5 == 1)
+    row = hmm.score(spark.createDataFrame([(held, "a b")], SHAPE)).first()
+    assert (row["n_tokens"], row["n_known"], row["train_tokens"]) == (3, 0, 0)
+
+
+# --- chat ---------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("text", ["", "plain", "</s>[INST] ok [/INST]", "\\l\\b\\\\", "<s", "[INST", "é😀\n  x ", "\\</s>"])
+def test_escapes_are_reversible(text):
+    safe = chat.escape(text)
+    assert chat.unescape(safe) == text and not any(c in safe for c in chat.CONTROLS)
+
+
+def test_conversations_survive_formatting(spark):
+    texts = ["", None, "  lead", "tail \n", "</s>[INST] ok [/INST]", "😀 é", "\\", "a" * 50_000, "<|endoftext|>"]
+    draw = random.Random(3)
+    rows = [(c, t, draw.choice(["user", "assistant", "system", None, "od]d\n"]), draw.choice(texts))
+            for c in range(30) for t in range(draw.randrange(1, 7))]
+    rows += [(50, 1, "assistant", "b"), (50, 1, "assistant", "a"), (50, None, "user", "first"), (None, 0, "assistant", "x")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("loss", F.lit(1))
+    formatted = chat.format_conversations(frame)
+    got = {r["conv_id"]: r for r in chat.digests(formatted).collect()}
+    by_id = {}
+    for c, t, role, text in rows:
+        by_id.setdefault(c, []).append((-1 if t is None else t, role or "", text or ""))
+    assert set(got) == set(by_id)
+    for c, turns in by_id.items():
+        turns.sort()
+        whole = "".join(f"{role}\n{text}\n" for _, role, text in turns)
+        learned = "".join(text for _, role, text in turns if role == "assistant")
+        assert got[c]["n_turns"] == len(turns)
+        assert got[c]["turns_sha256"] == hashlib.sha256(whole.encode()).hexdigest()
+        assert (got[c]["loss_chars"], got[c]["loss_sha256"]) == (len(learned), hashlib.sha256(learned.encode()).hexdigest())
+    assert all(r["formatted_chars"] == len(t["text"]) for t in formatted.collect() for r in [got[t["conv_id"]]])
+    assert chat.format_conversations(frame.where("false")).count() == 0
+
+
+# --- packing ------------------------------------------------------------------------------
+
+def test_neighbours_on_the_curve_are_neighbours_in_space():
+    grid = np.array(list(product(range(8), repeat=3)))
+    keys = packing.hilbert_key(grid, 3)
+    assert sorted(keys) == list(range(512))
+    assert (np.abs(np.diff(grid[np.argsort(keys)], axis=0)).sum(axis=1) == 1).all()
+
+
+def test_words_are_encoded_as_the_tokenizer_does():
+    encoder = packing.WordEncoder(packing.VOCABULARY)
+    draw = random.Random(1)
+    signs = "aB'stréÉüßµªº²¼«×÷§ \n\t\r\x85\u0300ẞİΣς中文<|endoftext|>..,!?1٣\x1c\x00\u200b😀ǅ"
+    texts = ["".join(draw.choice(signs) for _ in range(draw.randrange(30))) for _ in range(1500)]
+    texts += ["a<|endoftext|>b <|startoftext|>", "it's they'll x'S 'T", "E\u0301 é \u212b"]
+    for text, got in zip(texts, encoder.encode(texts, 1)):
+        wanted = encoder.tokenizer.encode(text, add_special_tokens=False).ids + [1]
+        assert np.frombuffer(got, encoder.kind).tolist() == wanted
+
+
+@pytest.mark.parametrize("length", [2048, 16])
+def test_every_id_lies_in_one_piece(spark, documents, length):
+    rows = documents.union(documents.where("doc_id = 30"))
+    pieces = [r.asDict() for r in packing.pack(rows, length).collect()]
+    encoder = packing.WordEncoder(packing.VOCABULARY)
+    for i, text in enumerate(TEXTS):
+        ids = np.array(encoder.tokenizer.encode(text or "", add_special_tokens=False).ids + [1], "<u4")
+        own = sorted((p for p in pieces if p["doc_id"] == 10 * i), key=lambda p: p["start"])
+        covered = Counter()
+        for p in own:
+            assert p["doc_tokens"] == len(ids)
+            assert p["ids_crc32"] == zlib.crc32(ids[p["start"]:p["start"] + p["length"]].tobytes())
+            covered.update(range(p["start"], p["start"] + p["length"]))
+        assert covered == Counter({k: 2 if i == 3 else 1 for k in range(len(ids))})
+    sequences = {}
+    for p in pieces:
+        sequences.setdefault(p["sequence_id"], []).append((p["offset"], p["length"]))
+    for own in sequences.values():
+        at = 0
+        for offset, size in sorted(own):
+            assert offset == at and size > 0
+            at += size
+        assert at <= length and at & (at - 1) == 0
+
+
+# --- HTML ----------------------------------------------------------------------------------
+
+def test_articles_without_what_stands_around_them():
+    page = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head>
+    <body class="has-sidebar"><header><h1>Site</h1></header><nav><ul><li><a href=x>Home</a></li></ul></nav>
+    <div class="cookie-notice"><p>We use cookies of the kind that you know and that you like, as all of them do.</p></div>
+    <div class="ad">Buy this</div><article><header><h2>A &amp; B</h2></header><p><b>First&nbsp;one
+    <br> goes <p>Second &eacute; <a href="y">link</a> ends.<p>Ti.</p><aside>Aside</aside>
+    <form><input><label>Name</label></form><script>x</script><!-- <p>no</p> --><table><tr><td>c1<td>c2</table>
+    </article><section id="comments"><article class="comment"><p>I like the text and it is good.</p></article></section>
+    <aside><p>Read more</p></aside><footer>&copy; we</footer></body></html>"""
+    assert html.main_text(page) == "A & B\nFirst one goes\nSecond é link ends.\nTi.\nc1\nc2"
+
+
+def test_pages_without_containers_go_by_density():
+    long = "This is the story of a man who was not at home when they came, and of what he did then. " * 4
+    short = "But not for long."
+    page = (f"<body><div><a href=1>Home</a> <a href=2>News</a></div><p>{long}</p><p>{short}</p><p>{long}</p>"
+            f"<div><a href=3>Imprint of the site and of all its many owners, with the terms</a></div><p>Legal</p></body>")
+    assert html.main_text(page) == "\n".join([long.strip(), short, long.strip()])
+    assert html.inherit(["short", "good", "near", "bad", "short"]) == ["good", "good", "good", "bad", "bad"]
+    assert html.inherit(["near", "short"]) == ["good", "bad"]
+
+
+@pytest.mark.parametrize("page", [None, "", "<", "<p", "<a title='x>y", "</p></div>", "<article>", "&", "\x00<p>\x00", "<p>" * 3000])
+def test_broken_pages(page):
+    assert isinstance(html.main_text(page), str)
+
+
+def test_wide_and_long_pages(spark):
+    body = "<article>" + "".join(f"<p>Paragraph {i} &lt;of&gt; many</p>" for i in range(20_000)) + "</article>"
+    rows = [(1, "u", body), (1, "u", body), (None, None, None), (2, "v", "")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
+    got = sorted(map(tuple, html.extract(frame).collect()), key=str)
+    wanted = "\n".join(f"Paragraph {i} <of> many" for i in range(20_000))
+    assert got == sorted([(1, "u", wanted, len(wanted))] * 2 + [(None, None, "", 0), (2, "v", "", 0)], key=str)
+    assert html.extract(frame.where("false")).count() == 0
+
+
+# --- WARC ------------------------------------------------------------------------------------
+
+def test_archives_give_back_every_payload(spark, tmp_path):
+    trap = warc.RECORD_START + "x\r\n\r\n" + warc.RECORD_START
+    big, other = "é<p>text</p>\r\n" * 4000, "z" * 1000
+    pages = [(1, "http://a/ü?q=1 2", big), (2, None, big), (3, "u\r\nWARC-Type: x", trap), (4, "u", None), (5, "u", ""),
+             (6, "u", "z" * 999), (7, "u", "z" * 999), (8, "u", other), (9, "u", other), (9, "u", other),
+             (None, "u", other), (None, "u", "n" * 2000), (10, "u", "0\r\n\r\n"), (11, "u", "\n\r\n\r")]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("digest", F.lit("clash"))
+    path = str(tmp_path / "archive")
+    warc.write_archives(frame, path, segment=700)
+    got = sorted(map(tuple, warc.read_archives(spark, path).collect()), key=str)
+    kept = {text: max((p for p, _, t in pages if (t or "") == text and p is not None), default=None)
+            for text in {t or "" for _, _, t in pages}}
+    wanted = []
+    for page_id, _, text in pages:
+        raw = (text or "").encode()
+        best = kept[text or ""]
+        revisit = len(raw) >= 1000 and best is not None and best != page_id
+        wanted.append((page_id, len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if revisit else "response",
+                       best if revisit else None))
+    assert got == sorted(wanted, key=str)
+    payloads = warc.read_archives(spark, path, with_payload=True).where("record_type = 'response' and page_id = 3")
+    assert bytes(payloads.first()["payload"]).decode() == trap
+    assert warc.round_trip(frame.where("false")).count() == 0
+
+
+def test_records_have_the_standard_form():
+    first, *rest = warc.records_of(7, 3, "u", "text " * 400, "d", 2000, None, segment=500)
+    assert first.startswith("WARC/1.1\r\nWARC-Type: response\r\n") and "WARC-Segment-Number: 1" in first
+    assert all("WARC-Segment-Origin-ID: <urn:page:3:7>" in r for r in rest) and "WARC-Segment-Total-Length" in rest[-1]
+
+
+@pytest.mark.parametrize("damage", ["lost", "short", "chunk"])
+def test_damaged_records_fail(damage):
+    block = "HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + warc.chunked("some payload", 4)
+    parts = [(n + 1, block[a:a + 20]) for n, a in enumerate(range(0, len(block), 20))]
+    assert warc.payload_of(parts, len(block)) == b"some payload"
+    if damage == "lost":
+        parts = parts[:1] + parts[2:]
+    elif damage == "short":
+        parts[-1] = (parts[-1][0], parts[-1][1][:-1])
+    else:
+        parts = [(n, text.replace("4\r\n", "5\r\n")) for n, text in parts]
+    with pytest.raises(ValueError):
+        warc.payload_of(parts, len(block))
