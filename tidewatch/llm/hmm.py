@@ -18,16 +18,18 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidewatch.llm.common import byte_view, chunks, stored
+from tidewatch.llm.common import byte_view, chunks, map_batches, stored
 
 STATES, CLASSES = 8, 2048
 FOLDS, HELD_OUT = 5, 1
 ROUNDS = 2
 PIECE = 512  # words of a training sequence; scoring takes whole texts
 SHARD_BYTES = 1_500_000
-START_SHARDS = 12  # bounded sample that the first guess of the states is made from
+SHARD_ROWS = 8  # rows of a batch where each is a shard
+START_SHARDS, START_TEXTS = 12, 200  # bounded sample that the first guess of the states is made from
 SHARD = ("shard long, doc_ids array<long>, held_out array<boolean>, sizes array<int>, words binary, "
-         "width int, keys array<long>, counts array<int>")
+         "width int, groups binary, counts binary, keys binary")
+ROWS = "key long, shard long, place int, count int"
 READY = ("doc_ids array<long>, held_out array<boolean>, sizes array<int>, classes binary, "
          "known array<int>, word_logs array<double>, class_words array<long>, class_tokens array<long>")
 
@@ -82,27 +84,29 @@ def word_keys(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def shards_of(documents: DataFrame) -> DataFrame:
     """The corpus in shards: texts as numbers into the shard's sorted list of distinct words, with
-    the words' counts in texts that aren't held out."""
+    the words' classes, counts in texts that aren't held out, and keys, each less the one before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
-        for batch in chunks(batches, "text", SHARD_BYTES):
+        for batch in chunks(batches, SHARD_BYTES):
             of, keys = word_keys(*byte_view(batch.column("text")))
             known, place = np.unique(keys, return_inverse=True)
             held = batch.column("held_out").to_numpy(zero_copy_only=False)
             counts = np.bincount(place[~held[of]], minlength=len(known))
             kind = np.uint16 if len(known) <= 1 << 16 else np.uint32
             row = ([number], [batch.column("doc_id").to_pylist()], [held], [np.bincount(of, minlength=batch.num_rows)],
-                   [place.astype(kind).tobytes()], [np.dtype(kind).itemsize], [known], [counts])
+                   [place.astype(kind).tobytes()], [np.dtype(kind).itemsize], [(known >> 52).astype(np.uint16).tobytes()],
+                   [counts.astype(np.int32).tobytes()], [np.diff(known, prepend=0).tobytes()])
             kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(),
-                     pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()))
+                     pa.int32(), pa.binary(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names=_names(SHARD))
             number += 1
 
     fold = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS))
-    return documents.select(
+    rows = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), (fold == HELD_OUT).alias("held_out"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(run, SHARD)
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return map_batches(rows, run, SHARD)
 
 
 def with_totals(shards: DataFrame) -> DataFrame:
@@ -112,43 +116,51 @@ def with_totals(shards: DataFrame) -> DataFrame:
     A word of one shard only has its count there as its total. Of the shards that share a word
     one is its owner, so that it counts once.
     """
-    rows = shards.select("shard", F.explode(F.arrays_zip("keys", "counts")).alias("e")).select(
-        "shard", F.col("e.keys").alias("key"), F.col("e.counts").alias("count"))
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                keys = np.cumsum(np.frombuffer(batch.column("keys")[i].as_buffer(), np.int64))
+                counts = np.frombuffer(batch.column("counts")[i].as_buffer(), np.int32)
+                shard = np.full(len(keys), batch.column("shard")[i].as_py())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys), pa.array(shard), pa.array(np.arange(len(keys)), pa.int32()), pa.array(counts)],
+                    names=_names(ROWS))
+
     by_key = Window.partitionBy("key")
+    rows = map_batches(shards.select("shard", "keys", "counts"), words, ROWS, SHARD_ROWS)
     shared = rows.select(
-        "shard", "key", F.sum("count").over(by_key).alias("total"), F.count("*").over(by_key).alias("shards"),
+        "shard", "place", F.sum("count").over(by_key).alias("total"), F.count("*").over(by_key).alias("shards"),
         F.min("shard").over(by_key).alias("owner")).where("shards > 1")
-    back = shared.groupBy("shard").agg(F.collect_list(F.struct(
-        "key", "total", (F.col("owner") == F.col("shard")).alias("own"))).alias("back"))
+    # Both lists are gathered row by row, so they stay in step; ~place marks a word that is owned.
+    marked = F.when(F.col("owner") == F.col("shard"), F.bitwise_not("place")).otherwise(F.col("place"))
+    back = shared.groupBy("shard").agg(F.collect_list(marked).alias("places"), F.collect_list("total").alias("totals"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 one = {name: batch.column(name)[row] for name in batch.schema.names}
-                keys = one["keys"].values.to_numpy()
-                total = one["counts"].values.to_numpy().astype(np.int64)
-                local, own = total.copy(), np.ones(len(keys), bool)
-                if one["back"].is_valid:
-                    flat = one["back"].values
-                    place = np.searchsorted(keys, flat.field("key").to_numpy())
-                    total[place] = flat.field("total").to_numpy()
-                    own[place] = flat.field("own").to_numpy(zero_copy_only=False)
+                group = np.frombuffer(one["groups"].as_buffer(), np.uint16)
+                total = np.frombuffer(one["counts"].as_buffer(), np.int32).astype(np.int64)
+                local, own = total.copy(), np.ones(len(group), bool)
+                if one["places"].is_valid:
+                    place = one["places"].values.to_numpy()
+                    own[place[place >= 0]] = False
+                    total[np.where(place < 0, ~place, place)] = one["totals"].values.to_numpy()
                 words = np.frombuffer(one["words"].as_buffer(), np.uint16 if one["width"].as_py() == 2 else np.uint32)
                 sizes = one["sizes"].values.to_numpy()
                 of = np.repeat(np.arange(len(sizes)), sizes)
-                group = keys >> 52
                 logs = np.bincount(of, np.log10(total + 0.5)[words], len(sizes))
                 known = np.bincount(of, (total > 0)[words], len(sizes)).astype(np.int64)
                 distinct = np.bincount(group[own & (total > 0)], minlength=CLASSES)
                 tokens = np.bincount(group, local, CLASSES).astype(np.int64)
-                made = (one["doc_ids"].as_py(), one["held_out"].as_py(), sizes, group.astype(np.uint16)[words].tobytes(),
+                made = (one["doc_ids"].as_py(), one["held_out"].as_py(), sizes, group[words].tobytes(),
                         known, logs, distinct, tokens)
                 kinds = (pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(),
                          pa.list_(pa.int32()), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(made, kinds)], names=_names(READY))
 
-    return shards.join(back, "shard", "left").select(
-        "doc_ids", "held_out", "sizes", "words", "width", "keys", "counts", "back").mapInArrow(run, READY)
+    joined = shards.drop("keys").join(back, "shard", "left").drop("shard")
+    return map_batches(joined, run, READY, SHARD_ROWS)
 
 
 @dataclass
@@ -236,24 +248,25 @@ def first_guess(rows: list[dict], states: int = STATES, seed: int = 3) -> Model:
         kept, sizes = _trained_pieces(row)
         of = np.repeat(np.arange(len(sizes)), sizes)
         flat = np.bincount(of * CLASSES + kept, minlength=len(sizes) * CLASSES).reshape(-1, CLASSES)
-        shares.append(flat[sizes >= 20][:400])
-    counts = np.concatenate(shares or [np.zeros((0, CLASSES))]).astype(np.float64)
+        shares.append(flat[sizes >= 20][:START_TEXTS].astype(np.float32))
+    counts = np.concatenate(shares or [np.zeros((0, CLASSES), np.float32)])
     random = np.random.default_rng(seed)
-    flat = counts.sum(axis=0) + 0.1
+    flat = counts.sum(axis=0, dtype=np.float64) + 0.1
     emit = np.tile(flat / flat.sum(), (states, 1))
     if len(counts) >= states:
         points = np.sqrt(counts / counts.sum(axis=1, keepdims=True))
         centres = points[[int(random.integers(len(points)))]]
-        while len(centres) < states:  # far points first
-            apart = np.min(((points[:, None] - centres[None]) ** 2).sum(axis=2), axis=1)
-            centres = np.vstack([centres, points[random.choice(len(points), p=apart / apart.sum())]]) \
-                if apart.sum() > 0 else np.vstack([centres, points[:1]])
+        apart = np.full(len(points), np.inf)
+        while len(centres) < states:  # far points first; the points are of unit length
+            apart = np.minimum(apart, np.maximum(0, 2 - 2 * points @ centres[-1].astype(np.float64)))
+            fresh = random.choice(len(points), p=apart / apart.sum()) if apart.sum() > 0 else 0
+            centres = np.vstack([centres, points[fresh]])
         for _ in range(12):
             near = np.argmax(points @ centres.T - (centres ** 2).sum(axis=1) / 2, axis=1)
             centres = np.stack([points[near == s].mean(axis=0) if (near == s).any() else centres[s]
                                 for s in range(states)])
         for s in range(states):
-            own = counts[near == s].sum(axis=0) + 20 * flat / flat.sum()
+            own = counts[near == s].sum(axis=0, dtype=np.float64) + 20 * flat / flat.sum()
             emit[s] = own / own.sum()
     emit *= 1 + 0.01 * random.random(emit.shape)
     emit /= emit.sum(axis=1, keepdims=True)
@@ -286,8 +299,8 @@ def improved(ready: DataFrame, model: Model) -> Model:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(len(total)), pa.int32()), pa.array(total)], names=["place", "value"])
 
-    sums = (ready.select("sizes", "held_out", "classes").mapInArrow(run, "place int, value double")
-            .groupBy("place").agg(F.sum("value").alias("value")).toPandas())
+    counts = map_batches(ready.select("sizes", "held_out", "classes"), run, "place int, value double", SHARD_ROWS)
+    sums = (counts.groupBy("place").agg(F.sum("value").alias("value")).toPandas())
     flat = np.zeros(states + states * states + states * CLASSES)
     flat[sums["place"].to_numpy()] = sums["value"].to_numpy()
     start, move, emit = np.split(flat, [states, states + states * states])
@@ -356,4 +369,5 @@ def score(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         if waiting:
             yield made()
 
-    return ready.select("doc_ids", "held_out", "sizes", "classes", "known", "word_logs").mapInArrow(run, schema)
+    rows = ready.select("doc_ids", "held_out", "sizes", "classes", "known", "word_logs")
+    return map_batches(rows, run, schema, SHARD_ROWS)
