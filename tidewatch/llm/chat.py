@@ -11,6 +11,8 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
+from tidewatch.llm.common import map_batches
+
 VOCABULARY = "byte_bpe_50k.json"
 # The template's control strings, each one token.
 TURN, ROLE, ROLE_END, TURN_END = "<s>", "[INST]", "[/INST]", "</s>"
@@ -127,7 +129,7 @@ def format_conversations(rows: DataFrame, vocabulary: str = VOCABULARY) -> DataF
                                "cast(text as string) text")
                .repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
                .select("conv_id", "role", "text"))
-    return ordered.mapInArrow(run, FORMATTED)
+    return map_batches(ordered, run, FORMATTED)
 
 
 def digests(formatted: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -151,7 +153,7 @@ def digests(formatted: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             columns = list(zip(*rows)) or [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=names)
 
-    return formatted.select("conv_id", "ids", "loss").mapInArrow(run, schema)
+    return map_batches(formatted.select("conv_id", "ids", "loss"), run, schema)
 
 
 def with_probe(rows: DataFrame) -> DataFrame:

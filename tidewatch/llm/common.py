@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidewatch.session import scratch_path
 
 CHUNK_BYTES = 2_000_000
+BATCH_ROWS = 2_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,18 +22,30 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     """The frame written once to the shared folder and read back: cuts lineage, and a lost
     executor costs no recomputation of what stands before it."""
     path = scratch_path(frame.sparkSession, label)
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def chunks(batches: Iterator[pa.RecordBatch], column: str,
-           target: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with about `target` bytes in `column`; a longer value stands alone."""
+def map_batches(frame: DataFrame, function: Callable, schema, rows: int = BATCH_ROWS) -> DataFrame:
+    """`mapInArrow` with batches of at most `rows` rows. Rows here are whole texts or more, and the
+    JVM and Python hold a batch each. The setting is the session's; it is read when a plan runs."""
+    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return frame.mapInArrow(function, schema)
+
+
+def text_of(batch: pa.RecordBatch) -> pa.Array:
+    """The batch's texts: a column of that name, or a field of packed rows."""
+    return batch.column("text") if "text" in batch.schema.names else batch.column("row").field("text")
+
+
+def chunks(batches: Iterator[pa.RecordBatch], target: int = CHUNK_BYTES,
+           values_of: Callable = text_of) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with about `target` bytes of text; a longer text stands alone."""
     for batch in batches:
-        values = batch.column(column)
+        values = values_of(batch)
         if len(values) == 0:
             continue
-        ends = np.cumsum(np.diff(offsets_of(values)))
+        ends = np.cumsum(np.diff(offsets_of(filled(values))))
         first = 0
         while first < len(ends):
             done = ends[first - 1] if first else 0
@@ -48,10 +61,16 @@ def offsets_of(values: pa.Array) -> np.ndarray:
     return raw[values.offset:values.offset + len(values) + 1].astype(np.int64)
 
 
+def filled(values: pa.Array) -> pa.Array:
+    """The values with empty ones for null."""
+    if pa.types.is_null(values.type):
+        values = values.cast(pa.string())
+    return values.fill_null(b"" if pa.types.is_binary(values.type) else "") if values.null_count else values
+
+
 def byte_view(values: pa.Array, pad: int = 8) -> tuple[np.ndarray, np.ndarray]:
     """The values' bytes end to end, zero-padded by `pad`, and their boundaries; null is empty."""
-    if values.null_count:
-        values = values.fill_null(b"" if pa.types.is_binary(values.type) else "")
+    values = filled(values)
     offsets = offsets_of(values)
     data = values.buffers()[2]
     raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)

@@ -16,9 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from tidewatch.llm.common import byte_view, chunks, packed, with_text
+from tidewatch.llm.common import byte_view, chunks, map_batches, packed, text_of, with_text
 
 WINDOW = 10
 BLOCK_BYTES = 8_000_000
@@ -230,7 +230,7 @@ def blocks_of(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[t
 
 def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                        block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """row (the packed input), text, n_words, hit_words (merged word ranges, as pairs of longs),
+    """row (the packed input), n_words, hit_words (merged word ranges, as pairs of longs),
     hit_bytes (the same ranges in the text's UTF-8 bytes) and hit_items (ids as text).
 
     Documents are never shuffled; each block of the benchmark is one pass over them. A null or
@@ -238,15 +238,15 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int =
     alike; a benchmark without rows hits nothing.
     """
     rows = packed(documents, *[F.expr(e) for e in (
-        "cast(text as string) as text", "0L as n_words", "cast(array() as array<long>) as hit_words",
+        "0L as n_words", "cast(array() as array<long>) as hit_words",
         "cast(array() as array<long>) as hit_bytes", "cast(array() as array<string>) as hit_items")])
     for block in list(blocks_of(benchmark, block_bytes)) or [[]]:
         sent = documents.sparkSession.sparkContext.broadcast(phrases_of(block, window))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             phrases = sent.value
-            for batch in chunks(batches, "text", SHARD_BYTES):
-                data, bounds = byte_view(batch.column("text"))
+            for batch in chunks(batches, SHARD_BYTES):
+                data, bounds = byte_view(text_of(batch))
                 starts, ends, of, hashes = words_of(data, bounds)
                 count = np.bincount(of, minlength=batch.num_rows)
                 first, length, which = search_shard(phrases, of, hashes) if phrases.windows else [np.zeros(0, np.int64)] * 3
@@ -266,11 +266,11 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int =
                     pairs = set(zip(length[own].tolist(), which[own].tolist()))
                     items[i] = sorted(set(items[i]).union(*(phrases.items[n][w] for n, w in pairs)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("row"), batch.column("text"), pa.array(count, pa.int64()), pa.array(spans, pa.list_(pa.int64())),
+                    [batch.column("row"), pa.array(count, pa.int64()), pa.array(spans, pa.list_(pa.int64())),
                      pa.array(spots, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))],
                     names=batch.schema.names)
 
-        rows = rows.mapInArrow(run, rows.schema)
+        rows = map_batches(rows, run, rows.schema)
     return rows
 
 
@@ -296,7 +296,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for text, spots in zip(batch.column("text").to_pylist(), batch.column("hit_bytes").to_pylist()):
+            for text, spots in zip(text_of(batch).to_pylist(), batch.column("hit_bytes").to_pylist()):
                 if spots:
                     raw = text.encode()
                     edges = [0, *spots, len(raw)]
@@ -304,6 +304,6 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
                 texts.append(text)
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
 
-    found = find_contamination(documents, benchmark, window).select("row", "text", "hit_bytes")
-    schema = StructType([found.schema["row"], found.schema["text"]])
-    return with_text(found.mapInArrow(cut, schema), documents.columns)
+    found = find_contamination(documents, benchmark, window).select("row", "hit_bytes")
+    schema = StructType([found.schema["row"], StructField("text", StringType())])
+    return with_text(map_batches(found, cut, schema), documents.columns)

@@ -14,6 +14,8 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tidewatch.llm.common import map_batches
+
 # Frequent words of the languages served.
 STOP_WORDS = frozenset("""
 a about after all also an and any are as at be because been but by can could do for from had has have he her his how
@@ -210,6 +212,5 @@ def extract(pages: DataFrame) -> DataFrame:
                      pa.array([len(t) for t in texts], pa.int64())],
                     names=["page_id", "url", "text", "n_chars"])
 
-    return (pages.selectExpr("cast(page_id as long) page_id", "cast(url as string) url",
-                             "cast(html as string) html")
-            .mapInArrow(run, "page_id long, url string, text string, n_chars long"))
+    rows = pages.selectExpr("cast(page_id as long) page_id", "cast(url as string) url", "cast(html as string) html")
+    return map_batches(rows, run, "page_id long, url string, text string, n_chars long")

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidewatch.llm.common import byte_view, chunks, packed, stored, unpacked
+from tidewatch.llm.common import byte_view, chunks, map_batches, packed, stored, unpacked
 from tidewatch.llm.contamination import words_of
 
 SHINGLE_WORDS = 5
@@ -109,7 +109,7 @@ def sketches(documents: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text", CHUNK_BYTES):
+        for batch in chunks(batches, CHUNK_BYTES):
             for at in range(0, batch.num_rows, 2_000):
                 part = batch.slice(at, 2_000)
                 data, bounds = byte_view(part.column("text"))
@@ -127,8 +127,8 @@ def sketches(documents: DataFrame) -> DataFrame:
                      pa.array(size, pa.int64()), bands], names=["doc_id", "row_key", "class", "n", "bands"])
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return (documents.select(F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("row_key"), text.alias("text"))
-            .mapInArrow(run, "doc_id long, row_key long, class binary, n long, bands array<long>"))
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("row_key"), text.alias("text"))
+    return map_batches(rows, run, "doc_id long, row_key long, class binary, n long, bands array<long>")
 
 
 def candidates(classes: DataFrame) -> DataFrame:
@@ -159,7 +159,7 @@ def verified(documents: DataFrame, pairs: DataFrame) -> DataFrame:
     wanted = pairs.select(F.col("a").alias("row_key")).union(pairs.select("b")).distinct()
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text", CHUNK_BYTES):
+        for batch in chunks(batches, CHUNK_BYTES):
             of, value, _ = shingles(*byte_view(batch.column("text")))
             small = (value >> np.uint64(32)).astype(np.uint32)
             bounds = np.searchsorted(of, np.arange(batch.num_rows + 1))
@@ -178,12 +178,12 @@ def verified(documents: DataFrame, pairs: DataFrame) -> DataFrame:
                 [batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(alike, pa.bool_()))
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    sets = stored(documents.select(_row_key().alias("row_key"), text.alias("text")).join(wanted, "row_key")
-                  .mapInArrow(sets_of, "key long, set binary"), "sets").dropDuplicates(["key"])
+    rows = documents.select(_row_key().alias("row_key"), text.alias("text")).join(wanted, "row_key")
+    sets = stored(map_batches(rows, sets_of, "key long, set binary"), "sets").dropDuplicates(["key"])
     left = sets.select(F.col("key").alias("a"), F.col("set").alias("left"))
     right = sets.select(F.col("key").alias("b"), F.col("set").alias("right"))
-    return (pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-            .mapInArrow(compare, "a long, b long"))
+    return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right"),
+                       compare, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:

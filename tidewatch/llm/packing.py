@@ -13,14 +13,14 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidewatch.llm.common import chunks, stored
+from tidewatch.llm.common import chunks, map_batches, stored
 
 VOCABULARY = "word_bpe_49k.json"
 LENGTH = 2048
 END_ID = 1
 DIMENSIONS, BITS = 4, 12
 HASHED = 512
-MEMO_WORDS = 400_000
+MEMO_WORDS = 250_000
 # Fixed value: the vocabulary's own pattern of parts.
 _PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _PLAIN = regex.compile(r"[\x21-\x7e\xa1-\xff]*+")
@@ -133,7 +133,7 @@ def encoded(documents: DataFrame, vocabulary: str = VOCABULARY, end_id: int = EN
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(vocabulary)
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches):
             packed = encoder.encode(batch.column("text").to_pylist(), end_id)
             keys = curve_keys([np.frombuffer(ids, encoder.kind) for ids in packed])
             yield pa.RecordBatch.from_arrays(
@@ -141,8 +141,8 @@ def encoded(documents: DataFrame, vocabulary: str = VOCABULARY, end_id: int = EN
                  pa.array([encoder.kind.itemsize] * len(packed), pa.int32())],
                 names=["doc_id", "curve", "ids", "width"])
 
-    return (documents.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
-            .mapInArrow(run, "doc_id long, curve long, ids binary, width int"))
+    return map_batches(documents.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text"),
+                       run, "doc_id long, curve long, ids binary, width int")
 
 
 def pack(documents: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULARY,
@@ -167,7 +167,7 @@ def pack(documents: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULAR
                 [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 7)],
                 names=[part.split()[0] for part in PIECES.split(", ")])
 
-        for batch in chunks(batches, "ids"):
+        for batch in chunks(batches, values_of=lambda batch: batch.column("ids")):
             rows = []
             widths = batch.column("width").to_pylist()
             for doc_id, ids, width in zip(batch.column("doc_id").to_pylist(),
@@ -199,5 +199,4 @@ def pack(documents: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULAR
     # Stored, so that the sampling of ranges doesn't encode everything a second time.
     ready = stored(encoded(documents, vocabulary, end_id), "encoded")
     order = ["curve", "doc_id", F.xxhash64("ids")]
-    return (ready.repartitionByRange(*order).sortWithinPartitions("curve", "doc_id")
-            .mapInArrow(run, PIECES))
+    return map_batches(ready.repartitionByRange(*order).sortWithinPartitions("curve", "doc_id"), run, PIECES)

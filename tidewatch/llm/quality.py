@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tidewatch.llm.common import byte_view, chunks, packed, unpacked
+from tidewatch.llm.common import byte_view, chunks, map_batches, packed, text_of, unpacked
 
 FEATURES = 1 << 15
 LABELLED_ROWS = 4_000
@@ -97,7 +97,7 @@ def indicators(data: np.ndarray, bounds: np.ndarray, features: int = FEATURES) -
 def _rows_of(values: pa.Array, features: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
     """Indicator pairs of a few texts at a time, with the number of these texts."""
     batch = pa.RecordBatch.from_arrays([values], names=["text"])
-    for part in chunks(iter([batch]), "text", CHUNK):
+    for part in chunks(iter([batch]), CHUNK):
         for at in range(0, part.num_rows, CHUNK_ROWS):
             some = part.slice(at, CHUNK_ROWS).column("text")
             yield *indicators(*byte_view(some), features), len(some)
@@ -197,16 +197,16 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
         features = len(fitted.weights)
         for batch in batches:
             found = [np.zeros(0)]
-            for row, feature, count in _rows_of(batch.column("text"), features):
+            for row, feature, count in _rows_of(text_of(batch), features):
                 top = np.bincount(row, fitted.weights[feature], count)
                 norm = np.sqrt(np.bincount(row, fitted.squares[feature], count))
                 found.append(fitted.scores(top / np.maximum(norm, 1e-9) + fitted.bias))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(np.concatenate(found), pa.float64())], names=["row", "score"])
 
-    rows = packed(documents, F.col("text").cast("string").alias("text"))
+    rows = packed(documents)
     schema = StructType([rows.schema["row"], StructField("score", DoubleType())])
-    return rows.mapInArrow(run, schema)
+    return map_batches(rows, run, schema)
 
 
 def classify(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,

@@ -23,9 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from tidewatch.llm.common import byte_view, chunks, packed, stored, with_text
+from tidewatch.llm.common import byte_view, chunks, map_batches, packed, stored, text_of, with_text
 
 LENGTH = 200
 SEED = 32
@@ -134,7 +134,7 @@ def anchor_runs(keyed: DataFrame) -> DataFrame:
     the number of windows and the flags."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text", CHUNK_BYTES):
+        for batch in chunks(batches, CHUNK_BYTES):
             keys = batch.column("row_key").to_numpy(zero_copy_only=False)
             text, first, count, anchor, context, flags = runs_of(*byte_view(batch.column("text"), LENGTH))
             own = keys[text]
@@ -145,8 +145,8 @@ def anchor_runs(keyed: DataFrame) -> DataFrame:
                  pa.array((first << 16) | (count << 3) | flags)],
                 names=["anchor", "context", "row_key", "place"])
 
-    return keyed.select("row_key", "text").mapInArrow(
-        run, "anchor long, context long, row_key long, place long")
+    return map_batches(keyed.select("row_key", "text"), run,
+                       "anchor long, context long, row_key long, place long")
 
 
 def judged_runs(runs: DataFrame) -> DataFrame:
@@ -268,7 +268,7 @@ def contexts(keyed: DataFrame, judged: DataFrame) -> DataFrame:
     schema = "bucket long, row_key long, first long, twice boolean, context binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text", CHUNK_BYTES):
+        for batch in chunks(batches, CHUNK_BYTES):
             data, bounds = byte_view(batch.column("text"), LENGTH)
             keys = batch.column("row_key").to_numpy(zero_copy_only=False)
             lists = batch.column("runs")
@@ -302,7 +302,7 @@ def contexts(keyed: DataFrame, judged: DataFrame) -> DataFrame:
                      pa.nulls(len(hashed), pa.binary())],
                     names=["bucket", "row_key", "first", "twice", "context"])
 
-    return joined.mapInArrow(run, schema)
+    return map_batches(joined, run, schema)
 
 
 def compared(rows: DataFrame) -> DataFrame:
@@ -362,7 +362,7 @@ def compared(rows: DataFrame) -> DataFrame:
         if waiting:
             yield settle(*waiting)
 
-    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
+    return map_batches(rows.repartition("bucket").sortWithinPartitions("bucket"), run, schema)
 
 
 def repeated_ranges(documents: DataFrame) -> DataFrame:
@@ -391,9 +391,9 @@ def removed_spans(ranges: np.ndarray) -> np.ndarray:
 
 
 def with_spans(documents: DataFrame) -> DataFrame:
-    """row (the packed input), text and ranges, null where nothing is repeated."""
+    """row (the packed input) and ranges, null where nothing is repeated."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keyed = packed(documents, text.alias("text"), F.xxhash64("doc_id", text).alias("row_key"))
+    keyed = packed(documents, F.xxhash64("doc_id", text).alias("row_key"))
     return keyed.join(repeated_ranges(documents), "row_key", "left").drop("row_key")
 
 
@@ -418,7 +418,7 @@ def dedup_digests(documents: DataFrame) -> DataFrame:
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches):
             data, bounds = byte_view(batch.column("text"))
             raw, sizes, removed, spans, digests = data.tobytes(), np.diff(bounds), [], [], []
             for base, size, own in zip(bounds.tolist(), sizes.tolist(), _spans_of(batch)):
@@ -435,7 +435,8 @@ def dedup_digests(documents: DataFrame) -> DataFrame:
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     rows = with_spans(documents.select("doc_id", "text"))
-    return rows.selectExpr("cast(row.doc_id as long) doc_id", "text", "ranges").mapInArrow(run, schema)
+    return map_batches(rows.selectExpr("cast(row.doc_id as long) doc_id", "coalesce(row.text, '') text", "ranges"),
+                       run, schema)
 
 
 def remove_repeats(documents: DataFrame) -> DataFrame:
@@ -445,8 +446,8 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
-            texts = batch.column("text").to_pylist()
+        for batch in chunks(batches):
+            texts = text_of(batch).to_pylist()
             for i, own in enumerate(_spans_of(batch)):
                 if len(own):
                     raw = texts[i].encode()
@@ -455,5 +456,5 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
 
     rows = with_spans(documents)
-    schema = StructType([rows.schema["row"], rows.schema["text"]])
-    return with_text(rows.mapInArrow(run, schema), documents.columns)
+    schema = StructType([rows.schema["row"], StructField("text", StringType())])
+    return with_text(map_batches(rows, run, schema), documents.columns)

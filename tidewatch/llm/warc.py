@@ -8,8 +8,9 @@ from collections.abc import Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidewatch.llm.common import map_batches
 from tidewatch.session import scratch_path
 
 # Every record starts with this text. Chunk borders keep it out of all payloads, so Spark's
@@ -115,7 +116,7 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = REVISIT_BYTES
                 yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], schema=_WRITTEN)
 
     rows = with_revisits(pages, least_bytes).withColumn("serial", F.monotonically_increasing_id())
-    (rows.mapInArrow(write, "value string").write.option("lineSep", "\r\n\r\n")
+    (map_batches(rows, write, "value string").write.option("lineSep", "\r\n\r\n")
      .option("compression", "gzip").option("maxRecordsPerFile", 50_000).text(path))
 
 
@@ -154,7 +155,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                     [pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
 
     # Written records end in the two line breaks that the format wants after each.
-    return (spark.read.option("lineSep", RECORD_START).text(path).mapInArrow(read, _READ))
+    return map_batches(spark.read.option("lineSep", RECORD_START).text(path), read, _READ)
 
 
 def payload_of(parts: list[tuple[int, str]], total: int | None) -> bytes:
@@ -204,7 +205,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
                    F.max("length").alias("length"),
                    F.coalesce(F.max("total_length"), F.lit(-1)).alias("total_length"),
                    F.sort_array(F.collect_list(part)).alias("parts")).drop("record_id"))
-    return whole.unionByName(joined).mapInArrow(decode, result)
+    return map_batches(whole.unionByName(joined), decode, result)
 
 
 def round_trip(pages: DataFrame, least_bytes: int = REVISIT_BYTES,
