@@ -3,7 +3,7 @@
 A text is cut into paragraphs; each is hashed to a wide vector, and the vectors are added
 modulo powers of two. The sum doesn't depend on the order of paragraphs, and one paragraph is
 put in or taken out by adding or subtracting its vector. The vector has two parts: `EXACT`
-lanes of 61-bit hashes, which tell multisets apart, and 64 lanes of single bits, whose sums
+lanes of 61-bit hashes, which tell multisets apart, and 128 lanes of single bits, whose sums
 estimate how much two multisets share.
 """
 
@@ -17,7 +17,8 @@ EXACT = 4
 LANE_BITS = 61
 # A paragraph ends at a line break or a sentence end, a long one also at the first word end
 # after this many characters.
-PIECE_CHARS = 64
+PIECE_CHARS = 40
+PAIRS = 64  # longs that hold two bit lanes each
 _PIECE = rf"(?s)[^\n.!?]{{0,{PIECE_CHARS}}}[^\s.!?]*[\s.!?]*"
 _MASK = (1 << LANE_BITS) - 1
 _PAIR = 0x0000000100000001
@@ -31,19 +32,22 @@ def paragraphs(text: Column) -> Column:
 
 
 def vector(pieces: Column) -> Column:
-    """The sum of the pieces' vectors: EXACT lanes, 32 longs with two lanes each, the count."""
+    """The sum of the pieces' vectors: EXACT lanes, PAIRS longs with two lanes each, the count."""
     def exact(seed: int) -> Column:
         return F.aggregate(
             F.transform(pieces, lambda piece: F.xxhash64(F.lit(seed), piece).bitwiseAND(F.lit(_MASK))),
             F.lit(0).cast("long"), lambda total, h: (total + h).bitwiseAND(F.lit(_MASK)))
 
-    bits = F.transform(pieces, lambda piece: F.xxhash64(F.lit(-1), piece))
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.lit(31)),
-        lambda lane: F.aggregate(bits, F.lit(0).cast("long"), lambda total, h: total + F.call_function(
-            "shiftright", h, lane).bitwiseAND(F.lit(_PAIR))))
-    return F.concat(F.array(*[exact(seed) for seed in range(EXACT)]), pairs,
-                    F.array(F.size(pieces).cast("long")))
+    def pairs(seed: int) -> Column:
+        """32 longs: the low and the high half of the hash give a bit each to every long."""
+        bits = F.transform(pieces, lambda piece: F.xxhash64(F.lit(seed), piece))
+        return F.transform(
+            F.sequence(F.lit(0), F.lit(31)),
+            lambda lane: F.aggregate(bits, F.lit(0).cast("long"), lambda total, h: total + F.call_function(
+                "shiftright", h, lane).bitwiseAND(F.lit(_PAIR))))
+
+    return F.concat(F.array(*[exact(seed) for seed in range(EXACT)]),
+                    *[pairs(-1 - k) for k in range(PAIRS // 32)], F.array(F.size(pieces).cast("long")))
 
 
 def combined(left: Column, right: Column, sign: int = 1) -> Column:
@@ -63,11 +67,11 @@ def text_of(fingerprint: Column) -> Column:
 def likeness(left: Column, right: Column) -> Column:
     """An estimate, 0 to 1, of the share of paragraphs that two fingerprints have in common.
 
-    Each bit lane, read as a sum of +1 and -1, moves by a random walk of the paragraphs that
-    differ, so squared distances estimate their number. Equal fingerprints give exactly 1, also
-    two empty ones.
+    Each bit lane, read as a sum of +1 and -1, is a random walk of the paragraphs, so its square
+    estimates a squared length: 1 - |a - b|^2 / (|a|^2 + |b|^2). Equal fingerprints give exactly
+    1, also two empty ones.
     """
-    first, lanes, count = EXACT + 1, 32, EXACT + 33
+    first, count = EXACT + 1, EXACT + PAIRS + 1
 
     def signed(fingerprint: Column, place: Column) -> tuple[Column, Column]:
         pair = F.element_at(fingerprint, place)
@@ -79,14 +83,17 @@ def likeness(left: Column, right: Column) -> Column:
     def squares(place: Column) -> Column:
         a, b = signed(left, place), signed(right, place)
         apart = reduce(lambda x, y: x + y, [(x - y) * (x - y) for x, y in zip(a, b)])
-        return F.struct(apart.alias("apart"))
-
-    places = F.sequence(F.lit(first), F.lit(first + lanes - 1))
-    apart = F.aggregate(F.transform(places, lambda p: squares(p)["apart"]), F.lit(0.0), lambda t, v: t + v)
-    total = (F.element_at(left, F.lit(count)) + F.element_at(right, F.lit(count))).cast("double")
-    shared = 1 - apart / (64 * total)
-    return (F.when(left == right, F.lit(1.0)).when(total == 0, F.lit(1.0))
-            .otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), shared))))
+        long = reduce(lambda x, y: x + y, [x * x + y * y for x, y in zip(a, b)])
+        return F.struct(apart.alias("apart"), long.alias("long"))
+
+    places = F.sequence(F.lit(first), F.lit(first + PAIRS - 1))
+    zero = F.struct(F.lit(0.0).alias("apart"), F.lit(0.0).alias("long"))
+    shared = F.aggregate(
+        F.transform(places, squares), zero,
+        lambda t, v: F.struct((t["apart"] + v["apart"]).alias("apart"), (t["long"] + v["long"]).alias("long")),
+        lambda t: 1 - F.try_divide(t["apart"], t["long"]))
+    return F.when(left == right, F.lit(1.0)).otherwise(
+        F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(shared, F.lit(0.0)))))
 
 
 def with_next(documents: DataFrame, buckets: int | None = None) -> DataFrame:
