@@ -143,3 +143,54 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+SQL["op2_suffixes"] = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents
+), w AS (
+  SELECT r, p, md5(b[p:p + 199]) AS h FROM (SELECT r, b, unnest(range(1, octet_length(b) - 198)) AS p FROM d)
+), hits AS (
+  SELECT r, p FROM (SELECT r, p, count(*) OVER (PARTITION BY h) AS n FROM w) WHERE n > 1
+), marked AS (
+  SELECT r, p, sum(CASE WHEN gap IS NULL OR gap > 200 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY p) AS span
+  FROM (SELECT r, p, p - lag(p) OVER (PARTITION BY r ORDER BY p) AS gap FROM hits)
+), spans AS (
+  SELECT r, span, min(p) AS a, max(p) + 199 AS z FROM marked GROUP BY r, span
+), edges AS (
+  SELECT r, list(a ORDER BY a) AS a, list(z ORDER BY a) AS z, count(*) AS n_spans, sum(z - a + 1) AS n_removed
+  FROM spans GROUP BY r
+), kept AS (
+  SELECT r, string_agg(part, '' ORDER BY k) AS kept
+  FROM (SELECT r, k, hex(b[(CASE WHEN k = 1 THEN 1 ELSE z[k - 1] + 1 END):(CASE WHEN k > n_spans THEN octet_length(b) ELSE a[k] - 1 END)]) AS part
+        FROM (SELECT r, b, a, z, n_spans, unnest(range(1, n_spans + 2)) AS k FROM d JOIN edges USING (r)))
+  GROUP BY r
+)
+SELECT doc_id, octet_length(b) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       CASE WHEN n_spans IS NULL THEN sha256(b) ELSE sha256(unhex(kept)) END AS kept_sha256
+FROM d LEFT JOIN edges USING (r) LEFT JOIN kept USING (r)
+"""
+
+SQL["op8_near_duplicates"] = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS w FROM documents
+), sets AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN ['=' || text] ELSE list_transform(
+    range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS s FROM w
+), classes AS (
+  SELECT min(doc_id) AS copy_id, s, len(s) AS n FROM sets GROUP BY s
+), items AS (
+  SELECT copy_id, n, unnest(s) AS x FROM classes
+), links AS (
+  SELECT a.copy_id AS a, b.copy_id AS b FROM items a JOIN items b ON a.x = b.x AND a.copy_id <> b.copy_id
+  GROUP BY a.copy_id, b.copy_id, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*))
+), reached AS (
+  SELECT copy_id AS a, copy_id AS b FROM classes UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+), roots AS (
+  SELECT a AS copy_id, min(b) AS class_id FROM reached GROUP BY a
+), degrees AS (
+  SELECT a AS copy_id, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT doc_id, class_id, copy_id, coalesce(n_links, 0) AS n_links
+FROM sets JOIN classes USING (s) JOIN roots USING (copy_id) LEFT JOIN degrees USING (copy_id)
+"""
