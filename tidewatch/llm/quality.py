@@ -20,6 +20,7 @@ FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.3
 C, EPOCHS, SMOOTHING = 10.0, 30, 1.0
 CHUNK, CHUNK_ROWS = 500_000, 128
+EQUAL_PAIRS, EQUAL_SHARES = (1, 2, 3, 5, 8, 13, 21, 34), (0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 0.7)
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -50,7 +51,7 @@ def indicators(data: np.ndarray, bounds: np.ndarray, features: int = FEATURES) -
     """Distinct (row, feature) pairs of texts, sorted by row.
 
     Features are hashed n-grams: bytes 1 to 4, and words 1 and 2, where a word equal to the one
-    before gives a bigram of its own kind. `data` is the texts' bytes end to end, zero-padded.
+    before gives bigrams of their own kinds, by how often that happens. `data` is the texts' bytes end to end, zero-padded.
     """
     size = int(bounds[-1])
     if size == 0:
@@ -90,6 +91,15 @@ def indicators(data: np.ndarray, bounds: np.ndarray, features: int = FEATURES) -
         same = words[1:] == words[:-1]
         bigram = np.where(same, np.uint64(1), words[:-1] * _M1 + words[1:])
         put(bigram[pair], 6 << 56, of[1:][pair])
+        # How many bigrams repeat their word, and how large a share: an indicator per step reached.
+        pairs = np.bincount(of[1:][pair], minlength=len(bounds) - 1)
+        equal = np.bincount(of[1:][pair & same], minlength=len(bounds) - 1)
+        for step, least in enumerate(EQUAL_PAIRS):
+            reached = np.nonzero(equal >= least)[0]
+            put(np.full(len(reached), step, np.uint64), 7 << 56, reached)
+        for step, share in enumerate(EQUAL_SHARES):
+            reached = np.nonzero((equal > 0) & (equal >= share * pairs))[0]
+            put(np.full(len(reached), step, np.uint64), 8 << 56, reached)
     flat = np.nonzero(seen)[0]
     return flat // features, flat % features
 
