@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewatch import schema
 from tidewatch.functions.values import is_type, paid, paid_beyond
@@ -44,15 +44,16 @@ def _split_busy(events: DataFrame, busy_rows: int,
     return events.join(busy, same, "left_anti"), events.join(busy, same, "left_semi")
 
 
-def _busy_customers(events: DataFrame, busy_rows: int, busy_parts: int) -> DataFrame:
-    """Customers too large for one task. There are fewer than `busy_parts` of them, whatever the
-    size of the table, so the list can be broadcast.
+def _busy_customers(events: DataFrame, busy_rows: int, busy_parts: int,
+                    *facts: Column) -> DataFrame:
+    """Customers too large for one task, with aggregates of their events. There are fewer than
+    `busy_parts` of them, whatever the size of the table, so the list can be broadcast.
 
     The table's size is the sum of the customers' counts, so both come from one pass.
     """
-    counts = events.groupBy(F.col("customer_id").alias("_busy")).agg(F.count("*").alias("rows"))
+    counts = events.groupBy(F.col("customer_id").alias("_busy")).agg(F.count("*").alias("rows"), *facts)
     share = counts.agg(F.sum("rows") / busy_parts).scalar()
-    return counts.where((F.col("rows") > busy_rows) & (F.col("rows") > share)).select("_busy")
+    return counts.where((F.col("rows") > busy_rows) & (F.col("rows") > share)).drop("rows")
 
 
 def _by_customer(events: DataFrame, days: Sequence[int]) -> DataFrame:
@@ -167,17 +168,19 @@ def cohort_features(events: DataFrame, busy_rows: int = 1_000_000,
                     busy_parts: int = _BUSY_PARTS) -> DataFrame:
     """Each event with its customer's first purchase, the days since, and its month.
 
-    Ordinary customers need one window and one exchange. The first purchases of busy
-    customers, at most one row for each of them, are broadcast to their events, which
-    then stay where they are.
+    Ordinary customers need one window and one exchange. The list of busy customers has
+    their first purchases, found while they were counted, and is broadcast to their events,
+    which then stay where they are.
     """
-    ordinary, busy = _split_busy(events, busy_rows, busy_parts)
-    first = F.min(F.when(is_type("purchase"), F.col("timestamp"))).over(
-        Window.partitionBy("customer_id"))
+    first = F.min(F.when(is_type("purchase"), F.col("timestamp")))
+    busy = F.broadcast(_busy_customers(events, busy_rows, busy_parts, first.alias("_first")))
+    same = events["customer_id"].eqNullSafe(F.col("_busy"))
+    ordinary = events.join(busy, same, "left_anti").withColumn(
+        "_first", first.over(Window.partitionBy("customer_id")))
+    known = events.join(busy, same).drop("_busy")
     # Events without a customer belong to no cohort.
-    own = F.when(F.col("customer_id").isNotNull(), first)
-    known = busy.join(F.broadcast(first_purchase(busy)), "customer_id", "left")
-    return ordinary.withColumn("first_purchase_date", own).unionByName(known).withColumns({
+    own = F.when(F.col("customer_id").isNotNull(), F.col("_first"))
+    return ordinary.unionByName(known).withColumn("first_purchase_date", own).drop("_first").withColumns({
         "days_since_first_purchase": F.date_diff("timestamp", "first_purchase_date"),
         "cohort_month": F.date_format("first_purchase_date", "yyyy-MM"),
     })
