@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -26,10 +27,12 @@ ROUNDS = 2
 PIECE = 512  # words of a training sequence; scoring takes whole texts
 SHARD_BYTES = 1_500_000
 SHARD_ROWS = 8  # rows of a batch where each is a shard
+TEXT_ROWS = 4_000  # texts of a batch; a few shards, so that their sizes are even
 START_SHARDS, START_TEXTS = 12, 200  # bounded sample that the first guess of the states is made from
 SHARD = ("shard long, doc_ids array<long>, held_out array<boolean>, sizes array<int>, words binary, "
          "width int, groups binary, counts binary, keys binary")
-ROWS = "key long, shard long, place int, count int"
+ROWS = "key long, shard long, place_count long"
+COUNT_BITS = 32
 READY = ("doc_ids array<long>, held_out array<boolean>, sizes array<int>, classes binary, "
          "known array<int>, word_logs array<double>, class_words array<long>, class_tokens array<long>")
 
@@ -43,6 +46,15 @@ _LOWER[0x41:0x5B] += np.uint64(32)
 _LOWER[[0x20, *range(0x09, 0x0E)]] = 0
 
 
+def _pressed(values: np.ndarray) -> bytes:
+    """Numbers as compressed bytes: they are stored once and shuffled once."""
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(values).tobytes())
+
+
+def _unpressed(value: pa.Scalar, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(value.as_buffer()), kind)
+
+
 def _names(schema: str) -> list[str]:
     return [part.split()[0] for part in schema.split(", ")]
 
@@ -95,8 +107,8 @@ def shards_of(documents: DataFrame) -> DataFrame:
             counts = np.bincount(place[~held[of]], minlength=len(known))
             kind = np.uint16 if len(known) <= 1 << 16 else np.uint32
             row = ([number], [batch.column("doc_id").to_pylist()], [held], [np.bincount(of, minlength=batch.num_rows)],
-                   [place.astype(kind).tobytes()], [np.dtype(kind).itemsize], [(known >> 52).astype(np.uint16).tobytes()],
-                   [counts.astype(np.int32).tobytes()], [np.diff(known, prepend=0).tobytes()])
+                   [_pressed(place.astype(kind))], [np.dtype(kind).itemsize], [_pressed((known >> 52).astype(np.uint16))],
+                   [_pressed(counts.astype(np.int32))], [_pressed(np.diff(known, prepend=0))])
             kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(),
                      pa.int32(), pa.binary(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names=_names(SHARD))
@@ -106,7 +118,7 @@ def shards_of(documents: DataFrame) -> DataFrame:
     rows = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), (fold == HELD_OUT).alias("held_out"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return map_batches(rows, run, SHARD)
+    return map_batches(rows, run, SHARD, TEXT_ROWS)
 
 
 def with_totals(shards: DataFrame) -> DataFrame:
@@ -119,17 +131,18 @@ def with_totals(shards: DataFrame) -> DataFrame:
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                keys = np.cumsum(np.frombuffer(batch.column("keys")[i].as_buffer(), np.int64))
-                counts = np.frombuffer(batch.column("counts")[i].as_buffer(), np.int32)
+                keys = np.cumsum(_unpressed(batch.column("keys")[i], np.int64))
+                counts = _unpressed(batch.column("counts")[i], np.int32)
                 shard = np.full(len(keys), batch.column("shard")[i].as_py())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys), pa.array(shard), pa.array(np.arange(len(keys)), pa.int32()), pa.array(counts)],
-                    names=_names(ROWS))
+                both = (np.arange(len(keys)) << COUNT_BITS) | counts
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(shard), pa.array(both)], names=_names(ROWS))
 
     by_key = Window.partitionBy("key")
     rows = map_batches(shards.select("shard", "keys", "counts"), words, ROWS, SHARD_ROWS)
+    count = F.col("place_count").bitwiseAND((1 << COUNT_BITS) - 1)
     shared = rows.select(
-        "shard", "place", F.sum("count").over(by_key).alias("total"), F.count("*").over(by_key).alias("shards"),
+        "shard", F.shiftright("place_count", COUNT_BITS).cast("int").alias("place"),
+        F.sum(count).over(by_key).alias("total"), F.count("*").over(by_key).alias("shards"),
         F.min("shard").over(by_key).alias("owner")).where("shards > 1")
     # Both lists are gathered row by row, so they stay in step; ~place marks a word that is owned.
     marked = F.when(F.col("owner") == F.col("shard"), F.bitwise_not("place")).otherwise(F.col("place"))
@@ -139,14 +152,14 @@ def with_totals(shards: DataFrame) -> DataFrame:
         for batch in batches:
             for row in range(batch.num_rows):
                 one = {name: batch.column(name)[row] for name in batch.schema.names}
-                group = np.frombuffer(one["groups"].as_buffer(), np.uint16)
-                total = np.frombuffer(one["counts"].as_buffer(), np.int32).astype(np.int64)
+                group = _unpressed(one["groups"], np.uint16)
+                total = _unpressed(one["counts"], np.int32).astype(np.int64)
                 local, own = total.copy(), np.ones(len(group), bool)
                 if one["places"].is_valid:
                     place = one["places"].values.to_numpy()
                     own[place[place >= 0]] = False
                     total[np.where(place < 0, ~place, place)] = one["totals"].values.to_numpy()
-                words = np.frombuffer(one["words"].as_buffer(), np.uint16 if one["width"].as_py() == 2 else np.uint32)
+                words = _unpressed(one["words"], np.uint16 if one["width"].as_py() == 2 else np.uint32)
                 sizes = one["sizes"].values.to_numpy()
                 of = np.repeat(np.arange(len(sizes)), sizes)
                 logs = np.bincount(of, np.log10(total + 0.5)[words], len(sizes))
