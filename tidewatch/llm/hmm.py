@@ -25,7 +25,7 @@ STATES, CLASSES = 8, 2048
 FOLDS, HELD_OUT = 5, 1
 ROUNDS = 2
 PIECE = 512  # words of a training sequence; scoring takes whole texts
-SHARD_BYTES = 1_500_000
+SHARD_BYTES = 2_500_000
 SHARD_ROWS = 8  # rows of a batch where each is a shard
 TEXT_ROWS = 4_000  # texts of a batch; a few shards, so that their sizes are even
 START_SHARDS, START_TEXTS = 12, 200  # bounded sample that the first guess of the states is made from
