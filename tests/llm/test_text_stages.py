@@ -200,6 +200,31 @@ def test_a_large_group_is_joined_without_its_pairs(spark):
     assert groups.agg(F.max("n_links")).first()[0] >= 1
 
 
+@pytest.mark.parametrize("block_texts", [512, 64])
+def test_links_inside_a_large_template_group_are_all_found(spark, block_texts, monkeypatch):
+    # Texts of one form at about 0.78, and pairs of them at about 0.82.
+    monkeypatch.setattr(near, "BLOCK_TEXTS", block_texts)
+    monkeypatch.setattr(near, "BLOCK_SHINGLES", block_texts * 1_000)
+    draw = random.Random(12)
+    form = [f"w{k}" for k in range(1_004)]
+    rows = []
+    for pair in range(300):
+        places = draw.sample(range(0, 1_000, 6), 13 + 10)
+        for own in (places[:13], places[:3] + places[13:]):
+            copy = list(form)
+            for place in own:
+                copy[place] = f"field{pair}at{place}"
+            rows.append((len(rows), " ".join(copy)))
+    sets = [{hash(s) for s in _shingles(text)} for _, text in rows]
+    links = [(a, b) for a in range(len(rows)) for b in range(a)
+             if (c := len(sets[a] & sets[b])) >= 0.8 * (len(sets[a]) + len(sets[b]) - c)]
+    assert 300 <= len(links) < 10_000
+    degree = Counter(k for link in links for k in link)
+    got = {r["doc_id"]: r for r in near.near_groups(spark.createDataFrame(rows, SHAPE)).collect()}
+    assert all(got[a]["class_id"] == got[b]["class_id"] for a, b in links)
+    assert {k: r["n_links"] for k, r in got.items()} == {k: degree[k] for k in got}
+
+
 def test_signatures_estimate_likeness():
     import numpy as np
 

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidewatch.llm.common import byte_view, chunks, map_batches, packed, stored, unpacked
@@ -17,9 +18,10 @@ SIMILARITY = 0.8
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
 CHUNK_BYTES = 1_000_000
-# In a bucket of up to so many classes all pairs are verified; in larger ones each class meets
-# the bucket's centre and its neighbour in an order that differs from band to band.
+# The pairs of a bucket of up to so many classes are verified one by one, those of larger ones in
+# blocks of at most so many texts and about so many shingles.
 SMALL_BUCKET = 8
+BLOCK_TEXTS, BLOCK_SHINGLES, BLOCK_COLUMNS = 512, 400_000, 4_096
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -131,34 +133,84 @@ def sketches(documents: DataFrame) -> DataFrame:
     return map_batches(rows, run, "doc_id long, row_key long, class binary, n long, bands array<long>")
 
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """(a, b): pairs of class representatives that share a bucket and may be alike in size."""
+def buckets_of(classes: DataFrame) -> DataFrame:
+    """rep, n, bucket, size (classes in the bucket) and degree (classes met) where buckets are shared."""
     posts = classes.select("rep", "n", F.explode("bands").alias("bucket"))
-    bucket = Window.partitionBy("bucket")
-    shared = posts.withColumn("size", F.count("*").over(bucket)).where("size > 1")
-    # A text in the middle of its group meets more of it than the others do.
+    shared = posts.withColumn("size", F.count("*").over(Window.partitionBy("bucket"))).where("size > 1")
     degree = shared.groupBy("rep").agg(F.sum("size").alias("degree"))
-    shared = stored(shared.join(degree, "rep"), "buckets")
-    in_turn = bucket.orderBy(F.xxhash64("rep", "bucket"), "rep")
-    other = F.struct("rep", "n")
-    near = [F.lead(other, k).over(in_turn) for k in range(1, SMALL_BUCKET)]
-    centre = F.max(F.struct("degree", "rep", "n")).over(bucket)
-    partners = F.when(F.col("size") <= SMALL_BUCKET, F.array(*near)).otherwise(
-        F.array(near[0], F.struct(centre["rep"].alias("rep"), centre["n"].alias("n"))))
-    met = shared.select("rep", "n", partners.alias("partners"))
+    return stored(shared.join(degree, "rep"), "buckets")
+
+
+def candidates(shared: DataFrame) -> DataFrame:
+    """(a, b): all pairs of classes that share a small bucket and may be alike in size."""
+    in_turn = Window.partitionBy("bucket").orderBy("rep")
+    near = [F.lead(F.struct("rep", "n"), k).over(in_turn) for k in range(1, SMALL_BUCKET)]
+    met = shared.where(F.col("size") <= SMALL_BUCKET).select("rep", "n", F.array(*near).alias("partners"))
     pairs = met.select("rep", "n", F.explode("partners").alias("o")).where("o is not null and o.rep != rep")
     alike = F.least("n", "o.n") >= SIMILARITY * F.greatest("n", "o.n")
     return pairs.where(alike).select(F.least("rep", "o.rep").alias("a"), F.greatest("rep", "o.rep").alias("b")).distinct()
 
 
-def verified(documents: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose shingle sets have a Jaccard likeness of SIMILARITY or more.
+def blocks_of(shared: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """rep, n and block of every class in a large bucket, and the pairs of blocks (a <= b) that
+    such a bucket joins and whose sizes allow links.
 
-    Sets travel as sorted 32-bit hashes: each wanted text's once, and a's once per pair.
+    Classes are sorted by the best connected class they share a large bucket with, then by size,
+    so that the texts of one template stand in few blocks.
     """
-    wanted = pairs.select(F.col("a").alias("row_key")).union(pairs.select("b")).distinct()
+    large = shared.where(F.col("size") > SMALL_BUCKET)
+    centre = F.max(F.struct("degree", "rep")).over(Window.partitionBy("bucket"))
+    crowd = large.withColumn("centre", centre).groupBy("rep").agg(F.max("centre").alias("home"), F.first("n").alias("n"))
+    least = BLOCK_SHINGLES // BLOCK_TEXTS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, done = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            ends = done + np.cumsum(np.maximum(batch.column("n").to_numpy(), least))
+            if len(ends):
+                done = int(ends[-1])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("rep"), batch.column("n"), pa.array(np.full(len(ends), part)), pa.array(ends)],
+                    names=["rep", "n", "part", "upto"])
+
+    order = ("home", "n", "rep")
+    placed = crowd.repartitionByRange(*order).sortWithinPartitions(*order).select("rep", "n")
+    placed = stored(map_batches(placed, run, "rep long, n long, part long, upto long"), "placed")
+    # A number per partition comes to the driver.
+    totals = sorted(map(tuple, placed.groupBy("part").agg(F.max("upto")).collect()))
+    starts = np.cumsum([0, *(total for _, total in totals)])
+    offsets = placed.sparkSession.createDataFrame(
+        [(part, int(start)) for (part, _), start in zip(totals, starts)], "part long, start long")
+    placed = stored(placed.join(F.broadcast(offsets), "part").select(
+        "rep", "n", F.floor((F.col("start") + F.col("upto") - 1) / BLOCK_SHINGLES).alias("block")), "placed")
+
+    joined = large.select("rep", "bucket").join(placed, "rep").groupBy("bucket").agg(
+        F.sort_array(F.collect_set("block")).alias("blocks")).select("blocks").distinct()
+    joined = joined.select(F.explode("blocks").alias("a"), "blocks").select("a", F.explode("blocks").alias("b"))
+    joined = joined.where("a <= b").distinct()
+    sizes = placed.groupBy("block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    for side in ("a", "b"):
+        joined = joined.join(sizes.select(F.col("block").alias(side), F.col("low").alias(f"low_{side}"),
+                                          F.col("high").alias(f"high_{side}")), side)
+    alike = (F.col("high_a") >= SIMILARITY * F.col("low_b")) & (F.col("high_b") >= SIMILARITY * F.col("low_a"))
+    return placed, stored(joined.where(alike).select("a", "b"), "block-pairs")
+
+
+def not_in_blocks(pairs: DataFrame, placed: DataFrame, joined: DataFrame) -> DataFrame:
+    """The pairs (a, b) that no pair of blocks holds, so that each pair is compared once."""
+    for side in ("a", "b"):
+        own = placed.select(F.col("rep").alias(side), F.col("block").alias(f"block_{side}"))
+        pairs = pairs.join(own, side, "left")
+    held = joined.select(F.col("a").alias("low"), F.col("b").alias("high"))
+    ends = ((F.least("block_a", "block_b") == F.col("low")) & (F.greatest("block_a", "block_b") == F.col("high"))
+            & F.col("block_a").isNotNull() & F.col("block_b").isNotNull())
+    return pairs.join(held, ends, "left_anti").select("a", "b")
+
+
+def sets_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """key and set, the sorted 32-bit hashes of the shingles, of the texts with a wanted row_key."""
 
-    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, CHUNK_BYTES):
             of, value, _ = shingles(*byte_view(batch.column("text")))
             small = (value >> np.uint64(32)).astype(np.uint32)
@@ -167,6 +219,14 @@ def verified(documents: DataFrame, pairs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("row_key"), pa.array(packed_sets, pa.binary())],
                                              names=["key", "set"])
 
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = documents.select(_row_key().alias("row_key"), text.alias("text")).join(wanted, "row_key")
+    return stored(map_batches(rows, run, "key long, set binary"), "sets").dropDuplicates(["key"])
+
+
+def verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose shingle sets have a Jaccard likeness of SIMILARITY or more."""
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             alike = []
@@ -177,15 +237,88 @@ def verified(documents: DataFrame, pairs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(alike, pa.bool_()))
 
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = documents.select(_row_key().alias("row_key"), text.alias("text")).join(wanted, "row_key")
-    sets = stored(map_batches(rows, sets_of, "key long, set binary"), "sets").dropDuplicates(["key"])
     left = sets.select(F.col("key").alias("a"), F.col("set").alias("left"))
     right = sets.select(F.col("key").alias("b"), F.col("set").alias("right"))
     return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right"),
                        compare, "a long, b long")
 
 
+def alike(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Which sets of the left have a Jaccard likeness of SIMILARITY or more with which of the right."""
+    sizes = [np.array([len(s) for s in side]) for side in (left, right)]
+    of = [np.repeat(np.arange(len(side)), size) for side, size in zip((left, right), sizes)]
+    value, place = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    at = place[:len(of[0])], place[len(of[0]):]
+    both = np.isin(np.arange(len(value)), at[0]) & np.isin(np.arange(len(value)), at[1])
+    column = np.cumsum(both) - 1
+    kept = [(o[both[p]], column[p[both[p]]]) for o, p in zip(of, at)]
+    kept = [(o[order], c[order]) for o, c in kept for order in [np.argsort(c, kind="stable")]]
+    shared = np.zeros((len(left), len(right)), np.float32)
+    for first in range(0, int(both.sum()), BLOCK_COLUMNS):
+        sides = []
+        for (o, c), side in zip(kept, (left, right)):
+            a, b = np.searchsorted(c, [first, first + BLOCK_COLUMNS])
+            side_of = np.zeros((len(side), BLOCK_COLUMNS), np.float32)
+            side_of[o[a:b], c[a:b] - first] = 1
+            sides.append(side_of)
+        shared += sides[0] @ sides[1].T
+    return shared >= SIMILARITY * (sizes[0][:, None] + sizes[1][None, :] - shared.astype(np.float64))
+
+
+def forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that join what a symmetric table of links joins: each node with its component's first."""
+    root = np.full(len(linked), -1)
+    for node in np.nonzero(linked.any(axis=1))[0]:
+        if root[node] < 0:
+            fresh = np.array([node])
+            while len(fresh):
+                root[fresh] = node
+                fresh = np.nonzero(linked[fresh].any(axis=0) & (root < 0))[0]
+    ends = np.nonzero((root >= 0) & (root != np.arange(len(root))))[0]
+    return root[ends], ends
+
+
+def linked_in_blocks(sets: DataFrame, placed: DataFrame, joined: DataFrame) -> DataFrame:
+    """(a, b, links) of all pairs of texts in the pairs of blocks: rows with b join a and b by
+    chains of links, rows without it give the number of a's links there. Rows grow with the
+    texts of a block pair and not with its pairs of texts."""
+    whole = stored(sets.join(placed, F.col("key") == F.col("rep")).groupBy("block").agg(
+        F.collect_list("key").alias("keys"), F.collect_list("set").alias("sets")), "blocks")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one = {name: batch.column(name)[i] for name in batch.schema.names}
+                same = one["a"].as_py() == one["b"].as_py()
+                keys = [one[name].values.to_numpy() for name in ("keys_a", "keys_b")]
+                sides = [[np.frombuffer(s.as_buffer(), np.uint32) for s in one[name].values]
+                         for name in ("sets_a", "sets_b")]
+                found = alike(*sides)
+                if same:
+                    np.fill_diagonal(found, False)
+                    linked, names = found, keys[0]
+                else:
+                    linked, names = np.zeros((sum(found.shape),) * 2, bool), np.concatenate(keys)
+                    linked[:len(found), len(found):] = found
+                    linked |= linked.T
+                low, high = forest(linked)
+                degree = linked.sum(axis=1)
+                own = np.nonzero(degree)[0]
+                a, b = np.concatenate([names[low], names[own]]), np.concatenate([names[high], names[own]])
+                joins = np.arange(len(a)) < len(low)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a, pa.int64()), pa.array(b, pa.int64(), mask=~joins),
+                     pa.array(np.concatenate([np.zeros(len(low), np.int64), degree[own]]), pa.int64())],
+                    names=["a", "b", "links"])
+
+    rows = joined
+    for side in ("a", "b"):
+        rows = rows.join(whole.select(F.col("block").alias(side), F.col("keys").alias(f"keys_{side}"),
+                                      F.col("sets").alias(f"sets_{side}")), side)
+    rows = rows.select("a", "b", "keys_a", "sets_a", "keys_b", "sets_b")
+    return stored(map_batches(rows, run, "a long, b long, links long", 2), "block-links")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node in a link: its component's least node.
 
@@ -218,7 +351,7 @@ def near_groups(documents: DataFrame) -> DataFrame:
 
     copy_id: the least doc_id with the same set of shingles. class_id: the least doc_id of all
     documents joined to it by chains of links, a link being a likeness of SIMILARITY or more.
-    n_links: other copy classes linked to its own, of those compared. Null texts are empty, and
+    n_links: other copy classes linked to its own. Null texts are empty, and
     empty texts copies of each other; rows without doc_id count as copies, but give no id unless
     all of their class have none. Repeated rows are copies; an empty table gives no rows.
     """
@@ -226,9 +359,17 @@ def near_groups(documents: DataFrame) -> DataFrame:
     classes = stored(sketch.groupBy("class").agg(
         F.min("row_key").alias("rep"), F.min("doc_id").alias("copy_id"), F.first("n").alias("n"),
         F.first("bands").alias("bands")), "classes")
-    links = stored(verified(documents, candidates(classes)), "links")
-    roots = components(links)
-    ends = links.select(F.col("a").alias("rep")).union(links.select("b")).groupBy("rep").agg(F.count("*").alias("n_links"))
+    shared = buckets_of(classes)
+    placed, joined = blocks_of(shared)
+    pairs = stored(not_in_blocks(candidates(shared), placed, joined), "pairs")
+    sets = sets_of(documents, pairs.select(F.col("a").alias("row_key")).union(pairs.select("b"))
+                   .union(placed.select("rep")).distinct())
+    links = stored(verified(sets, pairs), "links")
+    in_blocks = linked_in_blocks(sets, placed, joined)
+    roots = components(links.union(in_blocks.where("b is not null").select("a", "b")))
+    ends = links.select(F.col("a").alias("rep"), F.lit(1).cast("long").alias("links")).union(
+        links.select("b", F.lit(1).cast("long"))).union(in_blocks.where("b is null").select("a", "links"))
+    ends = ends.groupBy("rep").agg(F.sum("links").alias("n_links"))
     known = (classes.select("class", "rep", "copy_id")
              .join(roots.withColumnRenamed("node", "rep"), "rep", "left").join(ends, "rep", "left")
              .select("class", "copy_id", F.coalesce("root", "rep").alias("root"),
