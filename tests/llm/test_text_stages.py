@@ -263,6 +263,25 @@ def test_quality_generalises(spark):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in got)
 
 
+def test_quality_tells_very_long_texts_apart():
+    import numpy as np
+    import pyarrow as pa
+
+    draw = random.Random(5)
+
+    def text(letters, words):
+        return " ".join("".join(draw.choice(letters) for _ in range(draw.randrange(3, 9))) for _ in range(words))
+
+    kinds = ["nopqrstuvwxyzabc", "abcdefghijklmnop"]
+    classes = [k % 2 for k in range(200)]
+    model = quality.fit([text(kinds[k], 100) for k in classes], classes)
+    long = pa.array([text(kinds[0], 40_000), text(kinds[1], 40_000)])
+    row, feature = quality.indicators(*quality.byte_view(long))
+    bad, good = model.scores(np.array([model.margin(feature[row == k]) for k in (0, 1)]))
+    assert bad < 0.1 and good > 0.9
+    assert np.bincount(row).max() < len(model.weights) / 4
+
+
 def test_quality_without_labels_or_with_one_class(spark):
     documents = spark.createDataFrame([(1, "a"), (2, None)], SHAPE)
     labels = spark.createDataFrame([(5, 1, 0), (1, 1, 0), (2, 1, 0)], "doc_id long, quality int, toxic int")
