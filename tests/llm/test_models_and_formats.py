@@ -247,6 +247,22 @@ def test_pages_without_containers_go_by_density():
     assert html.inherit(["near", "short"]) == ["good", "bad"]
 
 
+def test_containers_are_one_input_of_several():
+    long = "This is the story of a man who was not at home when they came, and of what he did then. " * 4
+    teaser = "<article><h3>Also of note</h3><p>A word on it.</p></article>"
+    bar = "<nav><a href=1>Home</a></nav>"
+    body = "\n".join([long.strip()] * 3)
+    plain = f"<p>{long}</p>" * 3
+    assert html.main_text(f"<body>{bar}<div>{plain}</div>{teaser}</body>").startswith(body)
+    assert html.main_text(f"<body><form id=form1>{bar}<article>{plain}</article></form></body>") == body
+    assert html.main_text(f"<body><form>{bar}<div>{plain}</div></form></body>") == body
+    for name in ("post has-comments", "with-share", "entry social"):
+        assert html.main_text(f"<body>{bar}<article class='{name}'>{plain}</article><p>{long}</p></body>") == body
+    # As before: a small form and a comment go, and text outside a larger article.
+    assert html.main_text(f"<body><article>{plain}<form><p>{long}</p></form></article>"
+                          f"<article class=comment-body><p>{long}</p></article><p>{long}</p></body>") == body
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<a title='x>y", "</p></div>", "<article>", "&", "\x00<p>\x00", "<p>" * 3000])
 def test_broken_pages(page):
     assert isinstance(html.main_text(page), str)

@@ -2,7 +2,8 @@
 
 Pass one decides blocks by where they stand (containers that name their purpose) and, where
 the page doesn't say, by link density, length and stop-word density. Pass two gives each
-undecided short block the label of the nearest decided one.
+undecided short block the label of the nearest decided one. An article element outweighs what
+stands outside it only if it holds at least as much text that the passes take for good.
 """
 
 from __future__ import annotations
@@ -51,21 +52,34 @@ _TAG = re.compile(
 _MARKS = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"""\shidden(?:\s|=|/|\Z)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 _WORDS = re.compile(r"[^\W\d_]+")
+_FORM = re.compile(r"<form\b", re.I)
 
 GOOD, BAD, SHORT, NEAR, OPEN = "good", "bad", "short", "near", None
 SHORT_CHARS, LONG_CHARS, MOST_LINKS, FEW_STOPS, MANY_STOPS = 70, 200, 0.4, 0.1, 0.3
 
 
-def _purpose(tag: str, attributes: str, above: str | None) -> str | None:
-    """What an element's content is for: 'main', 'soft' or 'hard' boilerplate, or as above it."""
+def _purpose(tag: str, attributes: str, above: str | None, forms: bool = False) -> str | None:
+    """What an element's content is for: 'main', 'soft' or 'hard' boilerplate, or as above it.
+
+    With `forms`, a form is for whatever it stands in.
+    """
     if above == "hard":
         return above
-    if tag in NEVER or attributes and _HIDDEN.search(attributes):
+    if tag in NEVER and not (forms and tag == "form") or attributes and _HIDDEN.search(attributes):
         return "hard"
+    if tag == "form":
+        return above
     words = set()
     if attributes and tag not in ("html", "body"):
         for match in _MARKS.finditer(attributes):
-            words.update(re.split(r"[^a-z]+", (match[2] or match[3] or match[4] or "").lower()))
+            marks = (match[2] or match[3] or match[4] or "").lower()
+            if tag in ("article", "main"):  # what it has ("has-comments") is not what it is ("comment-body")
+                first = {re.split(r"[^a-z]+", mark)[0] for mark in marks.split()}
+                words.update(first)
+            else:
+                words.update(re.split(r"[^a-z]+", marks))
+        if tag in ("article", "main") and words & MAIN_WORDS:
+            words -= HARD_WORDS
     if words & LAYOUT_WORDS:  # such a wrapper holds the whole page: "with-sidebar"
         words -= SOFT_WORDS
     if words & HARD_WORDS:
@@ -82,7 +96,7 @@ def _purpose(tag: str, attributes: str, above: str | None) -> str | None:
     return above
 
 
-def blocks_of(html: str) -> list[tuple[str, str | None, int, bool]]:
+def blocks_of(html: str, forms: bool = False) -> list[tuple[str, str | None, int, bool]]:
     """(text, purpose, characters inside links, in a list) of every block that has text."""
     found: list[tuple[str, str | None, int, bool]] = []
     stack: list[tuple[str, str | None]] = []
@@ -139,7 +153,7 @@ def blocks_of(html: str) -> list[tuple[str, str | None, int, bool]]:
                 del stack[depth:]
             links = sum(name == "a" for name, _ in stack)
         if tag not in VOID and not match[4].endswith("/"):
-            stack.append((tag, _purpose(tag, match[4], stack[-1][1] if stack else OPEN)))
+            stack.append((tag, _purpose(tag, match[4], stack[-1][1] if stack else OPEN, forms)))
             links += tag == "a"
     take(html[at:])
     close()
@@ -188,12 +202,27 @@ def inherit(labels: list[str]) -> list[str]:
     return result
 
 
+def _chosen(blocks: list[tuple[str, str | None, int, bool]]) -> list[str]:
+    """The texts of the good blocks."""
+    labels = inherit([label(*block, False) for block in blocks])
+    inside = sum(len(text) for (text, purpose, _, _), kind in zip(blocks, labels) if kind == GOOD and purpose == "main")
+    outside = sum(len(text) for (text, purpose, _, _), kind in zip(blocks, labels) if kind == GOOD and purpose != "main")
+    if inside and inside >= outside:
+        labels = inherit([label(*block, True) for block in blocks])
+    return [block[0] for block, kind in zip(blocks, labels) if kind == GOOD]
+
+
 def main_text(html: str | None) -> str:
-    """The article of one page, a line per block; empty for a page without any, and for null."""
-    blocks = blocks_of(html) if html else []
-    has_main = any(purpose == "main" for _, purpose, _, _ in blocks)
-    labels = inherit([label(*block, has_main) for block in blocks])
-    return "\n".join(block[0] for block, kind in zip(blocks, labels) if kind == GOOD)
+    """The article of one page, a line per block; empty for a page without any, and for null.
+
+    A form is left out, unless it holds more text than all the rest of the article.
+    """
+    texts = _chosen(blocks_of(html)) if html else []
+    if html and _FORM.search(html):
+        wrapped = _chosen(blocks_of(html, True))
+        if sum(map(len, wrapped)) > 2 * sum(map(len, texts)):
+            texts = wrapped
+    return "\n".join(texts)
 
 
 def extract(pages: DataFrame) -> DataFrame:
