@@ -200,6 +200,19 @@ def test_a_large_group_is_joined_without_its_pairs(spark):
     assert groups.agg(F.max("n_links")).first()[0] >= 1
 
 
+def test_repeated_shingles_do_not_part_near_duplicates(spark):
+    draw = random.Random(9)
+    rows = []
+    for pair in range(300):
+        line, rest, own, other = ([f"w{draw.randrange(10 ** 6)}" for _ in range(n)] for n in (45, 40, 10, 10))
+        rows += [(2 * pair, " ".join(line + line[:4] + rest + own)),
+                 (2 * pair + 1, " ".join(line * 300 + line[:4] + rest + other))]
+    a, b = _shingles(rows[0][1]), _shingles(rows[1][1])
+    assert len(a & b) >= 0.8 * len(a | b)
+    bands = {r["doc_id"]: set(r["bands"]) for r in near.sketches(spark.createDataFrame(rows, SHAPE)).collect()}
+    assert [k for k in range(0, 600, 2) if not bands[k] & bands[k + 1]] == []
+
+
 @pytest.mark.parametrize("block_texts", [512, 64])
 def test_links_inside_a_large_template_group_are_all_found(spark, block_texts, monkeypatch):
     # Texts of one form at about 0.78, and pairs of them at about 0.82.

@@ -115,9 +115,10 @@ def sketches(documents: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 2_000):
                 part = batch.slice(at, 2_000)
                 data, bounds = byte_view(part.column("text"))
-                of, value, count = shingles(data, bounds)
+                of, value, _ = shingles(data, bounds)
                 size = np.bincount(of, minlength=part.num_rows)
-                keys = band_keys(signatures(of, value, 1 + np.log(count), part.num_rows))
+                # Equal weights: links are judged by plain set likeness.
+                keys = band_keys(signatures(of, value, np.ones(len(value)), part.num_rows))
                 ends, raw, flat = np.cumsum(size), data.tobytes(), value.tobytes()
                 names = [hashlib.blake2b(flat[8 * (e - n):8 * e] if n else b"=" + raw[a:b], digest_size=16).digest()
                          for e, n, a, b in zip(ends.tolist(), size.tolist(), bounds[:-1].tolist(), bounds[1:].tolist())]
