@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tidewatch.llm import chat, contamination, fingerprints, hmm, html, near, packing, quality, suffixes, warc
+from tidewatch.llm import (
+    chat, contamination, fingerprints, hmm, html, near, packing, quality, reputation, suffixes, warc,
+)
 from tidewatch.llm.common import table
 
 QUERIES = {}
@@ -67,6 +69,13 @@ def op10_warc(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+@query
+def op13_reputation(spark, sf_dir):
+    """The label of a page is that of its id."""
+    labelled = reputation.outcomes(table(spark, sf_dir, "labels"))
+    return reputation.judge(table(spark, sf_dir, "pages"), labelled)
+
+
 SQL["op10_warc"] = """
 WITH p AS (
   SELECT page_id, encode(coalesce(html, '')) AS body FROM pages
@@ -194,3 +203,78 @@ WITH RECURSIVE w AS (
 SELECT doc_id, class_id, copy_id, coalesce(n_links, 0) AS n_links
 FROM sets JOIN classes USING (s) JOIN roots USING (copy_id) LEFT JOIN degrees USING (copy_id)
 """
+
+
+def _weight(level: str, mean: str) -> str:
+    """The prior's weight of one level: groups `level` with pages and bad, whose prior mean is `mean`."""
+    low, high = reputation.CORRELATIONS
+    return f"""(
+  SELECT 1 / CASE WHEN coalesce(pairs, 0) = 0 THEN {high}
+                  ELSE least(greatest((spread - chance) / pairs, {low}), {high}) END - 1 AS w
+  FROM (SELECT sum((bad - pages * m) * (bad - pages * m)) AS spread, sum(pages * m * (1 - m)) AS chance,
+               sum(pages * m * (1 - m) * (pages - 1)) AS pairs
+        FROM (SELECT pages, bad, CAST({mean} AS DOUBLE) AS m FROM {level})))"""
+
+
+_REGISTRY = "|".join(reputation.REGISTRY_NAMES)
+
+SQL["op13_reputation"] = rf"""
+WITH u AS (
+  SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0
+                       THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), p AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u
+), l AS (
+  SELECT doc_id AS page_id, max(greatest(CAST(quality = 0 AS INT), CAST(toxic = 1 AS INT))) AS bad
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), c AS (
+  SELECT host, count(bad) AS pages, coalesce(sum(bad), 0) AS bad,
+         regexp_replace(regexp_replace(host, '^.*@|:[0-9]*$', '', 'g'), '\.$', '') AS name
+  FROM p LEFT JOIN l USING (page_id) GROUP BY host
+), s AS (
+  SELECT *, regexp_extract(name, '(?:^|\.)((?:(?:{_REGISTRY})\.[a-z]{{2}})|[^.]+)$', 1) AS ending FROM c
+), b AS (
+  SELECT *, substr(name, 1, greatest(length(name) - length(ending) - 1, 0)) AS below,
+         regexp_matches(name, '^[0-9.]+$|^\[') OR NOT contains(name, '.') AS alone FROM s
+), h AS (
+  SELECT host, pages, bad, CASE WHEN alone OR below = '' THEN name
+                                ELSE regexp_extract(below, '[^.]*$') || '.' || ending END AS domain,
+         CASE WHEN alone OR below = '' THEN '' ELSE ending END AS suffix FROM b
+), overall AS (
+  SELECT CASE WHEN sum(pages) > 0 THEN sum(bad) / sum(pages) ELSE 0 END AS share FROM h
+), x AS (
+  SELECT suffix, sum(pages) AS pages, sum(bad) AS bad FROM h GROUP BY suffix
+), xs AS (
+  SELECT suffix, (share * w + bad) / (w + pages) AS prior
+  FROM x, overall, {_weight("x, overall", "share")}
+), d AS (
+  SELECT domain, suffix, any_value(prior) AS prior, sum(pages) AS pages, sum(bad) AS bad
+  FROM h JOIN xs USING (suffix) GROUP BY domain, suffix
+), ds AS (
+  SELECT domain, suffix, (prior * w + bad) / (w + pages) AS prior FROM d, {_weight("d", "prior")}
+), hp AS (
+  SELECT host, pages, bad, prior FROM h JOIN ds USING (domain, suffix)
+), hs AS (
+  SELECT host, pages, bad, w + pages + 1 AS size, (prior * w + bad) / (w + pages) AS share
+  FROM hp, {_weight("hp", "prior")}
+), r AS (
+  SELECT host, pages, bad, share,
+         greatest(share - {reputation.DEVIATIONS} * sqrt(share * (1 - share) / size), 0) AS bound FROM hs
+), f AS (
+  SELECT *, (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' AS net,
+         (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' AS net_en,
+         (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' AS com_de,
+         (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' AS org_fr
+  FROM p JOIN r USING (host)
+)
+SELECT page_id, host, path,
+       CASE WHEN net_en THEN 'example.net/en/' WHEN com_de THEN 'example.com/de/'
+            WHEN org_fr THEN 'org/fr/' WHEN net THEN 'net/' END AS rule,
+       CASE WHEN net_en THEN 'allow' WHEN com_de THEN 'block' WHEN org_fr THEN 'allow' WHEN net THEN 'block'
+            WHEN bound > {reputation.ACCEPTED_SHARE} THEN 'block' ELSE 'allow' END AS verdict,
+       pages AS host_pages, CAST(bad AS BIGINT) AS host_bad,
+       round(share, 6) AS host_share, round(bound, 6) AS host_bound
+FROM f
+"""
