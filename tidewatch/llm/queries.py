@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from tidewatch.llm import (
     chat, contamination, fingerprints, hmm, html, near, packing, quality, reputation, suffixes, warc,
+    whitening,
 )
 from tidewatch.llm.common import table
 
@@ -69,6 +70,11 @@ def op10_warc(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+@query
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op13_reputation(spark, sf_dir):
     """The label of a page is that of its id."""
