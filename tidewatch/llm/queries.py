@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from tidewatch.llm import (
-    chat, contamination, fingerprints, hmm, html, near, packing, quality, reputation, suffixes, warc,
+    alignment, chat, contamination, fingerprints, hmm, html, near, packing, quality, reputation, suffixes, warc,
     whitening,
 )
 from tidewatch.llm.common import table
@@ -70,6 +70,11 @@ def op10_warc(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_alignment(spark, sf_dir):
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_whitening(spark, sf_dir):
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
