@@ -376,20 +376,19 @@ def feature_row_defaults(spark, sf_dir):
 
 def _day_totals(spark: SparkSession, sf_dir: str, condition: Column) -> DataFrame:
     return (_events(spark, sf_dir).where(condition)
-            .groupBy("customer_id").agg(F.count("*").alias("events"),
-                                        F.max("timestamp").alias("last_seen")))
+            .groupBy("customer_id", F.to_date("timestamp").alias("day"))
+            .agg(F.count("*").alias("events"), F.max("timestamp").alias("last_seen")))
 
 
 def _upserted(spark: SparkSession, sf_dir: str) -> str:
-    """A table of January's first day, then merged with the purchases of its last one: some
-    customers are in both, some in either."""
+    """Days up to the 20th, merged with the days from the 10th on: every event counts in one
+    of them, some days are in both."""
     path = scratch_path(spark, "table")
-    first = F.col("timestamp") < F.lit("2024-01-02").cast("timestamp")
-    last = F.col("timestamp") >= F.lit("2024-01-30").cast("timestamp")
-    tables.create_if_absent(_day_totals(spark, sf_dir, first), path)
-    tables.upsert(
-        _day_totals(spark, sf_dir, last & (F.col("event_type") == "purchase")),
-        path, ["customer_id"], {"events": "target.events + source.events"})
+    early = F.col("timestamp") < F.lit("2024-01-21").cast("timestamp")
+    late = F.col("timestamp") >= F.lit("2024-01-10").cast("timestamp")
+    keys = ["customer_id", "day"]
+    tables.create_if_absent(_day_totals(spark, sf_dir, early), path, keys=keys)
+    tables.upsert(_day_totals(spark, sf_dir, late), path, keys, {"events": "target.events + source.events"})
     return path
 
 
@@ -411,6 +410,25 @@ def snapshot_read(spark, sf_dir):
     return _rounded(tables.read_table(spark, _upserted(spark, sf_dir), version=0))
 
 
+@query
+def remove_old(spark, sf_dir):
+    """The merged table after its first version is gone, with the data that only that one read."""
+    path = _upserted(spark, sf_dir)
+    tables.remove_old(spark, path, keep=1, older_than_hours=-1)
+    return _rounded(tables.read_table(spark, path))
+
+
+@query
+def table_lookup(spark, sf_dir):
+    """Rows of the customers with a purchase of more than 200, from their slices of a table."""
+    path = scratch_path(spark, "table")
+    profiles = profile.customer_features(_events(spark, sf_dir), AS_OF).select(
+        "customer_id", "total_events", "purchase_count", "last_event_date")
+    tables.create_if_absent(profiles, path, keys=["customer_id"], slices=64)
+    asked = _log(spark, sf_dir).where("event_type = 'purchase' AND value > 200")
+    return _rounded(tables.lookup(spark, path, asked.select(F.col("user_id").cast("string"))))
+
+
 @query
 def compact(spark, sf_dir):
     """A table partitioned by type, a few files each, in fewer files."""
@@ -714,10 +732,14 @@ f AS (
   FROM c LEFT JOIN t30 USING (customer_id)
 )"""
 _MERGE_SIDES = """
-a AS (SELECT customer_id, count(*) AS events, max(ts) AS last_seen FROM e
-      WHERE ts < TIMESTAMP '2024-01-02' GROUP BY customer_id),
-s AS (SELECT customer_id, count(*) AS events, max(ts) AS last_seen FROM e
-      WHERE ts >= TIMESTAMP '2024-01-30' AND event_type = 'purchase' GROUP BY customer_id)"""
+a AS (SELECT customer_id, CAST(ts AS DATE) AS day, count(*) AS events, max(ts) AS last_seen FROM e
+      WHERE ts < TIMESTAMP '2024-01-21' GROUP BY ALL),
+s AS (SELECT customer_id, CAST(ts AS DATE) AS day, count(*) AS events, max(ts) AS last_seen FROM e
+      WHERE ts >= TIMESTAMP '2024-01-10' GROUP BY ALL)"""
+_MERGED = """
+SELECT customer_id, day, coalesce(a.events + s.events, a.events, s.events) AS events,
+       coalesce(a.last_seen, s.last_seen) AS last_seen
+FROM a FULL JOIN s USING (customer_id, day)"""
 
 
 def _own_sql() -> dict[str, str]:
@@ -830,12 +852,12 @@ def _own_sql() -> dict[str, str]:
                    0::DOUBLE AS events_per_day, 0::DOUBLE AS purchase_frequency,
                    TIMESTAMP '2024-01-31' AS last_updated FROM c""",
         "create_if_absent": flat_events,
-        "table_upsert": _with(_CANONICAL, _MERGE_SIDES) + """
-            SELECT customer_id,
-                   CASE WHEN a.events IS NULL THEN s.events WHEN s.events IS NULL THEN a.events
-                        ELSE a.events + s.events END AS events,
-                   coalesce(a.last_seen, s.last_seen) AS last_seen
-            FROM a FULL JOIN s USING (customer_id)""",
+        "table_upsert": _with(_CANONICAL, _MERGE_SIDES) + _MERGED,
+        "remove_old": _with(_CANONICAL, _MERGE_SIDES) + _MERGED,
+        "table_lookup": _with(_CANONICAL, _CUSTOMERS) + """
+            SELECT customer_id, total_events, purchase_count, last_event_date FROM c
+            WHERE customer_id IN (SELECT CAST(user_id AS VARCHAR) FROM events
+                                  WHERE event_type = 'purchase' AND value > 200)""",
         "snapshot_read": _with(_CANONICAL, _MERGE_SIDES) + " SELECT * FROM a",
         "compact": flat_events,
         "churn_labels": _with(_CANONICAL, _CUSTOMERS) + f" SELECT customer_id, {_LABEL} FROM c",
