@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tidewatch import schema
 from tidewatch.functions import values
 from tidewatch.functions.values import instant
-from tidewatch.operators import model, predictions, profile, quality, rolling, validation
-from tidewatch.plans.jobs import run_stream_job
+from tidewatch.operators import counters, model, predictions, profile, quality, rolling, validation
+from tidewatch.plans.jobs import run_incremental_feature_job, run_stream_job
 from tidewatch.session import scratch_path
 from tidewatch.sources import events as source, relational, tables
 from tidewatch.streaming import consumer, features as stream_features_of, sinks
@@ -122,6 +122,17 @@ def customer_profile(spark, sf_dir):
     return _rounded(_profile(spark, sf_dir))
 
 
+@query
+def incremental_profile(spark, sf_dir):
+    """Profiles from stored counters: three batches of events, one of them counted twice."""
+    state, table = scratch_path(spark, "counters"), scratch_path(spark, "profiles")
+    day = F.dayofmonth("timestamp")
+    for number, part in [(0, day % 3 == 1), (1, (day % 3 == 2) & (day < 16)), (1, (day % 3 == 2) & (day < 16)),
+                         (2, (day % 3 == 0) | (day % 3 == 2) & (day >= 16))]:
+        run_incremental_feature_job(_events(spark, sf_dir).where(part), state, table, AS_OF, ("daily", number))
+    return _rounded(tables.read_table(spark, table))
+
+
 @query
 def rolling_aggregations(spark, sf_dir):
     result = rolling.rolling_aggregations(_events(spark, sf_dir, "event_id"))
@@ -380,6 +391,10 @@ def _day_totals(spark: SparkSession, sf_dir: str, condition: Column) -> DataFram
             .agg(F.count("*").alias("events"), F.max("timestamp").alias("last_seen")))
 
 
+def _shown_days(frame: DataFrame) -> DataFrame:
+    return _rounded(frame.withColumn("day", F.col("day").cast("string")))
+
+
 def _upserted(spark: SparkSession, sf_dir: str) -> str:
     """Days up to the 20th, merged with the days from the 10th on: every event counts in one
     of them, some days are in both."""
@@ -402,12 +417,12 @@ def create_if_absent(spark, sf_dir):
 
 @query
 def table_upsert(spark, sf_dir):
-    return _rounded(tables.read_table(spark, _upserted(spark, sf_dir)))
+    return _shown_days(tables.read_table(spark, _upserted(spark, sf_dir)))
 
 
 @query
 def snapshot_read(spark, sf_dir):
-    return _rounded(tables.read_table(spark, _upserted(spark, sf_dir), version=0))
+    return _shown_days(tables.read_table(spark, _upserted(spark, sf_dir), version=0))
 
 
 @query
@@ -415,7 +430,7 @@ def remove_old(spark, sf_dir):
     """The merged table after its first version is gone, with the data that only that one read."""
     path = _upserted(spark, sf_dir)
     tables.remove_old(spark, path, keep=1, older_than_hours=-1)
-    return _rounded(tables.read_table(spark, path))
+    return _shown_days(tables.read_table(spark, path))
 
 
 @query
@@ -737,7 +752,7 @@ a AS (SELECT customer_id, CAST(ts AS DATE) AS day, count(*) AS events, max(ts) A
 s AS (SELECT customer_id, CAST(ts AS DATE) AS day, count(*) AS events, max(ts) AS last_seen FROM e
       WHERE ts >= TIMESTAMP '2024-01-10' GROUP BY ALL)"""
 _MERGED = """
-SELECT customer_id, day, coalesce(a.events + s.events, a.events, s.events) AS events,
+SELECT customer_id, CAST(day AS VARCHAR) AS day, coalesce(a.events + s.events, a.events, s.events) AS events,
        coalesce(a.last_seen, s.last_seen) AS last_seen
 FROM a FULL JOIN s USING (customer_id, day)"""
 
@@ -753,6 +768,9 @@ def _own_sql() -> dict[str, str]:
         FROM e LEFT JOIN (SELECT customer_id, min(ts) AS first_purchase_date FROM e
                           WHERE event_type = 'purchase' GROUP BY customer_id)
         USING (customer_id)"""
+    profiles = _with(_CANONICAL, _CUSTOMERS, recent, _CLOCK) + f"""
+        SELECT customer_id, {_names(_TIMES)}, {_show_filled(schema.FEATURES)}, {_CLOCK_COLUMNS}
+        FROM c FULL JOIN t30 USING (customer_id) FULL JOIN b USING (customer_id)"""
     return {
         "customer_features": _with(_CANONICAL, _CUSTOMERS)
         + f" SELECT customer_id, {_show(_LIFETIME)} FROM c",
@@ -764,9 +782,8 @@ def _own_sql() -> dict[str, str]:
             SELECT customer_id, preferred_hour, preferred_day,
                    round(activity_time_variance, 6) AS activity_time_variance,
                    business_hours_activity, evening_activity, weekend_activity FROM b""",
-        "customer_profile": _with(_CANONICAL, _CUSTOMERS, recent, _CLOCK) + f"""
-            SELECT customer_id, {_names(_TIMES)}, {_show_filled(schema.FEATURES)}, {_CLOCK_COLUMNS}
-            FROM c FULL JOIN t30 USING (customer_id) FULL JOIN b USING (customer_id)""",
+        "customer_profile": profiles,
+        "incremental_profile": profiles,
         "rolling_aggregations": _ROLLING,
         "rolling_by_slice": _ROLLING,
         "first_purchase": _with(_CANONICAL) + """
@@ -858,7 +875,8 @@ def _own_sql() -> dict[str, str]:
             SELECT customer_id, total_events, purchase_count, last_event_date FROM c
             WHERE customer_id IN (SELECT CAST(user_id AS VARCHAR) FROM events
                                   WHERE event_type = 'purchase' AND value > 200)""",
-        "snapshot_read": _with(_CANONICAL, _MERGE_SIDES) + " SELECT * FROM a",
+        "snapshot_read": _with(_CANONICAL, _MERGE_SIDES)
+        + " SELECT customer_id, CAST(day AS VARCHAR) AS day, events, last_seen FROM a",
         "compact": flat_events,
         "churn_labels": _with(_CANONICAL, _CUSTOMERS) + f" SELECT customer_id, {_LABEL} FROM c",
         "training_set": _with(_CANONICAL, _CUSTOMERS, recent) + f"""

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch import schema
+from tidewatch.operators.counters import KEYS, event_counters, merge_rules, profile_of
 from tidewatch.operators.model import (
     churn_labels, evaluate, load_model, model_inputs, save_model, score, train, training_set,
 )
@@ -37,6 +38,18 @@ def run_feature_job(events: DataFrame, table: str, as_of: str | datetime,
         cohort_features(events).write.mode("overwrite").parquet(cohort_path)
 
 
+def run_incremental_feature_job(new_events: DataFrame, counter_table: str, table: str, as_of: str | datetime,
+                                batch: tuple[str, int], days: int = schema.RECENT_DAYS) -> None:
+    """Count new events into the table of counters, and merge all profiles into the feature table.
+
+    Past events are not read again. `batch` names the writer and numbers its batches: one that
+    is counted already changes nothing, so a failed job can be run again.
+    """
+    spark = new_events.sparkSession
+    upsert(event_counters(new_events), counter_table, KEYS, merge_rules(), batch=batch)
+    upsert(profile_of(read_table(spark, counter_table), as_of, days), table, ["customer_id"])
+
+
 def run_training_job(spark: SparkSession, table: str, model_path: str, training_path: str,
                      labels: DataFrame | None = None, inactive_days: int = schema.INACTIVE_DAYS,
                      exclude_label_source: bool = False,
