@@ -1,11 +1,15 @@
+import math
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from conftest import AS_OF
 from tidewatch import schema
-from tidewatch.operators import model
+from tidewatch.operators import boosting, model
 
 FEW = {"maxIter": 8, "maxDepth": 4}
 METRICS = ["accuracy", "precision", "recall", "f1_score", "auc_score"]
@@ -136,13 +140,115 @@ def test_a_short_dip_does_not_stop_training():
     assert model.best_round([0.4]) == 1
 
 
+def _trees(fitted):
+    return fitted.stages[-1].trees
+
+
 def test_training_keeps_the_trees_up_to_the_best_round(rows, monkeypatch):
     monkeypatch.setattr(model, "best_round", lambda errors, patience: 3)
-    short = model.train(rows, settings=FEW).stages[-1]
-    monkeypatch.undo()
-    assert short.getNumTrees == 3
-    whole = model.train(rows, settings={**FEW, "maxIter": 3}, patience=100).stages[-1]
-    assert short.toDebugString.splitlines()[1:] == whole.toDebugString.splitlines()[1:]
+    short = model.train(rows, settings=FEW)
+    monkeypatch.setattr(model, "best_round", lambda errors, patience: len(errors))
+    whole = model.train(rows, settings=FEW)
+    assert [len(_trees(short)), len(_trees(whole))] == [3, 8]
+    assert [t.toDebugString.split("\n", 1)[1] for t in _trees(short)] == [
+        t.toDebugString.split("\n", 1)[1] for t in _trees(whole)[:3]]
+
+
+def _features_used(tree):
+    return {int(n) for n in re.findall(r"feature (\d+)", tree.toDebugString)}
+
+
+def test_no_tree_sees_all_columns(rows):
+    fitted = model.train(rows, settings={**FEW, "maxDepth": 6}, patience=100)
+    used = [_features_used(tree) for tree in _trees(fitted)]
+    for k, own in enumerate(used):
+        drawn = boosting.columns_of(k, 16, 0.8, schema.SEED)
+        assert len(drawn) == 12 and own <= set(drawn)
+    assert len(set().union(*used)) > 8
+    assert len({tuple(boosting.columns_of(k, 16, 0.8, 1)) for k in range(20)}) > 10
+    assert boosting.columns_of(0, 3, 0.1, 1) != []
+
+
+def test_leaves_are_newton_steps(rows, spark):
+    """The first tree's leaves are the sums of gradients over the sums of curvatures of their rows."""
+    settings = {**schema.TREE_SETTINGS, "maxIter": 1, "maxDepth": 3}
+    vector = VectorAssembler(inputCols=schema.FEATURES, outputCol="v").transform(
+        model.with_split(rows)).withColumn("_margin", F.lit(0.4))
+    tree = boosting._fit(vector, "is_churned", "v", 16, 0, settings, 200.0)
+    p = 1 / (1 + math.exp(-0.4))
+    drawn = tree.setFeaturesCol("v").transform(vector.where(boosting._is_drawn(0, 0.8, schema.SEED)))
+    for row in drawn.groupBy("prediction").agg(F.avg("is_churned").alias("share")).collect():
+        assert row["prediction"] == pytest.approx((row["share"] - p) / (p * (1 - p)))
+
+
+def _area(scores, labels):
+    pairs = [(s > t) + (s == t) / 2 for s, a in zip(scores, labels) if a for t, b in zip(scores, labels) if not b]
+    return sum(pairs) / len(pairs) if pairs else None
+
+
+def test_areas_equal_all_pairs(spark):
+    draw = np.random.RandomState(3)
+    rows = [(k, float(s), int(y)) for k in range(4) for s, y in zip(draw.randint(0, [5, 400, 2, 9][k], 300), draw.randint(0, 2, 300))]
+    rows += [(9, 1.0, 1), (9, 2.0, 1), (10, 0.5, 0)]
+    frame = spark.createDataFrame(rows, "round int, score double, label int")
+    for parts in (1, 7):
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        got = {r["round"]: r["area"] for r in boosting.areas_under_curve(frame).collect()}
+        for k in (0, 1, 2, 3):
+            own = [r for r in rows if r[0] == k]
+            assert got[k] == pytest.approx(_area([r[1] for r in own], [r[2] for r in own]), abs=1e-12)
+        assert got[9] is None and got[10] is None
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_the_best_round_has_the_largest_area_even_where_its_loss_is_not_least(rows, monkeypatch):
+    """Labels with noise: areas and losses of all rounds by hand, from the trees themselves."""
+    noisy = rows.withColumn("is_churned", F.when(F.xxhash64("customer_id") % 10 < 3, 1 - F.col("is_churned"))
+                            .otherwise(F.col("is_churned")))
+    settings = {"maxIter": 15, "maxDepth": 5, "stepSize": 0.3}
+    plain = model.best_round
+    monkeypatch.setattr(model, "best_round", lambda errors, patience: len(errors))
+    whole = model.train(noisy, settings=settings)
+    monkeypatch.setattr(model, "best_round", plain)
+    fitted = model.train(noisy, settings=settings, patience=100)
+    held_out = model.with_split(model.model_features(noisy, keep=("customer_id", "is_churned"))).where("is_validation")
+    scaled = whole.stages[1].transform(whole.stages[0].transform(held_out)).collect()
+    labels = [row["is_churned"] for row in scaled]
+    margin, areas, losses = np.zeros(len(scaled)), [], []
+    for tree in _trees(whole):
+        margin = margin + 0.3 * np.array([tree.predict(row["scaled_features"]) for row in scaled])
+        areas.append(_area(margin.tolist(), labels))
+        losses.append(float(np.mean(np.log1p(np.exp(-margin * (2 * np.array(labels) - 1))))))
+    assert len(areas) == 15
+    assert len(_trees(fitted)) == int(np.argmax(areas)) + 1
+    assert int(np.argmax(areas)) != int(np.argmin(losses))
+    probability = 1 / (1 + np.exp(-margin))
+    scored = {r["customer_id"]: r["churn_probability"] for r in model.score(whole, noisy, AS_OF).collect()}
+    assert [scored[row["customer_id"]] for row in scaled] == pytest.approx(probability.tolist())
+
+
+def test_training_without_validation_rows_keeps_all_trees(rows):
+    fitted = model.train(rows, settings={"maxIter": 2, "maxDepth": 2}, percent=0)
+    assert len(_trees(fitted)) == 2
+    one_class = model.train(rows.where("is_churned = 0"), settings={"maxIter": 2, "maxDepth": 2})
+    assert model.score(one_class, rows, AS_OF).agg(F.max("churn_probability")).first()[0] < 0.5
+
+
+def test_exact_split_takes_each_share_to_the_row(spark):
+    rows = spark.range(1_237).select(F.col("id").cast("string").alias("customer_id"),
+                                     (F.col("id") % 11 == 0).cast("int").alias("is_churned"))
+    split = model.with_exact_split(rows)
+    counts = {tuple(row[:2]): row["count"] for row in split.groupBy("is_churned", "is_validation").count().collect()}
+    assert counts == {(1, True): 23, (1, False): 90, (0, True): 225, (0, False): 899}  # of 113 and 1,124
+    assert sorted(split.collect()) == sorted(model.with_exact_split(rows.repartition(5)).collect())
+    assert model.with_exact_split(rows, 0).where("is_validation").isEmpty()
+    assert model.with_exact_split(rows, 100).where("NOT is_validation").isEmpty()
+    odd = spark.createDataFrame([(None, 1), ("a", None), ("b", 1), ("b", 1), ("c", 1), ("c", 1)],
+                                "customer_id string, is_churned int")
+    marks = sorted(((r[0] or "", r[2]) for r in model.with_exact_split(odd, 50).collect()))
+    assert marks[:2] == [("", False), ("a", False)] and len({marks[2], marks[3]}) == len({marks[4], marks[5]}) == 1
+    assert sum(taken for _, taken in marks) == 2
+    assert model.with_exact_split(odd.limit(0)).count() == 0
 
 
 def test_training_needs_rows(rows):

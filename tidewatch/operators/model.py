@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 from typing import Any
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -15,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewatch import schema
 from tidewatch.functions.values import churn_label, instant, risk_band
-from tidewatch.session import shared_folder
+from tidewatch.operators import boosting, selection
 
 LABEL = "is_churned"
 _VALIDATION = "is_validation"
@@ -60,6 +59,22 @@ def with_split(rows: DataFrame, percent: int = schema.VALIDATION_PERCENT,
     return rows.withColumn(_VALIDATION, is_validation(percent, seed))
 
 
+def with_exact_split(rows: DataFrame, percent: int = schema.VALIDATION_PERCENT,
+                     seed: int = schema.SEED) -> DataFrame:
+    """Rows marked for validation so that each class has its share to the row, rounded half up.
+
+    Of each class the customers with the smallest digests are taken; rows of one customer stay
+    together. Rows without a customer or a label are training rows.
+    """
+    digest = F.conv(F.substring(F.md5(F.concat(F.col("customer_id"), F.lit(f":{seed}"))), 1, 15), 16, 10).cast("bigint")
+    limits = selection.smallest(rows.select(F.col(LABEL).alias("class"), digest.alias("digest")),
+                                lambda count: (count * percent + 50) // 100)
+    is_taken = F.lit(False)
+    for name, limit in limits.items():
+        is_taken = is_taken | (F.col(LABEL) == F.lit(name)) & (digest < F.lit(limit))
+    return rows.withColumn(_VALIDATION, F.coalesce(is_taken, F.lit(False)))
+
+
 def standardise(rows: DataFrame, features: Sequence[str] = tuple(schema.FEATURES)) -> DataFrame:
     """Columns as (x - mean) / deviation, both taken from the training rows.
 
@@ -82,34 +97,31 @@ def standardise(rows: DataFrame, features: Sequence[str] = tuple(schema.FEATURES
 def train(rows: DataFrame, features: Sequence[str] = tuple(schema.FEATURES),
           settings: Mapping[str, Any] | None = None,
           percent: int = schema.VALIDATION_PERCENT,
-          patience: int = schema.PATIENCE) -> PipelineModel:
+          patience: int = schema.PATIENCE,
+          split: Callable[[DataFrame, int], DataFrame] = with_split) -> PipelineModel:
     """Fit boosted trees on labelled rows, and keep the trees up to the best round.
 
-    The best round has the least error on the validation rows before `patience` rounds
-    without a better one. All rounds are fitted once, and a model that ends earlier is
-    fitted again up to its best round: with one seed, the first trees are the same.
-    `rows` is read many times and should be a stored table.
+    The best round has the largest area under the ROC curve of the validation rows; fitting ends
+    `patience` rounds after it. Nothing is fitted twice: the model takes the first trees. `split`
+    marks the validation rows. `rows` is read many times and should be a stored table.
     """
-    # Boosting checkpoints its running predictions there.
-    shared_folder(rows.sparkSession)
-    split = with_split(model_features(rows, features, ("customer_id", LABEL)), percent)
-    if split.where(~F.col(_VALIDATION)).isEmpty():
+    spark = rows.sparkSession
+    chosen = {**schema.TREE_SETTINGS, **(settings or {})}
+    marked = split(model_features(rows, features, ("customer_id", LABEL)), percent)
+    if marked.where(~F.col(_VALIDATION)).isEmpty():
         raise ValueError("there are no training rows")
     assembler = VectorAssembler(inputCols=list(features), outputCol="raw_features")
-    assembled = assembler.transform(split)
+    assembled = assembler.transform(marked)
     scaler = StandardScaler(inputCol="raw_features", outputCol="scaled_features",
                             withMean=True, withStd=True).fit(assembled.where(~F.col(_VALIDATION)))
-    scaled = scaler.transform(assembled)
-    trees = GBTClassifier(featuresCol="scaled_features", labelCol=LABEL,
-                          **{**schema.TREE_SETTINGS, **(settings or {})})
-    training = scaled.where(~F.col(_VALIDATION))
-    fitted = trees.fit(training)
-    validation = scaled.where(F.col(_VALIDATION))
-    if not validation.isEmpty():
-        best = best_round(fitted.evaluateEachIteration(validation), patience)
-        if best < fitted.getNumTrees:
-            fitted = trees.copy({trees.maxIter: best}).fit(training)
-    return PipelineModel([assembler, scaler, fitted])
+    start = scaler.transform(assembled).select(
+        "customer_id", F.col(LABEL).cast("int").alias(LABEL), _VALIDATION, "scaled_features")
+    trees, areas = boosting.grow(start, LABEL, _VALIDATION, "scaled_features", len(features), chosen,
+                                 lambda areas: len(areas) - best_round([-a for a in areas], patience) >= patience)
+    if areas:
+        trees = trees[:best_round([-area for area in areas], patience)]
+    model = boosting.joined(spark, trees, len(features), chosen["stepSize"])
+    return PipelineModel([assembler, scaler, model.setFeaturesCol("scaled_features")])
 
 
 def best_round(errors: Sequence[float], patience: int = schema.PATIENCE) -> int:

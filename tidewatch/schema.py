@@ -62,7 +62,7 @@ TREE_SETTINGS = {
     "stepSize": 0.1,
     "maxIter": 100,
     "subsamplingRate": 0.8,
-    "featureSubsetStrategy": "0.8",
+    "columnsPerTree": 0.8,
     "seed": SEED,
 }
 PATIENCE = 10
