@@ -19,6 +19,7 @@ import json
 import unicodedata
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -148,7 +149,7 @@ class Aligned(NamedTuple):
 
 
 def _flat(lists: Sequence[Sequence[int]]) -> np.ndarray:
-    return np.fromiter((i for ids in lists for i in ids), np.int64, sum(map(len, lists)))
+    return np.fromiter(chain.from_iterable(lists), np.int64, sum(map(len, lists)))
 
 
 def align_texts(texts: Sequence[str | None], names: tuple[str, str, str]) -> Aligned:
@@ -390,7 +391,7 @@ def align(documents: DataFrame, byte_vocabulary: str = BYTE_VOCABULARY, byte_ran
     read. An empty table gives no rows.
     """
     shards = index_shards(documents, byte_vocabulary, byte_ranks, piece_vocabulary)
-    counts = shard_counts(shards, piece_vocabulary)
+    counts = stored(shard_counts(shards, piece_vocabulary), "shard-counts")
     pairs = stored(pair_counts(counts), "pair-counts")
     # One row for each id of the second vocabulary at most: small whatever the corpus.
     highest = F.broadcast(pairs.groupBy("b_id").agg(F.max("n_links").alias("highest")))
