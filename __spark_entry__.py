@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tidewatch import schema
 from tidewatch.functions import values
 from tidewatch.functions.values import instant
-from tidewatch.operators import counters, model, predictions, profile, quality, rolling, validation
+from tidewatch.operators import boosting, counters, model, predictions, profile, quality, rolling, validation
 from tidewatch.plans.jobs import run_incremental_feature_job, run_stream_job
 from tidewatch.session import scratch_path
 from tidewatch.sources import events as source, relational, tables
-from tidewatch.streaming import consumer, features as stream_features_of, sinks
+from tidewatch.streaming import consumer, features as stream_features_of, newest, sinks
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 AS_OF = "2024-01-31"
@@ -303,6 +303,38 @@ def stream_restart(spark, sf_dir):
     return _window_columns(rows.withColumn("scored_in_run", scored))
 
 
+@query
+def stream_versions(spark, sf_dir):
+    """The stream job into a versioned table, in two runs; then its last micro-batch comes again,
+    as after a crash before Spark noted it."""
+    folder, path, checkpoint = (scratch_path(spark, name) for name in ("messages", "scores", "checkpoint"))
+    later = F.col("timestamp") >= F.lit("2024-01-16").cast("timestamp")
+    for part in (~later, later):
+        _add_messages(_events(spark, sf_dir).where(part), folder)
+        messages = source.follow_messages(spark, folder)
+        run_stream_job(messages, path, checkpoint, available_now=True,
+                       table_format="versions").awaitTermination()
+    rows = tables.read_table(spark, path)
+    name = tables.stream_name(spark, checkpoint)
+    tables.append(rows, path, (name, tables.last_batch(spark, path, name)))
+    return _window_columns(tables.read_table(spark, path))
+
+
+@query
+def stream_latest_prediction(spark, sf_dir):
+    """Newest predictions kept by a stream that is stopped and started again; the second part has
+    older predictions, too."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    folder, path, checkpoint = (scratch_path(spark, name) for name in ("scores", "newest", "checkpoint"))
+    second = F.dayofmonth("prediction_date") % 3 == 0
+    for part in (~second, second):
+        _predictions(spark, sf_dir).where(part).write.mode("append").parquet(folder)
+        followed = spark.readStream.schema(schema.PREDICTION).parquet(folder)
+        newest.keep_newest(followed, path, checkpoint, available_now=True).awaitTermination()
+    return _rounded(tables.read_table(spark, path))
+
+
 @query
 def kafka_payload(spark, sf_dir):
     scores = stream_features_of.with_rule_score(
@@ -469,6 +501,16 @@ def training_set(spark, sf_dir):
     return _rounded(spark.read.parquet(path).select("customer_id", *schema.FEATURES, model.LABEL))
 
 
+@query
+def asof_training_set(spark, sf_dir):
+    """Each support ticket as a dated label, with the customer's newest day of totals before it."""
+    days = _day_totals(spark, sf_dir, F.lit(True)).select(
+        "customer_id", F.date_add("day", 1).cast("timestamp").alias("known_at"), "events", "last_seen")
+    labels = _events(spark, sf_dir, "event_id").where("event_type = 'support_ticket'").select(
+        "event_id", "customer_id", F.col("timestamp").alias("labelled_at"))
+    return _rounded(model.training_set_as_of(days, labels, "known_at", "labelled_at"))
+
+
 @query
 def model_features(spark, sf_dir):
     """Stored features only: the recent columns come out as 0."""
@@ -481,6 +523,21 @@ def stratified_split(spark, sf_dir):
     return model.with_split(model.churn_labels(_profile(spark, sf_dir), INACTIVE_DAYS))
 
 
+@query
+def exact_split(spark, sf_dir):
+    return model.with_exact_split(model.churn_labels(_profile(spark, sf_dir), INACTIVE_DAYS))
+
+
+@query
+def roc_areas(spark, sf_dir):
+    """How well single inputs rank customers by their label: the exact area for each of them."""
+    rows = _training_rows(spark, sf_dir)
+    inputs = F.array(*[F.col(name).cast("double") for name in schema.FEATURES])
+    areas = boosting.areas_under_curve(rows.select(
+        F.posexplode(inputs).alias("round", "score"), F.col(model.LABEL).alias("label")))
+    return _rounded(areas)
+
+
 @query
 def scaled_features(spark, sf_dir):
     rows = model.with_split(model.model_features(_profile(spark, sf_dir)))
@@ -771,6 +828,10 @@ def _own_sql() -> dict[str, str]:
     profiles = _with(_CANONICAL, _CUSTOMERS, recent, _CLOCK) + f"""
         SELECT customer_id, {_names(_TIMES)}, {_show_filled(schema.FEATURES)}, {_CLOCK_COLUMNS}
         FROM c FULL JOIN t30 USING (customer_id) FULL JOIN b USING (customer_id)"""
+    newest_predictions = _with(_STORED) + """
+        SELECT customer_id, churn_probability, prediction_date, model_version FROM p
+        QUALIFY row_number() OVER (PARTITION BY customer_id
+          ORDER BY prediction_date DESC, churn_probability DESC) = 1"""
     return {
         "customer_features": _with(_CANONICAL, _CUSTOMERS)
         + f" SELECT customer_id, {_show(_LIFETIME)} FROM c",
@@ -820,6 +881,7 @@ def _own_sql() -> dict[str, str]:
         "stream_source": flat_events,
         "stream_restart": _with(_FIVE_MINUTES) + f" SELECT *, true AS scored_in_run FROM w WHERE {_CLOSED}",
         "stream_append": closed_windows,
+        "stream_versions": closed_windows,
         "kafka_payload": _with(_FIVE_MINUTES) + """
             SELECT customer_id AS key, '{"customer_id":"' || customer_id || '","churn_score":' ||
                    CAST(churn_score AS VARCHAR) || ',"prediction_timestamp":"' ||
@@ -827,10 +889,8 @@ def _own_sql() -> dict[str, str]:
         "foreach_batch": _with(_CANONICAL)
         + f" SELECT {_envelope('event_type')} AS value, 'ValueError: amount too large' AS error"
           " FROM e WHERE CAST(amount AS DOUBLE) > 100",
-        "latest_prediction": _with(_STORED) + """
-            SELECT customer_id, churn_probability, prediction_date, model_version FROM p
-            QUALIFY row_number() OVER (PARTITION BY customer_id
-              ORDER BY prediction_date DESC, churn_probability DESC) = 1""",
+        "latest_prediction": newest_predictions,
+        "stream_latest_prediction": newest_predictions,
         "latest_prediction_of": _with(_STORED) + f"""
             SELECT customer_id, churn_probability, prediction_date, model_version FROM p
             WHERE customer_id = '{ONE_CUSTOMER}'
@@ -887,6 +947,28 @@ def _own_sql() -> dict[str, str]:
         + _names([f"0::DOUBLE AS {name}" for name in schema.RECENT_FEATURES]) + " FROM c",
         "stratified_split": _with(_CANONICAL, _CUSTOMERS)
         + f" SELECT customer_id, {_LABEL}, {_BUCKET} AS is_validation FROM c",
+        "exact_split": _with(_CANONICAL, _CUSTOMERS) + f"""
+            SELECT customer_id, is_churned,
+                   row_number() OVER (PARTITION BY is_churned ORDER BY digest)
+                     <= floor(count(*) OVER (PARTITION BY is_churned) * 0.2 + 0.5) AS is_validation
+            FROM (SELECT customer_id, {_LABEL},
+                         CAST('0x' || substr(md5(customer_id || ':42'), 1, 15) AS BIGINT) AS digest FROM c)""",
+        "asof_training_set": _with(_CANONICAL) + """
+            , d AS (SELECT customer_id, CAST(CAST(ts AS DATE) + 1 AS TIMESTAMP) AS known_at, count(*) AS events,
+                           max(ts) AS last_seen FROM e GROUP BY ALL)
+            SELECT event_id, e.customer_id, ts AS labelled_at, known_at, events, last_seen
+            FROM (SELECT * FROM e WHERE event_type = 'support_ticket') e
+            ASOF JOIN d ON e.customer_id = d.customer_id AND ts >= known_at""",
+        "roc_areas": _with(_CANONICAL, _CUSTOMERS, recent, _FILLED) + " , s AS (" + " UNION ALL ".join(
+            f"SELECT {k} AS round, CAST({name} AS DOUBLE) AS score, {_LABEL} FROM f"
+            for k, name in enumerate(schema.FEATURES)) + """),
+            r AS (SELECT round, is_churned, rank() OVER (PARTITION BY round ORDER BY score)
+                         + (count(*) OVER (PARTITION BY round, score) - 1) / 2 AS place FROM s),
+            n AS (SELECT round, sum(is_churned) AS ones, sum(1 - is_churned) AS zeros,
+                         sum(place) FILTER (WHERE is_churned = 1) AS places FROM r GROUP BY round)
+            SELECT CAST(round AS INTEGER) AS round, CAST(ones AS BIGINT) AS ones, CAST(zeros AS BIGINT) AS zeros,
+                   CASE WHEN ones > 0 AND zeros > 0
+                        THEN round((places - ones * (ones + 1) / 2) / (ones * zeros), 6) END AS area FROM n""",
         "scaled_features": _with(_CANONICAL, _CUSTOMERS, recent, _FILLED, f"""
             v AS (SELECT *, {_BUCKET} AS is_validation FROM f),
             m AS (SELECT """ + _names([

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidewatch import schema
 from tidewatch.functions.values import churn_label, instant, risk_band
 from tidewatch.operators import boosting, selection
+from tidewatch.operators.asof import asof_join
 
 LABEL = "is_churned"
 _VALIDATION = "is_validation"
@@ -42,6 +43,15 @@ def training_set(features: DataFrame, labels: DataFrame) -> DataFrame:
     return features.join(labels.select("customer_id", LABEL), "customer_id")
 
 
+def training_set_as_of(features: DataFrame, labels: DataFrame, known_at: str, labelled_at: str) -> DataFrame:
+    """Dated labels, each with its customer's newest features known at that time.
+
+    `features` has a row for each time a customer's features became known. Labels without earlier
+    features are left out.
+    """
+    return asof_join(labels, features, "customer_id", labelled_at, known_at, how="inner")
+
+
 def is_validation(percent: int = schema.VALIDATION_PERCENT, seed: int = schema.SEED) -> Column:
     """Whether a customer belongs to the validation rows.
 

@@ -20,7 +20,7 @@ from tidewatch.operators.rolling import cohort_features, rolling_aggregations
 from tidewatch.sources.events import decode
 from tidewatch.sources.tables import read_table, upsert
 from tidewatch.streaming.features import window_scores
-from tidewatch.streaming.sinks import append_to_table
+from tidewatch.streaming.sinks import append_to_table, append_to_versions
 
 
 def run_feature_job(events: DataFrame, table: str, as_of: str | datetime,
@@ -94,6 +94,11 @@ def run_scoring_job(spark: SparkSession, table: str, model_path: str, as_of: str
 
 def run_stream_job(messages: DataFrame, path: str, checkpoint: str, available_now: bool = False,
                    table_format: str = "parquet") -> StreamingQuery:
-    """Decode messages, score five-minute windows, and append them to a table."""
+    """Decode messages, score five-minute windows, and append them to a table.
+
+    With `table_format="versions"` it is a versioned table, else one of Spark's own formats.
+    """
+    if table_format == "versions":
+        return append_to_versions(window_scores(decode(messages)), path, checkpoint, available_now)
     return append_to_table(window_scores(decode(messages)), path, checkpoint, available_now,
                            table_format)

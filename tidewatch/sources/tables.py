@@ -175,6 +175,17 @@ def _frame(spark: SparkSession, path: str, entry: Entry, parts: Sequence[Part])
             .select(*[f"`{name}`" for name in schema.names]))
 
 
+def stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """The name under which a stream's batches count: the id in its checkpoint."""
+    return json.loads(_read_text(spark, f"{checkpoint}/metadata"))["id"]
+
+
+def last_batch(spark: SparkSession, path: str, writer: str) -> int | None:
+    """The number of a writer's last batch in the table."""
+    _, entry = _newest(spark, path)
+    return entry["batches"].get(writer) if entry else None
+
+
 def partition_columns(spark: SparkSession, path: str) -> list[str]:
     """The newest version's partition columns."""
     _, entry = _newest(spark, path)
