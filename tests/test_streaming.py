@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from tidewatch import schema
-from tidewatch.operators import validation
+from tidewatch.operators import predictions, validation
 from tidewatch.plans.jobs import run_stream_job
+from tidewatch.sources import tables
 from tidewatch.sources.events import decode, encode, follow_messages
-from tidewatch.streaming import consumer, sinks
+from tidewatch.streaming import consumer, newest, sinks
 from tidewatch.streaming.features import score_messages, window_features, window_scores, with_rule_score
 
 NOON = datetime(2024, 1, 1, 12)
@@ -173,3 +174,65 @@ def test_a_table_of_several_files_streams_whole(spark, tmp_path):
 def test_window_amounts_have_no_range(make_events):
     rows = window_features(make_events(("a", NOON, "purchase", "1e20"), ("b", NOON, "purchase", "4e-11"))).collect()
     assert {r["customer_id"]: r["avg_purchase_amount"] for r in rows} == {"a": 1e20, "b": 4e-11}
+
+
+@pytest.fixture
+def rocks(spark):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def _predictions(spark, *rows):
+    frame = spark.createDataFrame([(who, p, str(day), "1") for who, p, day in rows],
+                                  "customer_id string, churn_probability double, prediction_date string, model_version string")
+    return frame.withColumn("prediction_date", F.to_timestamp(F.concat(F.lit("2024-01-"), F.lpad("prediction_date", 2, "0"))))
+
+
+def test_newest_predictions_survive_restarts_and_late_rows(spark, rocks, tmp_path):
+    folder, path, checkpoint = (str(tmp_path / name) for name in ("rows", "table", "checkpoint"))
+    batches = [[("a", 0.5, 3), ("a", 0.7, 5), ("b", 0.1, 1), (None, 0.3, 9), ("c", 0.2, 2)],
+               [("a", 0.9, 4), ("b", 0.4, 1), ("d", 0.6, 7)], [("a", 0.7, 5), ("c", 0.1, 2), ("b", 0.0, 2)]]
+    versions = []
+    for rows in batches:
+        _predictions(spark, *rows).write.mode("append").parquet(folder)
+        followed = spark.readStream.schema(_predictions(spark).schema).parquet(folder)
+        newest.keep_newest(followed, path, checkpoint, available_now=True).awaitTermination(120)
+        versions.append(len(tables.versions(spark, path)))
+    got = {r["customer_id"]: (r["churn_probability"], r["prediction_date"].day) for r in tables.read_table(spark, path).collect()}
+    assert got == {"a": (0.7, 5), "b": (0.0, 2), "c": (0.2, 2), "d": (0.6, 7)}
+    whole = predictions.latest_predictions(_predictions(spark, *[r for rows in batches for r in rows if r[0]]))
+    assert sorted(map(str, whole.collect())) == sorted(map(str, tables.read_table(spark, path).select(*whole.columns).collect()))
+    assert versions == [1, 2, 3]
+
+
+def test_forgotten_customers_lose_nothing(spark, rocks, tmp_path):
+    folder, path, checkpoint = (str(tmp_path / name) for name in ("rows", "table", "checkpoint"))
+    for rows in [[("a", 0.5, 9)], [("a", 0.1, 2), ("b", 0.1, 2)]]:
+        _predictions(spark, *rows).write.mode("append").parquet(folder)
+        followed = spark.readStream.schema(_predictions(spark).schema).parquet(folder)
+        newest.keep_newest(followed, path, checkpoint, True, expire_hours=0.0000003).awaitTermination(120)
+    got = {r["customer_id"]: r["prediction_date"].day for r in tables.read_table(spark, path).collect()}
+    assert got == {"a": 9, "b": 2}
+
+
+def test_a_crash_between_rows_and_commit_adds_nothing_twice(spark, tmp_path, monkeypatch):
+    folder, path, checkpoint = (str(tmp_path / name) for name in ("rows", "table", "checkpoint"))
+
+    def run(n):
+        spark.createDataFrame([(n, )], "n int").write.mode("append").parquet(folder)
+        return sinks.append_to_versions(spark.readStream.schema("n int").parquet(folder), path, checkpoint, True)
+
+    run(1).awaitTermination(120)
+    plain = tables.append
+
+    def crash(*arguments):
+        plain(*arguments)
+        raise OSError("lost after the rows were committed")
+
+    monkeypatch.setattr(tables, "append", crash)
+    with pytest.raises(Exception, match="lost"):
+        run(2).awaitTermination(120)
+    monkeypatch.undo()
+    run(3).awaitTermination(120)
+    assert sorted(r["n"] for r in tables.read_table(spark, path).collect()) == [1, 2, 3]
+    assert tables.last_batch(spark, path, tables.stream_name(spark, checkpoint)) == 2

@@ -144,6 +144,15 @@ def _slice_of(keys: Sequence[str], slices: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(f"`{key}`") for key in keys]), F.lit(slices)).cast("int")
 
 
+def _met(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of equal values together. AQE sizes these partitions by bytes, so a large group
+    becomes several files; where it is off, as in stateful streams, they are dealt by hash."""
+    dealt = [F.col(f"`{name}`") for name in columns]
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return df.hint("rebalance", *dealt)
+    return df.repartition(*dealt)
+
+
 def _write(df: DataFrame, path: str, partition_by: Sequence[str], keys: Sequence[str], slices: int) -> list[Part]:
     """Write rows to a folder of their own; the parts it has. Nothing refers to it yet."""
     if {_FOLDER, _SLICE} & set(df.columns):
@@ -153,10 +162,8 @@ def _write(df: DataFrame, path: str, partition_by: Sequence[str], keys: Sequence
     if not slices:
         df.write.partitionBy(*partition_by).parquet(place)
         return [(name, None)]
-    cut = df.withColumn(_SLICE, _slice_of(keys, slices))
-    # AQE sizes these partitions by bytes, so a large slice becomes several files.
-    evened = cut.hint("rebalance", _SLICE).sortWithinPartitions(
-        *[F.col(f"`{name}`") for name in (_SLICE, *partition_by, *keys)])
+    cut = _met(df.withColumn(_SLICE, _slice_of(keys, slices)), [_SLICE])
+    evened = cut.sortWithinPartitions(*[F.col(f"`{name}`") for name in (_SLICE, *partition_by, *keys)])
     writer = evened.write.partitionBy(_SLICE, *partition_by)
     for key in keys:
         writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
@@ -426,7 +433,7 @@ def compact(spark: SparkSession, path: str, partition_by: Sequence[str] | None =
         if not base["slices"]:
             # With partition columns, rows of one value must meet: AQE sizes and splits these by
             # bytes. Without, neighbouring input splits are joined, without a shuffle.
-            rows = rows.hint("rebalance", *folders) if folders else rows.coalesce(sizes[-1])
+            rows = _met(rows, folders) if folders else rows.coalesce(sizes[-1])
         written[old] = _write(rows, path, folders, base["keys"], base["slices"])
         return _replaced(base, old, written[old], None, partition_by=folders, operation="compact")
 

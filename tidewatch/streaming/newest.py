@@ -72,4 +72,12 @@ def keep_newest(predictions: DataFrame, path: str, checkpoint: str, available_no
     def merge(rows: DataFrame, batch: tables.Batch) -> None:
         tables.upsert(rows, path, ["customer_id"], _RULES, batch=batch)
 
-    return into_table(newest_predictions(predictions, expire_hours), merge, checkpoint, available_now, "update")
+    spark, option = predictions.sparkSession, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(option)
+    if available_now:
+        # State that may expire calls for batches without data, one after the other, for ever.
+        spark.conf.set(option, "false")
+    try:
+        return into_table(newest_predictions(predictions, expire_hours), merge, checkpoint, available_now, "update")
+    finally:
+        spark.conf.set(option, before)
