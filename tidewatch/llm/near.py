@@ -22,6 +22,8 @@ CHUNK_BYTES = 1_000_000
 # blocks of at most so many texts and about so many shingles.
 SMALL_BUCKET = 8
 BLOCK_TEXTS, BLOCK_SHINGLES, BLOCK_COLUMNS = 512, 400_000, 4_096
+# The bitmap of wanted texts has at most 2 to this power bits: 8 MB.
+FILTER_BITS = 26
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -208,21 +210,43 @@ def not_in_blocks(pairs: DataFrame, placed: DataFrame, joined: DataFrame) -> Dat
     return pairs.join(held, ends, "left_anti").select("a", "b")
 
 
+def filter_of(keys: DataFrame, count: int) -> tuple[np.ndarray, int]:
+    """A bitmap over the low bits of 64-bit keys, and their mask: a key whose bit is not set is
+    absent. It has 16 bits a key up to 8 MB in all; beyond that more absent keys pass."""
+    bits = 1 << max(16, min(FILTER_BITS, int(16 * count - 1).bit_length()))
+    words = keys.selectExpr(f"shiftright(row_key & {bits - 1}L, 6) AS word",
+                            "shiftleft(1L, cast(row_key & 63L AS int)) AS bit")
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
+    bitmap = np.zeros(bits // 64, np.int64)
+    bitmap[found.column("word").to_numpy()] = found.column("bit").to_numpy()
+    return bitmap, bits - 1
+
+
 def sets_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """key and set, the sorted 32-bit hashes of the shingles, of the texts with a wanted row_key."""
+    """key and set, the sorted 64-bit hashes of the shingles, of the texts with a wanted row_key.
+
+    A broadcast bitmap of bounded size keeps other texts where they are, and what passes it is
+    joined as sets: texts are not shuffled.
+    """
+    wanted = stored(wanted, "wanted")
+    spark = documents.sparkSession
+    bitmap, mask = filter_of(wanted, wanted.count())
+    shared = spark.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, CHUNK_BYTES):
-            of, value, _ = shingles(*byte_view(batch.column("text")))
-            small = (value >> np.uint64(32)).astype(np.uint32)
-            bounds = np.searchsorted(of, np.arange(batch.num_rows + 1))
-            packed_sets = [np.unique(small[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column("row_key"), pa.array(packed_sets, pa.binary())],
-                                             names=["key", "set"])
+        for batch in batches:
+            keys = batch.column("row_key").to_numpy() & mask
+            passed = (shared.value[keys >> 6] >> (keys & 63)) & 1 == 1
+            for part in chunks(iter([batch.filter(pa.array(passed))]), CHUNK_BYTES):
+                of, value, _ = shingles(*byte_view(part.column("text")))
+                bounds = np.searchsorted(of, np.arange(part.num_rows + 1))
+                packed_sets = [value[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+                yield pa.RecordBatch.from_arrays([part.column("row_key"), pa.array(packed_sets, pa.binary())],
+                                                 names=["key", "set"])
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = documents.select(_row_key().alias("row_key"), text.alias("text")).join(wanted, "row_key")
-    return stored(map_batches(rows, run, "key long, set binary"), "sets").dropDuplicates(["key"])
+    rows = map_batches(documents.select(_row_key().alias("row_key"), text.alias("text")), run, "key long, set binary")
+    return stored(rows.join(wanted.withColumnRenamed("row_key", "key"), "key", "left_semi"), "sets").dropDuplicates(["key"])
 
 
 def verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -232,7 +256,7 @@ def verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
         for batch in batches:
             alike = []
             for left, right in zip(batch.column("left"), batch.column("right")):
-                x, y = (np.frombuffer(s.as_buffer(), np.uint32) for s in (left, right))
+                x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (left, right))
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 alike.append(shared >= SIMILARITY * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays(
@@ -292,7 +316,7 @@ def linked_in_blocks(sets: DataFrame, placed: DataFrame, joined: DataFrame) -> D
                 one = {name: batch.column(name)[i] for name in batch.schema.names}
                 same = one["a"].as_py() == one["b"].as_py()
                 keys = [one[name].values.to_numpy() for name in ("keys_a", "keys_b")]
-                sides = [[np.frombuffer(s.as_buffer(), np.uint32) for s in one[name].values]
+                sides = [[np.frombuffer(s.as_buffer(), np.uint64) for s in one[name].values]
                          for name in ("sets_a", "sets_b")]
                 found = alike(*sides)
                 if same:
