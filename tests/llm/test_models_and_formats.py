@@ -1,5 +1,7 @@
 """Fingerprints, language model, chat, packing, HTML and WARC, against plain versions."""
 
+import base64
+import gzip
 import hashlib
 import math
 import random
@@ -309,18 +311,84 @@ def test_records_have_the_standard_form():
     first, *rest = warc.records_of(7, 3, "u", "text " * 400, "d", 2000, None, segment=500)
     assert first.startswith("WARC/1.1\r\nWARC-Type: response\r\n") and "WARC-Segment-Number: 1" in first
     assert all("WARC-Segment-Origin-ID: <urn:page:3:7>" in r for r in rest) and "WARC-Segment-Total-Length" in rest[-1]
+    assert all(re.search(r"\r\nWARC-Date: \d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ\r\n", r) for r in [first, *rest])
+    again, = warc.records_of(8, 2, "u", "text", "d", 2000, 3, 7)
+    assert "\r\nWARC-Refers-To: <urn:page:3:7>\r\n" in again and "WARC-Date" in again
+
+
+def _foreign(tmp_path, records, members=True):
+    raw = [(start + b"\r\n" + b"".join(b"%s: %s\r\n" % f for f in fields) + b"\r\n" + block + b"\r\n\r\n")
+           for start, fields, block in records]
+    (tmp_path / "foreign").mkdir(exist_ok=True)
+    with open(tmp_path / "foreign" / f"a{members}.warc.gz", "wb") as out:
+        for part in raw if members else [b"".join(raw)]:
+            out.write(gzip.compress(part))
+
+
+@pytest.mark.parametrize("members", [True, False])
+def test_archives_of_other_writers(spark, tmp_path, members):
+    """Fields in any order and case, other names, continuations before their origin, any bytes."""
+    page = b"<p>\xff\x00 caf\xe9</p> WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc"
+    http = b"HTTP/1.0 200 OK\r\nServer: x\r\n\r\n" + page
+    sent = b"HTTP/1.1 200 OK\r\ntransfer-encoding:  Chunked\r\n\r\n5;x=y\r\nhello\r\n0\r\n\r\n"
+    base32 = base64.b32encode(hashlib.sha1(page).digest())
+    length = lambda block: (b"content-length", b"%d" % len(block))
+    records = [
+        (b"WARC/1.0", [length(b"software: x"), (b"WARC-Type", b"warcinfo"), (b"WARC-Record-ID", b"<urn:uuid:0>")], b"software: x"),
+        (b"WARC/1.0", [(b"WARC-Segment-Number", b"2"), length(http[50:]), (b"WARC-Segment-Origin-ID", b"<urn:uuid:1>"),
+                       (b"WARC-Segment-Total-Length", b"%d" % len(http)), (b"WARC-Record-ID", b"<urn:uuid:2>"),
+                       (b"WARC-Type", b"continuation")], http[50:]),
+        (b"WARC/1.0", [(b"warc-record-id", b"<urn:uuid:1>"), (b"WARC-SEGMENT-NUMBER", b"1"),
+                       (b"WARC-Payload-Digest", b"sha1:" + base32), length(http[:50]), (b"WARC-Type", b"response"),
+                       (b"WARC-Target-URI", b"http://a/WARC/1.0/x")], http[:50]),
+        (b"WARC/1.1", [(b"Content-Type", b"application/http;\r\n msgtype=response"), (b"WARC-Type", b"response"), length(sent),
+                       (b"WARC-Record-ID", b"<urn:uuid:3>"), (b"WARC-Payload-Digest", b"crc32:1")], sent),
+        (b"WARC/1.1", [(b"WARC-Type", b"request"), (b"WARC-Record-ID", b"<urn:uuid:4>"), length(b"GET / HTTP/1.1\r\n\r\n")],
+         b"GET / HTTP/1.1\r\n\r\n"),
+        (b"WARC/1.1", [(b"WARC-Refers-To", b"<urn:uuid:1>"), (b"WARC-Payload-Digest", b"SHA-1:" + base32),
+                       length(b""), (b"WARC-Type", b"revisit"), (b"WARC-Record-ID", b"<urn:uuid:5>")], b""),
+        (b"WARC/1.1", [length(b"plain"), (b"WARC-Type", b"resource"), (b"WARC-Record-ID", b"<urn:uuid:6>")], b"plain"),
+    ]
+    _foreign(tmp_path, records, members)
+    got = warc.read_archives(spark, str(tmp_path / "foreign"), with_payload=True).collect()
+    sha = {name: hashlib.sha1(data).hexdigest() for name, data in (("page", page), ("hello", b"hello"), ("plain", b"plain"))}
+    assert sorted((r["record_type"], r["payload_bytes"], r["payload_digest"]) for r in got) == [
+        ("resource", 5, sha["plain"]), ("response", 5, sha["hello"]), ("response", len(page), sha["page"]),
+        ("revisit", len(page), sha["page"])]
+    assert {bytes(r["payload"]) for r in got if r["payload"] is not None} == {page, b"hello", b"plain"}
+    assert {r["page_id"] for r in got} == {None}
+
+
+@pytest.mark.parametrize("wrong", ["absent", "digest"])
+def test_revisits_must_agree_with_their_record(spark, tmp_path, wrong):
+    digest = hashlib.sha1(b"one" if wrong == "absent" else b"two").hexdigest().encode()
+    revisit = (b"WARC/1.1", [(b"WARC-Type", b"revisit"), (b"WARC-Record-ID", b"<urn:uuid:5>"), (b"Content-Length", b"0"),
+                             (b"WARC-Refers-To", b"<urn:uuid:1>"), (b"WARC-Payload-Digest", b"sha1:" + digest)], b"")
+    meant = (b"WARC/1.1", [(b"WARC-Type", b"resource"), (b"WARC-Record-ID", b"<urn:uuid:1>"), (b"Content-Length", b"3")], b"one")
+    _foreign(tmp_path, [revisit] if wrong == "absent" else [revisit, meant])
+    with pytest.raises(Exception, match="does not agree"):
+        warc.read_archives(spark, str(tmp_path / "foreign")).collect()
+    if wrong == "absent":
+        row = warc.read_archives(spark, str(tmp_path / "foreign"), complete=False).first()
+        assert (row["payload_bytes"], row["payload_digest"]) == (None, digest.decode())
+
+
+def test_cut_records_fail(spark, tmp_path):
+    _foreign(tmp_path, [(b"WARC/1.1", [(b"WARC-Type", b"resource"), (b"Content-Length", b"30")], b"short")])
+    with pytest.raises(Exception, match="cut short"):
+        warc.read_archives(spark, str(tmp_path / "foreign")).collect()
 
 
 @pytest.mark.parametrize("damage", ["lost", "short", "chunk"])
 def test_damaged_records_fail(damage):
-    block = "HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + warc.chunked("some payload", 4)
+    block = ("HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + warc.chunked("some payload", 4)).encode()
     parts = [(n + 1, block[a:a + 20]) for n, a in enumerate(range(0, len(block), 20))]
-    assert warc.payload_of(parts, len(block)) == b"some payload"
+    assert warc.payload_of(parts, len(block))[0] == b"some payload"
     if damage == "lost":
         parts = parts[:1] + parts[2:]
     elif damage == "short":
         parts[-1] = (parts[-1][0], parts[-1][1][:-1])
     else:
-        parts = [(n, text.replace("4\r\n", "5\r\n")) for n, text in parts]
+        parts = [(n, text.replace(b"4\r\n", b"5\r\n")) for n, text in parts]
     with pytest.raises(ValueError):
         warc.payload_of(parts, len(block))
