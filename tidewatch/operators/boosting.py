@@ -58,7 +58,12 @@ def _fit(rows: DataFrame, label: str, features: str, width: int, round_: int, se
     tree = DecisionTreeRegressor(featuresCol="_shown", labelCol="_step", weightCol="_curvature",
                                  maxDepth=settings["maxDepth"], seed=settings["seed"],
                                  minWeightFractionPerNode=least)
-    return tree.fit(shown)
+    # A fit reads its rows several times; what is lost with an executor is made anew.
+    kept = shown.persist()
+    try:
+        return tree.fit(kept)
+    finally:
+        kept.unpersist()
 
 
 def grow(rows: DataFrame, label: str, validation: str, features: str, width: int, settings: Mapping[str, Any],
@@ -66,8 +71,8 @@ def grow(rows: DataFrame, label: str, validation: str, features: str, width: int
     """Trees, and the area under the ROC curve of the validation rows after each of them.
 
     `rows` has customer_id, a label of 0 and 1, whether a row validates, and its vector. Fitting
-    ends after `maxIter` trees or when `is_enough` says so of the areas. There are no areas if
-    the validation rows lack a class.
+    ends after `maxIter` trees, when `is_enough` says so of the areas, or when the margins leave
+    too little curvature for a split. There are no areas if the validation rows lack a class.
     """
     # Trees checkpoint there.
     shared_folder(rows.sparkSession)
@@ -80,6 +85,8 @@ def grow(rows: DataFrame, label: str, validation: str, features: str, width: int
         present = margins
         odds = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_margin")))
         weight = margins.where(~F.col(validation)).agg(F.sum(odds * (F.lit(1.0) - odds))).first()[0]
+        if trees and weight < 2 * LEAST_WEIGHT:
+            break  # too certain of all rows to cut them in two
         for _ in range(min(GROUP, settings["maxIter"] - len(trees))):
             training = present.where(~F.col(validation))
             tree = _fit(training, label, features, width, len(trees), settings, weight)

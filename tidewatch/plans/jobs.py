@@ -47,7 +47,8 @@ def run_incremental_feature_job(new_events: DataFrame, counter_table: str, table
     """
     spark = new_events.sparkSession
     upsert(event_counters(new_events), counter_table, KEYS, merge_rules(), batch=batch)
-    upsert(profile_of(read_table(spark, counter_table), as_of, days), table, ["customer_id"])
+    profiles = profile_of(read_table(spark, counter_table), as_of, days)
+    upsert(profiles, table, ["customer_id"], batch=batch)
 
 
 def run_training_job(spark: SparkSession, table: str, model_path: str, training_path: str,
