@@ -105,7 +105,7 @@ def test_forward_and_counts_equal_sums_over_all_paths():
                 move[a, b] += p / whole
             for o, a in zip(s, path):
                 emit[o, a] += p / whole
-    for got, want in zip(hmm.expected_counts(model, flat, sizes), (start, move, emit)):
+    for got, want in zip(hmm.expected_counts(model, flat, sizes), (start, move, emit, [sum(wanted), 13])):
         assert np.allclose(got, want)
 
 
@@ -130,6 +130,49 @@ def test_scores(spark):
     assert all(r["score"] < 0 for r in got)
 
 
+def _ready(documents):
+    return hmm.stored(hmm.with_totals(hmm.stored(hmm.shards_of(documents), "shards")), "ready")
+
+
+def test_the_order_of_texts_changes_nothing(spark):
+    """Also with texts of a few words, copies, and texts longer than a training piece."""
+    draw = random.Random(6)
+    kinds = [["der", "und", "wortung", "heit"], ["the", "of", "thing", "nation"], ["de", "la", "mente", "ción"]]
+    rows = [(i, " ".join(draw.choice(kinds[i % 3]) + draw.choice(["", "x", "er"]) for _ in range(draw.choice([2, 5, 40, 700]))))
+            for i in range(150)] + [(900 + i, "the same of the same") for i in range(70)]
+    scores = []
+    for order in (rows, rows[::-1], draw.sample(rows, len(rows))):
+        frame = spark.createDataFrame(order, SHAPE).coalesce(1 if order is rows else 3)
+        scores.append({r["doc_id"]: r["score"] for r in hmm.score(frame).collect()})
+    for other in scores[1:]:
+        assert all(abs(other[i] - scores[0][i]) < 1e-6 * max(1, abs(scores[0][i])) for i in scores[0])
+
+
+def test_states_start_apart_and_rounds_raise_the_likelihood(spark):
+    """Every kind of text gets a state of its own, also one that is rare and comes last."""
+    draw = random.Random(7)
+    kinds = [["der", "und", "wortung", "heit"], ["the", "of", "thing", "nation"], ["de", "la", "mente", "ción"]]
+    rows = [(i, " ".join(draw.choices(kinds[0 if i < 150 else 1 if i < 294 else 2], k=6))) for i in range(300)]
+    ready = _ready(spark.createDataFrame(rows, SHAPE))
+    model = hmm.first_guess(ready)
+    texts = [hmm.shards_of(spark.createDataFrame([(0, " ".join(kind))], SHAPE)) for kind in kinds]
+    best = set()
+    for shard in texts:
+        row = _ready_row(shard)
+        best.add(int(np.argmax(np.log(model.emit[row]).sum(axis=0))))
+    assert len(best) == 3
+    reached = []
+    for _ in range(4):
+        model, now = hmm.improved(ready, model)
+        reached.append(now)
+    assert all(b > a - 1e-9 for a, b in zip(reached, reached[1:]))
+
+
+def _ready_row(shards):
+    first = hmm.with_totals(hmm.stored(shards, "shards")).select("classes").toArrow()
+    return np.frombuffer(first.column("classes")[0].as_buffer(), np.uint16)[:-1]
+
+
 def test_probabilities_of_the_next_word_sum_to_one(spark):
     """Over all known words and each class's place for unknown ones."""
     draw = np.random.default_rng(1)

@@ -23,12 +23,15 @@ from tidewatch.llm.common import byte_view, chunks, map_batches, stored
 
 STATES, CLASSES = 8, 2048
 FOLDS, HELD_OUT = 5, 1
-ROUNDS = 2
+MOST_ROUNDS = 6
+# Training ends when a round adds less than this to the mean log10 probability of a token.
+LEAST_GAIN = 1e-4
+# The first guess: texts drawn in each pass, passes that draw, and passes that move centres.
+DRAWN, DRAWS, MOVES = 16, 3, 3
 PIECE = 512  # words of a training sequence; scoring takes whole texts
 SHARD_BYTES = 2_500_000
 SHARD_ROWS = 8  # rows of a batch where each is a shard
 TEXT_ROWS = 4_000  # texts of a batch; a few shards, so that their sizes are even
-START_SHARDS, START_TEXTS = 12, 200  # bounded sample that the first guess of the states is made from
 SHARD = ("shard long, doc_ids array<long>, held_out array<boolean>, sizes array<int>, words binary, "
          "width int, groups binary, counts binary, keys binary")
 ROWS = "key long, shard long, place_count long"
@@ -208,8 +211,10 @@ def log_likelihoods(model: Model, classes: np.ndarray, sizes: np.ndarray) -> np.
     return result
 
 
-def expected_counts(model: Model, classes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Baum-Welch: expected starts, moves and emissions of sequences laid end to end."""
+def expected_counts(model: Model, classes: np.ndarray,
+                    sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Baum-Welch: expected starts, moves and emissions of sequences laid end to end, and their
+    log10 probability with the number of tokens."""
     states = len(model.start)
     order, active = _by_length(sizes)
     begin = (np.cumsum(sizes) - sizes)[order]
@@ -237,7 +242,8 @@ def expected_counts(model: Model, classes: np.ndarray, sizes: np.ndarray) -> tup
     gamma, kind = np.concatenate(gammas[::-1] or [np.zeros((0, states))]), np.concatenate(kinds or [np.zeros(0, int)])
     emit = np.stack([np.bincount(kind, gamma[:, s], len(model.emit)) for s in range(states)], 1)
     start = gammas[-1].sum(axis=0) if gammas else np.zeros(states)
-    return start, move * model.move, emit
+    reached = np.array([sum(np.log10(scale).sum() for scale in scales), sizes.sum()])
+    return start, move * model.move, emit, reached
 
 
 def _trained_pieces(row: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -254,34 +260,140 @@ def _trained_pieces(row: dict) -> tuple[np.ndarray, np.ndarray]:
     return kept, cut
 
 
-def first_guess(rows: list[dict], states: int = STATES, seed: int = 3) -> Model:
-    """States from a few shards: texts' class shares, grouped by k-means."""
-    shares = []
-    for row in rows:
-        kept, sizes = _trained_pieces(row)
-        of = np.repeat(np.arange(len(sizes)), sizes)
-        flat = np.bincount(of * CLASSES + kept, minlength=len(sizes) * CLASSES).reshape(-1, CLASSES)
-        shares.append(flat[sizes >= 20][:START_TEXTS].astype(np.float32))
-    counts = np.concatenate(shares or [np.zeros((0, CLASSES), np.float32)])
-    random = np.random.default_rng(seed)
-    flat = counts.sum(axis=0, dtype=np.float64) + 0.1
-    emit = np.tile(flat / flat.sum(), (states, 1))
-    if len(counts) >= states:
-        points = np.sqrt(counts / counts.sum(axis=1, keepdims=True))
-        centres = points[[int(random.integers(len(points)))]]
-        apart = np.full(len(points), np.inf)
-        while len(centres) < states:  # far points first; the points are of unit length
-            apart = np.minimum(apart, np.maximum(0, 2 - 2 * points @ centres[-1].astype(np.float64)))
-            fresh = random.choice(len(points), p=apart / apart.sum()) if apart.sum() > 0 else 0
-            centres = np.vstack([centres, points[fresh]])
-        for _ in range(12):
-            near = np.argmax(points @ centres.T - (centres ** 2).sum(axis=1) / 2, axis=1)
-            centres = np.stack([points[near == s].mean(axis=0) if (near == s).any() else centres[s]
-                                for s in range(states)])
-        for s in range(states):
-            own = counts[near == s].sum(axis=0, dtype=np.float64) + 20 * flat / flat.sum()
-            emit[s] = own / own.sum()
-    emit *= 1 + 0.01 * random.random(emit.shape)
+def _points(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each training piece as a point of unit length, the roots of its class shares: piece, class
+    and root of the entries that aren't 0, and a number drawn from the piece's own words."""
+    kept, sizes = _trained_pieces(row)
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    entries, times = np.unique(of * CLASSES + kept, return_counts=True)
+    piece = entries // CLASSES
+    place = np.arange(len(kept)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    mixed = (kept.astype(np.uint64) + np.uint64(1)) * _M1 ^ (place.astype(np.uint64) + np.uint64(7)) * _BASE
+    mixed ^= mixed >> np.uint64(31)
+    mixed *= _M1
+    own = np.add.reduceat(mixed, np.cumsum(sizes) - sizes) if len(sizes) else mixed
+    own = (own ^ (own >> np.uint64(29))) * _BASE
+    return piece, entries % CLASSES, np.sqrt(times / sizes[piece]), own ^ (own >> np.uint64(32))
+
+
+def _distances(points: tuple, count: int, centres: np.ndarray) -> np.ndarray:
+    """Squared distances of points of unit length to centres, some points at a time."""
+    piece, kind, root, _ = points
+    near = np.zeros((count, len(centres)))
+    for first in range(0, count, 1_024):
+        a, b = np.searchsorted(piece, [first, first + 1_024])
+        own = piece[a:b] - first
+        if b - a > 20 * 1_024:  # long pieces: a table; short ones: only their own entries
+            dense = np.zeros((1_024, CLASSES))
+            dense[own, kind[a:b]] = root[a:b]
+            near[first:first + 1_024] = (dense @ centres.T)[:count - first]
+        elif b > a:
+            starts = np.flatnonzero(np.diff(own, prepend=-1))
+            near[first + own[starts]] = np.add.reduceat(root[a:b, None] * centres.T[kind[a:b]], starts, axis=0)
+    return np.maximum(1 - 2 * near + (centres ** 2).sum(axis=1), 0)
+
+
+def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {name: batch.column(name)[i] for name in batch.schema.names}
+
+
+def drawn(ready: DataFrame, centres: np.ndarray, turn: int) -> np.ndarray:
+    """Up to DRAWN different pieces of all training texts, likelier the farther from the centres.
+
+    A piece's chance comes from its own words and its distance, so neither the order of the texts
+    nor their copies matter. Each task sends its own best ones.
+    """
+    sent = ready.sparkSession.sparkContext.broadcast(centres)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[float, bytes] = {}
+        for row in _rows_of(batches):
+            points = _points(row)
+            piece, kind, root, own = points
+            uniform = (((own + np.uint64(turn + 1)) * _M1 >> np.uint64(11)).astype(float) + 0.5) / (1 << 53)
+            apart = _distances(points, len(own), sent.value).min(axis=1) if len(sent.value) else np.ones(len(own))
+            wait = np.where(apart > 1e-9, -np.log(uniform) / np.maximum(apart, 1e-9), np.inf)
+            for k in np.argsort(wait, kind="stable")[:8 * DRAWN].tolist():
+                if np.isfinite(wait[k]) and float(wait[k]) not in best:
+                    dense = np.zeros(CLASSES)
+                    dense[kind[piece == k]] = root[piece == k]
+                    best[float(wait[k])] = dense.tobytes()
+            best = {key: best[key] for key in sorted(best)[:DRAWN]}
+        yield pa.RecordBatch.from_arrays([pa.array(list(best), pa.float64()), pa.array(list(best.values()), pa.binary())],
+                                         names=["wait", "point"])
+
+    rows = map_batches(ready.select("sizes", "held_out", "classes"), run, "wait double, point binary", SHARD_ROWS)
+    found = rows.groupBy("wait").agg(F.min("point").alias("point")).orderBy("wait").limit(DRAWN).collect()
+    return np.array([np.frombuffer(row["point"]) for row in found]).reshape(-1, CLASSES)
+
+
+def grouped(ready: DataFrame, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of pieces nearest to each centre, the sum of their points, and of their words by class."""
+    sent = ready.sparkSession.sparkContext.broadcast(centres)
+    k = len(centres)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((k, 2 * CLASSES + 1))
+        for row in _rows_of(batches):
+            points = _points(row)
+            piece, kind, root, own = points
+            sizes = _trained_pieces(row)[1]
+            nearest = _distances(points, len(own), sent.value).argmin(axis=1)
+            flat = nearest[piece] * CLASSES + kind
+            total[:, 0] += np.bincount(nearest, minlength=k)
+            total[:, 1:CLASSES + 1] += np.bincount(flat, root, k * CLASSES).reshape(k, CLASSES)
+            total[:, CLASSES + 1:] += np.bincount(flat, root ** 2 * sizes[piece], k * CLASSES).reshape(k, CLASSES)
+        place = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int32)), pa.array(total.ravel()[place])],
+                                         names=["place", "value"])
+
+    rows = map_batches(ready.select("sizes", "held_out", "classes"), run, "place int, value double", SHARD_ROWS)
+    sums = rows.groupBy("place").agg(F.sum("value").alias("value")).toPandas()
+    total = np.zeros(k * (2 * CLASSES + 1))
+    total[sums["place"].to_numpy()] = sums["value"].to_numpy()
+    total = total.reshape(k, -1)
+    return total[:, 0], total[:, 1:CLASSES + 1], total[:, CLASSES + 1:]
+
+
+def _chosen(points: np.ndarray, weights: np.ndarray, states: int) -> np.ndarray:
+    """Centres of a few weighted points: far ones first, then moved to their neighbours' mean."""
+    centres = points[[int(weights.argmax())]]
+    while len(centres) < min(states, len(points)):
+        apart = ((points[:, None] - centres[None]) ** 2).sum(axis=2).min(axis=1) * weights
+        if apart.max() <= 1e-9:
+            break
+        centres = np.vstack([centres, points[int(apart.argmax())]])
+    for _ in range(20):
+        near = ((points[:, None] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+        centres = np.stack([np.average(points[near == s], axis=0, weights=weights[near == s] + 1e-9)
+                            if (near == s).any() else centres[s] for s in range(len(centres))])
+    return centres
+
+
+def first_guess(ready: DataFrame, states: int = STATES, seed: int = 3) -> Model:
+    """States from all training texts: k-means over the roots of their class shares.
+
+    The centres are chosen from pieces that some passes draw far from those drawn before (scalable
+    k-means), each weighted by the pieces it is nearest to, and then moved by passes over all
+    pieces. States that no piece is left for start from the words of all texts.
+    """
+    points = np.zeros((0, CLASSES))
+    for turn in range(DRAWS):
+        points = np.vstack([points, drawn(ready, points, turn)])
+    words = np.zeros((0, CLASSES))
+    if len(points):
+        centres = _chosen(points, grouped(ready, points)[0], states)
+        for _ in range(MOVES):
+            count, sums, words = grouped(ready, centres)
+            centres = np.where(count[:, None] > 0, sums / np.maximum(count, 1)[:, None], centres)
+    flat = words.sum(axis=0) + 0.1
+    flat /= flat.sum()
+    emit = np.tile(flat, (states, 1))
+    for s, own in enumerate(words):
+        emit[s] = (own + 20 * flat) / (own.sum() + 20)
+    emit *= 1 + 0.01 * np.random.default_rng(seed).random(emit.shape)
     emit /= emit.sum(axis=1, keepdims=True)
     move = np.full((states, states), 0.04 / max(1, states - 1))
     np.fill_diagonal(move, 0.96)
@@ -292,8 +404,9 @@ def _normal(counts: np.ndarray, prior: np.ndarray | float) -> np.ndarray:
     return (counts + prior) / (counts + prior).sum(axis=-1, keepdims=True)
 
 
-def improved(ready: DataFrame, model: Model) -> Model:
-    """One Baum-Welch round over all training texts.
+def improved(ready: DataFrame, model: Model) -> tuple[Model, float]:
+    """One Baum-Welch round over all training texts, and the mean log10 probability of a token
+    under the model that came in.
 
     Every task adds up its own counts and sends one number per parameter; these are summed by
     Spark, so what reaches the driver is the size of the model.
@@ -303,24 +416,33 @@ def improved(ready: DataFrame, model: Model) -> Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {name: batch.column(name)[i] for name in batch.schema.names}
-                counts = np.concatenate([c.ravel() for c in expected_counts(sent.value, *_trained_pieces(row))])
-                total = counts if total is None else total + counts
+        for row in _rows_of(batches):
+            counts = np.concatenate([c.ravel() for c in expected_counts(sent.value, *_trained_pieces(row))])
+            total = counts if total is None else total + counts
         if total is not None:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(len(total)), pa.int32()), pa.array(total)], names=["place", "value"])
 
     counts = map_batches(ready.select("sizes", "held_out", "classes"), run, "place int, value double", SHARD_ROWS)
     sums = (counts.groupBy("place").agg(F.sum("value").alias("value")).toPandas())
-    flat = np.zeros(states + states * states + states * CLASSES)
+    flat = np.zeros(states + states * states + states * CLASSES + 2)
     flat[sums["place"].to_numpy()] = sums["value"].to_numpy()
-    start, move, emit = np.split(flat, [states, states + states * states])
+    start, move, emit, reached = np.split(flat, [states, states + states * states, len(flat) - 2])
     emit = emit.reshape(CLASSES, states)
     overall = emit.sum(axis=1) + 0.01
     return Model(_normal(start, 1.0), _normal(move.reshape(states, states), 1.0),
-                 _normal(emit.T, 5 * overall / overall.sum()).T.copy())
+                 _normal(emit.T, 5 * overall / overall.sum()).T.copy()), float(reached[0] / max(reached[1], 1))
+
+
+def trained(ready: DataFrame, most: int = MOST_ROUNDS, least_gain: float = LEAST_GAIN) -> Model:
+    """Baum-Welch rounds until the likelihood of the training texts stops rising."""
+    model, before = first_guess(ready), -np.inf
+    for _ in range(most):
+        model, reached = improved(ready, model)
+        if reached - before < least_gain:
+            break
+        before = reached
+    return model
 
 
 def class_totals(ready: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -332,7 +454,7 @@ def class_totals(ready: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return words, tokens
 
 
-def score(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def score(documents: DataFrame, most_rounds: int = MOST_ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document.
 
     score is log10 of the model's probability of the text: forward over its classes, times each
@@ -344,10 +466,7 @@ def score(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     shards = stored(shards_of(documents), "shards")
     ready = stored(with_totals(shards), "ready")
     words, tokens = class_totals(ready)
-    sample = ready.select("sizes", "held_out", "classes").limit(START_SHARDS).toArrow()
-    model = first_guess([{name: sample.column(name)[i] for name in sample.column_names} for i in range(sample.num_rows)])
-    for _ in range(rounds):
-        model = improved(ready, model)
+    model = trained(ready, most_rounds)
     train_tokens, distinct = int(tokens.sum()), int(words.sum())
     base_log = float(np.log10(train_tokens + 0.5 * (distinct + 1)))
     class_log = np.log10(tokens + 0.5 * (words + 1))
