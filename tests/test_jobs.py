@@ -56,3 +56,24 @@ def test_training_on_a_label_table(spark, events, tmp_path):
     metrics = run_training_job(spark, table, str(tmp_path / "model"), str(tmp_path / "training"),
                                labels, settings={"maxIter": 2, "maxDepth": 2})
     assert metrics.first()["accuracy"] == 1.0
+
+
+def test_dated_labels_meet_what_was_known(spark, events, tmp_path):
+    table, history = str(tmp_path / "features"), str(tmp_path / "history")
+    earlier = AS_OF - timedelta(days=20)
+    for moment, part in [(earlier, events.where(F.col("timestamp") < F.lit(str(earlier)).cast("timestamp"))),
+                         (AS_OF, events), (AS_OF, events)]:
+        run_feature_job(part, table, moment, history=history)
+    before = read_table(spark, history).where(F.col("known_at") < F.lit(str(AS_OF)).cast("timestamp"))
+    known = before.count()
+    assert read_table(spark, history).count() == known + 60 and 0 < known < 60
+    labels = read_table(spark, table).select(
+        "customer_id", F.lit(str(AS_OF - timedelta(days=1))).cast("timestamp").alias("labelled_at"),
+        (F.col("total_events") > 2).cast("int").alias("is_churned"))
+    training = str(tmp_path / "training")
+    run_training_job(spark, table, str(tmp_path / "model"), training, labels,
+                     settings={"maxIter": 2, "maxDepth": 2}, history=history)
+    rows = {r["customer_id"]: r["total_events"] for r in spark.read.parquet(training).collect()}
+    assert rows == {r["customer_id"]: r["total_events"] for r in before.collect()}
+    with pytest.raises(ValueError, match="labelled_at"):
+        run_training_job(spark, table, str(tmp_path / "model"), training, labels.drop("labelled_at"), history=history)

@@ -199,6 +199,12 @@ def partition_columns(spark: SparkSession, path: str) -> list[str]:
     return entry["partition_by"] if entry else []
 
 
+def key_columns(spark: SparkSession, path: str) -> list[str]:
+    """The columns by whose hash the newest version is cut into slices; none if it is not."""
+    _, entry = _newest(spark, path)
+    return entry["keys"] if entry and entry["slices"] else []
+
+
 def _first(df: DataFrame, partition_by: Sequence[str], keys: Sequence[str], slices: int) -> Entry:
     """The entry of a table without rows."""
     return {"schema": df.schema.jsonValue(), "partition_by": list(partition_by), "keys": list(keys),
