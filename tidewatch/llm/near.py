@@ -406,7 +406,12 @@ def near_groups(documents: DataFrame) -> DataFrame:
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
-    """The documents with one row of each near-duplicate group: that of the least doc_id."""
+    """The documents with one row of each near-duplicate group: that of the least doc_id.
+
+    A row without doc_id stays only if its whole group has none; of rows with equal id and text
+    one stays. Null texts are empty ones, and these are copies of each other. An empty table
+    gives no rows.
+    """
     groups = near_groups(documents)
     kept = groups.groupBy("root").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("unknown"), "doc_id", "row_key")).alias("kept")).select("kept.row_key")

@@ -236,6 +236,11 @@ def classify(documents: DataFrame, labels: DataFrame, threshold: float = THRESHO
 
 def keep_good(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
               limit: int = LABELLED_ROWS) -> DataFrame:
-    """The rows of `documents` that the classifier doesn't reject, with their own columns."""
+    """The rows of `documents` that the classifier doesn't reject, with their own columns.
+
+    A null text is an empty one; equal texts are judged alike, so repeated rows stay or go
+    together, with or without doc_id. Without usable labels every row stays; an empty table
+    gives no rows.
+    """
     scored = score(documents, train(documents, labels, limit))
     return unpacked(scored.where(F.col("score") >= threshold), documents.columns)
