@@ -243,6 +243,41 @@ def test_words_are_encoded_as_the_tokenizer_does():
         assert np.frombuffer(got, encoder.kind).tolist() == wanted
 
 
+def test_new_words_are_encoded_many_at_a_time(monkeypatch):
+    encoder, calls = packing.WordEncoder(packing.VOCABULARY), Counter()
+
+    class Counted:
+        def __init__(self, own):
+            self.own = own
+
+        def __getattr__(self, name):
+            calls["all"] += 1
+            return getattr(self.own, name)
+
+    for name, own in vars(encoder).items():
+        if type(own).__module__.startswith("tokenizers"):
+            setattr(encoder, name, Counted(own))
+    draw = random.Random(4)
+    texts = [" ".join("".join(draw.choices("abcdeéñ1,中", k=6)) for _ in range(30)) for _ in range(100)]
+    wanted = encoder.encode(texts, 1)
+    assert 0 < calls["all"] < 100
+    # Neither what is remembered nor what shares a call changes the ids.
+    monkeypatch.setattr(packing, "MEMO_WORDS", 50)
+    monkeypatch.setattr(packing, "CALL_WORDS", 7, raising=False)
+    assert [ids for text in texts for ids in encoder.encode([text], 1)] == wanted
+
+
+def test_parts_end_with_their_texts():
+    encoder = packing.WordEncoder(packing.VOCABULARY)
+    draw = random.Random(5)
+    signs = ["'", "s", "S", "re", "LL", "<", "|", " ", "\t", "\x0b", "\x7f", "\xa0", "É", "×", "÷", "²", "µ", "ß", "Ÿ", "1"]
+    texts = ["", None] + ["".join(draw.choices(signs, k=draw.randrange(6))) for _ in range(3000)]
+    for text, got in zip(texts, encoder.encode(texts, 1)):
+        wanted = encoder.tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
+        assert np.frombuffer(got, encoder.kind).tolist() == wanted
+    assert encoder.encode([], 1) == [] and encoder.encode([None, " "], 1) == 2 * encoder.encode([""], 1)
+
+
 @pytest.mark.parametrize("length", [2048, 16])
 def test_every_id_lies_in_one_piece(spark, documents, length):
     rows = documents.union(documents.where("doc_id = 30"))

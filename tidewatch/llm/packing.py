@@ -2,83 +2,179 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidewatch.llm.common import chunks, map_batches, stored
+from tidewatch.llm.common import byte_view, chunks, map_batches, offsets_of, stored
 
 VOCABULARY = "word_bpe_49k.json"
 LENGTH = 2048
 END_ID = 1
 DIMENSIONS, BITS = 4, 12
 HASHED = 512
-MEMO_WORDS = 250_000
-# Fixed value: the vocabulary's own pattern of parts.
-_PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_PLAIN = regex.compile(r"[\x21-\x7e\xa1-\xff]*+")
+# A generation of remembered words ends at so many words, or so many characters in them.
+MEMO_WORDS, MEMO_CHARS = 250_000, 4_000_000
+CALL_WORDS = 1_000
+_ODD = re.compile(r"[^\x21-\x7e\xa1-\xff]|<\|")
+# Kinds of bytes in UTF-8, as the vocabulary's own pattern of parts tells them apart; the bytes
+# after 0xC2 are Latin-1's, those after 0xC3 letters but for two.
+SPACE, LETTER, DIGIT, SIGN, ODD = range(5)
+_KINDS = np.full(256, ODD, np.uint8)
+_KINDS[0x21:0x7F] = _KINDS[0xA1:0xC0] = SIGN
+for _kind, _of in ((SPACE, b"\t\n\r "), (DIGIT, b"0123456789\xb2\xb3\xb9\xbc\xbd\xbe"),
+                   (LETTER, b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ\xaa\xb5\xba")):
+    _KINDS[list(_of)] = _kind
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 
 
+class Memory:
+    """Packed ids of words, in two generations. A full newer one takes the place of the older, and
+    words met again move from there to the newer: frequent words stay."""
+
+    def __init__(self):
+        self.newer: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.chars = 0
+
+    def lacking(self, words: list[str]) -> list[str]:
+        """Those of the distinct words that are not remembered; all others are in the newer generation."""
+        if len(self.newer) > MEMO_WORDS or self.chars > MEMO_CHARS:
+            self.older, self.newer, self.chars = self.newer, {}, 0
+        newer, older = self.newer, self.older
+        missing = [word for word in words if word not in newer]
+        self.chars += sum(map(len, missing))
+        if older:
+            newer.update([(word, older[word]) for word in missing if word in older])
+            missing = [word for word in missing if word not in older]
+        return missing
+
+
+def parts_of(texts: pa.Array) -> tuple[pa.StringArray, np.ndarray]:
+    """The texts' parts end to end, and where each text's begin; white space is dropped.
+
+    Words of plain Latin characters are put in lower case and cut to letters, digits and signs as
+    the vocabulary's own pattern does; words with other characters, or with what may be a special
+    token, are a part as they stand.
+    """
+    view, bounds = byte_view(texts)
+    size = bounds[-1]
+    first = np.zeros(size + 8, bool)  # where a text begins
+    first[bounds] = True
+    kinds, lows = _KINDS[view], view.copy()
+    lows[(view >= 0x41) & (view <= 0x5A)] += 0x20
+    after = np.flatnonzero(view[:size] == 0xC3) + 1
+    signs = (view[after] == 0x97) | (view[after] == 0xB7)
+    kinds[after] = np.where(signs, SIGN, LETTER)
+    lows[after[(view[after] < 0x9F) & ~signs]] += 0x20
+    lead = np.flatnonzero((view[:size] == 0xC2) | (view[:size] == 0xC3))
+    kinds[lead] = kinds[lead + 1]
+    kinds[:size][(view[:size] == 0x3C) & (view[1:size + 1] == 0x7C) & ~first[1:size + 1]] = ODD
+    kinds[size:] = SPACE
+
+    solid = kinds != SPACE
+    starts = solid & first
+    starts[1:] |= (kinds[1:] != kinds[:-1]) | (kinds[1:] == DIGIT)
+    starts &= solid & (view & 0xC0 != 0x80)
+    words = solid & first
+    words[1:] |= solid[1:] & ~solid[:-1]
+    # An apostrophe that begins a part takes some letters with it.
+    at = np.flatnonzero(starts & (view == 0x27))
+    at = at[~first[at + 1]]
+    one, two = lows[at + 1], lows[at + 2]
+    single = np.isin(one, list(b"stmd"))
+    double = ((two == 0x65) & ((one == 0x72) | (one == 0x76)) | (one == 0x6C) & (two == 0x6C)) & ~first[at + 2]
+    starts[at[single | double] + 1] = False
+    starts[at[single] + 2] |= solid[at[single] + 2]
+    starts[at[double] + 3] |= solid[at[double] + 3]
+    odd = np.flatnonzero(kinds == ODD)
+    if len(odd):
+        begin = np.append(np.flatnonzero(words), size)
+        own = np.unique(np.searchsorted(begin, odd, side="right") - 1)
+        turn = np.zeros(size + 8, np.int8)
+        turn[begin[own]] += 1
+        turn[begin[own + 1]] -= 1
+        inside = np.cumsum(turn, dtype=np.int8) > 0
+        starts &= ~inside | words
+        lows[inside] = view[inside]
+    at = np.flatnonzero(starts)
+    offsets = np.append((np.cumsum(solid, dtype=np.int32) - 1)[at], np.count_nonzero(solid)).astype(np.int32)
+    parts = pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(lows[solid]))
+    return parts, np.searchsorted(at, bounds)
+
+
 class WordEncoder:
-    """Ids of texts, with each distinct word and each distinct part of a word encoded once.
+    """Ids of texts, with each distinct part of a word encoded once.
 
     White space separates words for this tokenizer and is dropped by it, so a text's ids are
-    those of its words end to end. Words of plain Latin characters are cut to letters, digits and
-    signs as the tokenizer's own pattern does, and its model encodes the parts; other words go
-    through the tokenizer whole. Words and parts are remembered up to a fixed number.
+    those of its parts end to end. The tokenizer's model encodes parts of plain Latin characters;
+    other words go through the tokenizer whole. What memory lacks of a batch's parts is encoded
+    many at a time. Memory is bounded.
     """
 
     def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-        self.model = self.tokenizer.model
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)  # ids that end a part
+        self.ends[[i for token, i in self.bare.get_vocab().items() if token.endswith("</w>")]] = True
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.memory = Memory()
         # The byte-level alphabet: printable bytes stand for themselves, others follow from 256 on.
+        # A space stays, as it stands between parts.
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         others = sorted(set(range(256)) - set(plain))
-        self.alphabet = {b: 256 + i for i, b in enumerate(others)}
-
-    def _part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
-        if ids is None:
-            if len(self.parts) > MEMO_WORDS:
-                self.parts.clear()
-            mapped = part.encode().decode("latin-1").translate(self.alphabet)
-            ids = np.array([token.id for token in self.model.tokenize(mapped)], self.kind).tobytes()
-            self.parts[part] = ids
-        return ids
-
-    def _word(self, word: str) -> bytes:
-        if _PLAIN.fullmatch(word) and "<|" not in word:
-            low = word.lower()
-            if low.isalpha():
-                return self._part(low)
-            return b"".join([self._part(part) for part in _PARTS.findall(low)])
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def encode(self, texts: list[str | None], end_id: int) -> list[bytes]:
+        self.alphabet = np.arange(256, dtype="<u4")
+        self.alphabet[others] = 256 + np.arange(len(others))
+        self.alphabet[0x20] = 0x20
+
+    def _packed(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+        data = ids.astype(self.kind).tobytes()
+        return [data[a:b] for a, b in pairwise([0, *(bounds * self.kind.itemsize).tolist()])]
+
+    def _encoded(self, parts: list[str]) -> list[bytes]:
+        mapped = self.alphabet[np.frombuffer(" ".join(parts).encode(), np.uint8)].tobytes().decode("utf-32-le")
+        [whole] = self.bare.encode_batch_fast([mapped], add_special_tokens=False)
+        ids = np.array(whole.ids)
+        return self._packed(ids, np.flatnonzero(self.ends[ids]) + 1)
+
+    def _encoded_whole(self, words: list[str]) -> list[bytes]:
+        whole = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+        bounds = np.searchsorted(np.array(whole.word_ids, np.int64), np.arange(1, len(words) + 1))
+        return self._packed(np.array(whole.ids), bounds)
+
+    def _learn(self, parts: list[str]) -> dict[str, bytes]:
+        new = self.memory.lacking(parts)
+        known = self.memory.newer
+        odd = [part for part in new if _ODD.search(part)] if _ODD.search("".join(new)) else []
+        kept = set(odd)
+        for encoded, some in ((self._encoded, [part for part in new if part not in kept]),
+                              (self._encoded_whole, odd)):
+            for first in range(0, len(some), CALL_WORDS):
+                group = some[first:first + CALL_WORDS]
+                known.update(zip(group, encoded(group), strict=True))
+        return known
+
+    def encode(self, texts: pa.Array | list[str | None], end_id: int) -> list[bytes]:
         """Packed ids of each text with `end_id` after them."""
-        end, known, made = np.array([end_id], self.kind).tobytes(), self.words, []
-        for text in texts:
-            words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if text else []
-            if len(known) > MEMO_WORDS:
-                known.clear()
-            for word in set(words).difference(known):
-                known[word] = self._word(word)
-            made.append(b"".join([known[word] for word in words]) + end)
-        return made
+        parts, bounds = parts_of(pa.array(texts, pa.string()))
+        coded = parts.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = self._learn(distinct)
+        ids = pa.array([known[part] for part in distinct], pa.large_binary()).take(coded.indices)
+        data, end = ids.buffers()[2] or b"", np.array([end_id], self.kind).tobytes()
+        return [bytes(data[a:b]) + end for a, b in pairwise(offsets_of(ids)[bounds].tolist())]
 
 
 @lru_cache(maxsize=2)
@@ -134,7 +230,7 @@ def encoded(documents: DataFrame, vocabulary: str = VOCABULARY, end_id: int = EN
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(vocabulary)
         for batch in chunks(batches):
-            packed = encoder.encode(batch.column("text").to_pylist(), end_id)
+            packed = encoder.encode(batch.column("text"), end_id)
             keys = curve_keys([np.frombuffer(ids, encoder.kind) for ids in packed])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(keys), pa.array(packed, pa.binary()),
