@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidewatch.llm import contamination, near, packing, quality, suffixes
+from tidewatch.llm.common import stored
 
 WORDS = ["alpha", "beta", "gam", "d", "eé", "ω"]
 SHAPE = "doc_id long, text string"
@@ -147,6 +148,17 @@ def test_hit_spans_are_cut_out(spark):
     assert got == {1: "Keep this. ! And that.", 2: "Clean é text"}
 
 
+def test_one_worker_a_task_searches_all_blocks_and_cuts(spark, documents, rows):
+    items = [(k, " ".join((text or "").split()[:14])) for k, (_, text) in enumerate(rows[:12])]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    whole = contamination.decontaminate(documents, benchmark)
+    parts = contamination.decontaminate(documents, benchmark, block_bytes=50)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, parts.collect()))
+    found = contamination.find_contamination(documents, benchmark, block_bytes=50)
+    for frame in (whole, parts, found):
+        assert frame._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 # --- near duplicates ---------------------------------------------------------------
 
 def _shingles(text):
@@ -253,6 +265,14 @@ def test_signatures_estimate_likeness():
     assert abs((heavy[0] == heavy[1]).mean() - 1800 / 2200) < 0.06
 
 
+def test_block_numbers_start_no_python_rows(documents, monkeypatch):
+    plans, read = [], stored(documents, "documents")
+    monkeypatch.setattr(near, "stored", lambda frame, label: plans.append(
+        frame._jdf.queryExecution().executedPlan().toString()) or stored(frame, label))
+    near.near_groups(read).count()
+    assert "LocalTableScan" in "".join(plans) and "ExistingRDD" not in "".join(plans)
+
+
 # --- quality -------------------------------------------------------------------------
 
 def test_quality_generalises(spark):

@@ -9,7 +9,7 @@ merged to removal spans.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -228,35 +228,29 @@ def blocks_of(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[t
         yield block
 
 
-def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                       block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """row (the packed input), n_words, hit_words (merged word ranges, as pairs of longs),
-    hit_bytes (the same ranges in the text's UTF-8 bytes) and hit_items (ids as text).
-
-    Documents are never shuffled; each block of the benchmark is one pass over them. A null or
-    empty text has no words; items without words have no windows; repeated rows are searched
-    alike; a benchmark without rows hits nothing.
-    """
-    rows = packed(documents, *[F.expr(e) for e in (
+def searched(documents: DataFrame, benchmark: DataFrame, window: int, block_bytes: int) -> tuple[StructType, Callable]:
+    """The schema of find_contamination, and the function that makes its rows of packed ones."""
+    spark = documents.sparkSession
+    sent = [spark.sparkContext.broadcast(phrases_of(block, window)) for block in blocks_of(benchmark, block_bytes)]
+    schema = packed(documents, *[F.expr(e) for e in (
         "0L as n_words", "cast(array() as array<long>) as hit_words",
-        "cast(array() as array<long>) as hit_bytes", "cast(array() as array<string>) as hit_items")])
-    for block in list(blocks_of(benchmark, block_bytes)) or [[]]:
-        sent = documents.sparkSession.sparkContext.broadcast(phrases_of(block, window))
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            phrases = sent.value
-            for batch in chunks(batches, SHARD_BYTES):
-                data, bounds = byte_view(text_of(batch))
-                starts, ends, of, hashes = words_of(data, bounds)
-                count = np.bincount(of, minlength=batch.num_rows)
-                first, length, which = search_shard(phrases, of, hashes) if phrases.windows else [np.zeros(0, np.int64)] * 3
-                base = np.concatenate([[0], np.cumsum(count)])
-                spans = batch.column("hit_words").to_pylist()
-                items = batch.column("hit_items").to_pylist()
-                spots: list = [[] for _ in spans]
+        "cast(array() as array<long>) as hit_bytes", "cast(array() as array<string>) as hit_items")]).schema
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, SHARD_BYTES):
+            data, bounds = byte_view(text_of(batch))
+            starts, ends, of, hashes = words_of(data, bounds)
+            count = np.bincount(of, minlength=batch.num_rows)
+            base = np.concatenate([[0], np.cumsum(count)])
+            spans, spots, items = ([[] for _ in range(batch.num_rows)] for _ in range(3))
+            for phrases in (block.value for block in sent):
+                if not phrases.windows:
+                    continue
+                first, length, which = search_shard(phrases, of, hashes)
                 at = np.argsort(of[first], kind="stable")
                 cuts = np.searchsorted(of[first][at], np.arange(batch.num_rows + 1))
-                for i in np.nonzero((np.diff(cuts) > 0) | np.array([bool(s) for s in spans]))[0]:
+                for i in np.nonzero(np.diff(cuts))[0]:
                     own = at[cuts[i]:cuts[i + 1]]
                     old = np.array(spans[i], np.int64).reshape(-1, 2)
                     a, b = _merged(np.concatenate([old[:, 0], first[own] - base[i]]),
@@ -265,13 +259,24 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int =
                     spots[i] = np.stack([starts[base[i] + a], ends[base[i] + b - 1]], 1).ravel() - bounds[i]
                     pairs = set(zip(length[own].tolist(), which[own].tolist()))
                     items[i] = sorted(set(items[i]).union(*(phrases.items[n][w] for n, w in pairs)))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("row"), pa.array(count, pa.int64()), pa.array(spans, pa.list_(pa.int64())),
-                     pa.array(spots, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))],
-                    names=batch.schema.names)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), pa.array(count, pa.int64()), pa.array(spans, pa.list_(pa.int64())),
+                 pa.array(spots, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))], names=names)
+
+    return schema, run
 
-        rows = map_batches(rows, run, rows.schema)
-    return rows
+
+def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+                       block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """row (the packed input), n_words, hit_words (merged word ranges, as pairs of longs),
+    hit_bytes (the same ranges in the text's UTF-8 bytes) and hit_items (ids as text).
+
+    Documents are never shuffled; all blocks of the benchmark are searched in one pass over them,
+    so a task has one Python worker. A null or empty text has no words; items without words have
+    no windows; repeated rows are searched alike; a benchmark without rows hits nothing.
+    """
+    schema, run = searched(documents, benchmark, window, block_bytes)
+    return map_batches(packed(documents), run, schema)
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -286,15 +291,18 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
         (F.size("hit_words") > 0).alias("contaminated"))
 
 
-def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents with every hit span cut out of their texts, and n_chars set anew.
 
     A span goes from the start of its first word to the end of its last one. All rows stay, as
-    do their other columns and texts without a hit.
+    do their other columns and texts without a hit. Spans are cut where they are found: a second
+    Python stage would have a second worker with a memory of its own beside each task.
     """
+    found, search = searched(documents, benchmark, window, block_bytes)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in search(batches):
             texts = []
             for text, spots in zip(text_of(batch).to_pylist(), batch.column("hit_bytes").to_pylist()):
                 if spots:
@@ -304,6 +312,5 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
                 texts.append(text)
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
 
-    found = find_contamination(documents, benchmark, window).select("row", "hit_bytes")
-    schema = StructType([found.schema["row"], StructField("text", StringType())])
-    return with_text(map_batches(found, cut, schema), documents.columns)
+    schema = StructType([found["row"], StructField("text", StringType())])
+    return with_text(map_batches(packed(documents), cut, schema), documents.columns)

@@ -182,8 +182,9 @@ def blocks_of(shared: DataFrame) -> tuple[DataFrame, DataFrame]:
     # A number per partition comes to the driver.
     totals = sorted(map(tuple, placed.groupBy("part").agg(F.max("upto")).collect()))
     starts = np.cumsum([0, *(total for _, total in totals)])
+    # As Arrow data: rows from a Python list would start a second set of workers on the executors.
     offsets = placed.sparkSession.createDataFrame(
-        [(part, int(start)) for (part, _), start in zip(totals, starts)], "part long, start long")
+        pa.table({"part": pa.array([part for part, _ in totals], pa.int64()), "start": pa.array(starts[:-1], pa.int64())}))
     placed = stored(placed.join(F.broadcast(offsets), "part").select(
         "rep", "n", F.floor((F.col("start") + F.col("upto") - 1) / BLOCK_SHINGLES).alias("block")), "placed")
 
